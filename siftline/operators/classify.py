@@ -25,8 +25,8 @@ from siftline.schema import PROFANITY, SAFE
 # Where one pass of the alternation starts to beat a chain of contains.
 CHAIN_MAX_WORDS = 32
 
-# Join form: characters of text kept per position, words of the prefix filter
-# that may be broadcast, and the width of that prefix.
+# Join form: characters of text kept per position, words that may be broadcast,
+# and the width of the prefix filter.
 WINDOW_CHARS = 64
 BROADCAST_MAX_ROWS = 500_000
 PREFIX_CHARS = 4
@@ -88,11 +88,12 @@ def profane_only(classified: DataFrame) -> DataFrame:
 def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
     """``classify`` for a ``word`` table of any size (batch input).
 
-    Every distinct text is cut at each position into a window. Windows whose
-    first characters start some word survive, once per length of such a word,
-    and are compared with the words by equality, so one position yields at most
-    one row per word length however many words share a prefix. Copies of a text
-    are screened once, and only text digests travel back to the messages.
+    Every text is cut at each position into a window. Windows whose first
+    characters start some word survive, once per length of such a word, and are
+    compared with the words by equality, so one position yields at most one row
+    per word length however many words share a prefix. While the word table is
+    small enough to broadcast, that happens without a shuffle; beyond it copies
+    of a text are screened once. Only text digests travel back to the messages.
     """
     bounds = words.agg(
         F.min(F.length("word")).alias("shortest"),
@@ -110,8 +111,8 @@ def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
         messages.select(lowered.alias("text"))
         .where(F.length("text") >= bounds.shortest)
         .select(F.sha2("text", 256).alias("digest"), "text")
-        .dropDuplicates(["digest"])
     )
+    distinct_texts = texts.dropDuplicates(["digest"])
     lookup = words.select(
         "word",
         F.substring("word", 1, window_chars).alias("shingle"),
@@ -123,7 +124,7 @@ def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
         shapes, shingles = F.broadcast(shapes), F.broadcast(shingles)
 
     overlapping = F.lit(rf"(?s)(?=(.{{{prefix_chars},{window_chars}}}))")
-    windows = texts.select(
+    windows = (texts if small else distinct_texts).select(
         "digest",
         F.explode(F.array_distinct(F.regexp_extract_all("text", overlapping, F.lit(1)))).alias("window"),
     ).withColumn("prefix", F.substring("window", 1, prefix_chars))
@@ -132,15 +133,14 @@ def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
         .where(F.length("window") >= F.col("chars"))
         .select("digest", F.expr("substring(window, 1, chars)").alias("shingle"))
         .join(shingles, "shingle", "left_semi")
-        .distinct()
     )
     profane = hits.select("digest")
     if bounds.longest > window_chars:
         # Words longer than a window matched only by their start: check the rest.
         cut = F.length("word") > window_chars
         whole = hits.join(lookup.where(~cut).select("shingle"), "shingle", "left_semi")
-        started = hits.join(lookup.where(cut).select("shingle", "word"), "shingle")
-        long_hits = started.join(texts, "digest").where(F.contains("text", "word"))
+        started = hits.distinct().join(lookup.where(cut).select("shingle", "word"), "shingle")
+        long_hits = started.join(distinct_texts, "digest").where(F.contains("text", "word"))
         profane = whole.select("digest").unionByName(long_hits.select("digest"))
     flagged = profane.distinct().withColumn("_profane", F.lit(True))
 

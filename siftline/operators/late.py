@@ -42,7 +42,7 @@ def mark_late(
     from chunks of the arrival order: the maximum of all earlier chunks (from a
     summary with one row per chunk) and the running maximum inside the chunk.
     """
-    chunked = arrived.withColumn("_chunk", F.floor(F.col(arrival) / chunk_rows))
+    chunked = arrived.withColumn("_chunk", F.expr(f"`{arrival}` div {int(chunk_rows)}"))
     before = Window.partitionBy(source).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
         chunked.groupBy(source, "_chunk")

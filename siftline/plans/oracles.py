@@ -65,7 +65,7 @@ lake AS (
 EVENT_TABLE = f"""{EVENTS},
 event_table AS (
   SELECT account_id, message_id, message_body, coalesce(correlation_id, '') AS correlation_id,
-         message_status, date_trunc('millisecond', ts) AS event_time, profanity_type, event_id
+         message_status, ts AS event_time, profanity_type, event_id
   FROM event_messages)"""
 
 DOCUMENT_TABLE = f"""{DOCUMENTS},

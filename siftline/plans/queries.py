@@ -18,7 +18,7 @@ from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE
 from siftline.session import prepare, shared_dir
 from siftline.sinks.fanout import FanOut
 from siftline.sinks.feed import FileFeed, RejectFiles
-from siftline.sinks.lake import LakeSink, route
+from siftline.sinks.lake import LakeSink, table_of
 from siftline.sinks.olap import OlapSink
 from siftline.streaming.job import run
 
@@ -44,7 +44,7 @@ def _irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.event_table(views.event_messages(_events(spark, sf_dir)))
+    return views.event_table(_events(spark, sf_dir))
 
 
 def _document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +52,8 @@ def _document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = classify(views.event_messages(_events(spark, sf_dir)), views.EVENT_WORDS)
-    return convert.with_lake_day(convert.lake_rows(messages, views.ingest_ts()))
+    rows = views.event_table(_events(spark, sf_dir)).withColumnRenamed("event_time", "timestamp")
+    return convert.with_lake_day(rows)
 
 
 # Word lists and classification
@@ -129,8 +129,8 @@ def event_time_assigned(spark, sf_dir):
 def route_counts_by_day(spark, sf_dir):
     """Rows per lake table and day, with bad timestamps turning profane rows into safe ones."""
     rows = convert.with_lake_day(convert.lake_rows(_irregular(spark, sf_dir), views.ingest_ts()))
-    tagged = [part.withColumn("table_name", F.lit(name)) for name, part in route(rows).items()]
-    return tagged[0].unionByName(tagged[1]).groupBy("table_name", LAKE_DAY).agg(F.count("*").alias("n"))
+    table = table_of(F.col("profanity_type")).alias("table_name")
+    return rows.groupBy(table, LAKE_DAY).agg(F.count("*").alias("n"))
 
 
 def lake_range_scan(spark, sf_dir):

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions.instants import parse_instant, wall_clock
 from siftline.operators.classify import classify
-from siftline.operators.convert import olap_rows
-from siftline.schema import MESSAGE_FIELDS
+from siftline.schema import MESSAGE_FIELDS, OLAP_FIELDS
 
 # Instants are spread from here on; INGEST stands in for the current time.
 START = "2024-01-01T00:00:00Z"
@@ -140,9 +139,11 @@ def document_values(documents: DataFrame) -> DataFrame:
     return values.select(F.when(key % 19 == 0, cut).otherwise(F.col("value")).alias("value"))
 
 
-def event_table(messages: DataFrame) -> DataFrame:
-    """Classified event messages with ``event_time``, as the analytics queries see them."""
-    return olap_rows(classify(messages, EVENT_WORDS), ingest_ts())
+def event_table(events: DataFrame, *extra: str) -> DataFrame:
+    """Events as a stored analytics table: classified, with a native ``event_time``."""
+    stored = event_messages(events, "ts", *extra).withColumnRenamed("ts", "event_time")
+    classified = classify(stored.fillna("", ["correlation_id"]), EVENT_WORDS)
+    return classified.select(*OLAP_FIELDS, *extra)
 
 
 def event_versions(events: DataFrame) -> DataFrame:
@@ -163,10 +164,7 @@ def event_versions(events: DataFrame) -> DataFrame:
     )
     at = wall_clock(ingest_ts())
     version = F.col("version")
-    base = event_table(event_messages(events, "event_id"))
-    numbered = base.withColumn("event_id", F.col("message_id").cast("long")).withColumn(
-        "version", F.explode(versions)
-    )
+    numbered = event_table(events, "event_id").withColumn("version", F.explode(versions))
     return numbered.select(
         "account_id",
         "message_id",

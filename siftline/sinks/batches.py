@@ -21,6 +21,7 @@ from siftline.sinks import files
 
 SUCCESS = "_SUCCESS"
 MERGED = "merged"
+MERGE_LISTS = "_merges/[0-9]*"
 DIRECT = "direct"
 
 BATCH_COLUMNS = (T.StructField("stream_id", T.StringType()), T.StructField("batch", T.LongType()))
@@ -51,23 +52,29 @@ def write_once(
 
 def committed(spark: SparkSession, table: str) -> list[str]:
     """Folders that make up the table now, relative to it."""
-    done = {
-        "/".join(path.split("/")[-3:-1])
-        for path in files.matching(spark, f"{table}/stream_id=*/batch=*/{SUCCESS}")
-    }
-    merges = files.matching(spark, f"{table}/_merges/[0-9]*")
-    if not merges:
-        return sorted(done)
-    listed = {f"stream_id={MERGED}/batch={path.rsplit('/', 1)[1]}" for path in merges}
-    visible = {d for d in done if not d.startswith(f"stream_id={MERGED}/")} | (done & listed)
-    return sorted(visible - replaced(spark, table))
+    merges = {f"stream_id={MERGED}/batch={number}" for number in _merge_numbers(spark, table)}
+    written = {f for f in _written(spark, table) if f in merges or not _is_merge(f)}
+    return sorted(written - replaced(spark, table))
 
 
 def replaced(spark: SparkSession, table: str) -> set[str]:
     """Folders some merge has replaced."""
-    if not files.matching(spark, f"{table}/_merges/[0-9]*"):
+    if not _merge_numbers(spark, table):
         return set()
-    return {row.value for row in spark.read.text(f"{table}/_merges/[0-9]*").collect()}
+    return {row.value for row in spark.read.text(f"{table}/{MERGE_LISTS}").collect()}
+
+
+def _merge_numbers(spark: SparkSession, table: str) -> list[int]:
+    return [int(p.rsplit("/", 1)[1]) for p in files.matching(spark, f"{table}/{MERGE_LISTS}")]
+
+
+def _written(spark: SparkSession, table: str) -> set[str]:
+    marks = files.matching(spark, f"{table}/stream_id=*/batch=*/{SUCCESS}")
+    return {"/".join(mark.split("/")[-3:-1]) for mark in marks}
+
+
+def _is_merge(folder: str) -> bool:
+    return folder.startswith(f"stream_id={MERGED}/")
 
 
 def read_batches(
@@ -109,11 +116,10 @@ def merge_batches(
     """
     folders = committed(spark, table)
     if not whole:
-        folders = [f for f in folders if not f.startswith(f"stream_id={MERGED}/")]
+        folders = [f for f in folders if not _is_merge(f)]
     if not folders:
         return None
-    past = files.matching(spark, f"{table}/_merges/[0-9]*")
-    number = 1 + max((int(path.rsplit("/", 1)[1]) for path in past), default=0)
+    number = 1 + max(_merge_numbers(spark, table), default=0)
     target = batch_dir(table, MERGED, number)
     save(folders, target)
     files.publish_text(spark, f"{table}/_merges/{number}", "\n".join(folders) + "\n")
@@ -122,11 +128,7 @@ def merge_batches(
 
 def drop_replaced(spark: SparkSession, table: str) -> list[str]:
     """Delete the folders merges have replaced, once no reader needs them."""
-    present = {
-        "/".join(path.split("/")[-3:-1])
-        for path in files.matching(spark, f"{table}/stream_id=*/batch=*/{SUCCESS}")
-    }
-    gone = sorted(present & replaced(spark, table))
+    gone = sorted(_written(spark, table) & replaced(spark, table))
     for folder in gone:
         files.delete_dir(spark, f"{table}/{folder}")
     return gone

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,10 +19,13 @@ TABLES = (PROFANE_TABLE, SAFE_TABLE)
 SORT = ("timestamp", "message_id")
 
 
+def table_of(profanity_type: Column) -> Column:
+    """Name of the table a row goes to: profane rows to theirs, everything else to safe."""
+    return F.when(profanity_type == PROFANITY, PROFANE_TABLE).otherwise(SAFE_TABLE)
+
+
 def route(rows: DataFrame) -> dict[str, DataFrame]:
-    """Rows per table: the profane ones, and everything else."""
-    profane = F.coalesce(F.col("profanity_type") == PROFANITY, F.lit(False))
-    return {PROFANE_TABLE: rows.where(profane), SAFE_TABLE: rows.where(~profane)}
+    return {name: rows.where(table_of(F.col("profanity_type")) == name) for name in TABLES}
 
 
 @dataclass(frozen=True)

@@ -39,12 +39,13 @@ def publish(spark: SparkSession, name: str, path: str) -> None:
     Only catalog entries change, never files, and only for folders that came or
     went since the last call. Reading by path needs no such step.
     """
-    partitions = [row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    shown = {"/".join(partition.split("/")[:2]) for partition in partitions}
+    shown = [row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    folder_of = {partition: partition.rsplit("/", 1)[0] for partition in shown}
     current = set(committed(spark, path))
-    for folder in sorted(shown - current):
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(folder)})")
-    for folder in sorted(current - shown):
+    stale = [f"PARTITION ({_spec(p)})" for p in shown if folder_of[p] not in current]
+    if stale:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(stale)}")
+    for folder in sorted(current - set(folder_of.values())):
         found = files.matching(spark, f"{path}/{folder}/*=*")
         specs = [f"PARTITION ({_spec(folder)}, {_spec(p.rsplit('/', 1)[1])})" for p in found]
         if specs:

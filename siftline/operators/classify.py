@@ -20,11 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.operators.lexicon import TRIMMED
+from siftline.operators.spread import spread_small
 from siftline.schema import PROFANITY, SAFE
 
 # Where one pass of the alternation starts to beat a chain of contains.
 CHAIN_MAX_WORDS = 32
 
+# Alternatives tried in turn before the next character splits them.
+PLAIN_BRANCHES = 4
+
 # Join form: characters of text kept per position, words that may be broadcast,
 # and the width of the prefix filter.
 WINDOW_CHARS = 64
@@ -49,7 +53,8 @@ def alternation(words: Iterable[str]) -> str:
     """A regular expression that finds any of ``words``, common prefixes merged.
 
     A word that starts with another word of the list is left out: wherever it
-    matches, the shorter one does.
+    matches, the shorter one does. Alternatives are tried one after another, so
+    many of them are first halved by a look at the next character.
     """
     tree: dict = {}
     for word in sorted(words):
@@ -60,14 +65,22 @@ def alternation(words: Iterable[str]) -> str:
             node = node.setdefault(char, {})
         else:
             node[""] = {}
-    return _branches(tree)
+    return _branches(list(tree.items()))
 
 
-def _branches(node: dict) -> str:
-    if "" in node:
-        return ""
-    options = [re.escape(char) + _branches(rest) for char, rest in node.items()]
-    return options[0] if len(options) == 1 else f"(?:{'|'.join(options)})"
+def _branches(options: list[tuple[str, dict]]) -> str:
+    if len(options) <= PLAIN_BRANCHES:
+        parts = [
+            re.escape(char) + ("" if "" in rest else _branches(list(rest.items())))
+            for char, rest in options
+        ]
+    else:
+        middle = len(options) // 2
+        parts = [
+            f"(?=[{''.join(re.escape(char) for char, _ in half)}]){_branches(half)}"
+            for half in (options[:middle], options[middle:])
+        ]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
 def tag(profane: Column) -> Column:
@@ -78,6 +91,9 @@ def classify(messages: DataFrame, words: Iterable[str] | DataFrame) -> DataFrame
     """Overwrite ``profanity_type``; an incoming value is ignored."""
     if isinstance(words, DataFrame):
         return classify_by_join(messages, words)
+    words = set(words)
+    if len(words) > CHAIN_MAX_WORDS:
+        messages = spread_small(messages)
     return messages.withColumn("profanity_type", tag(contains_any(F.col("message_body"), words)))
 
 
@@ -124,7 +140,7 @@ def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
         shapes, shingles = F.broadcast(shapes), F.broadcast(shingles)
 
     overlapping = F.lit(rf"(?s)(?=(.{{{prefix_chars},{window_chars}}}))")
-    windows = (texts if small else distinct_texts).select(
+    windows = spread_small(texts if small else distinct_texts).select(
         "digest",
         F.explode(F.array_distinct(F.regexp_extract_all("text", overlapping, F.lit(1)))).alias("window"),
     ).withColumn("prefix", F.substring("window", 1, prefix_chars))

@@ -1,0 +1,22 @@
+"""Parallelism for small inputs that arrive in fewer tasks than the session has."""
+
+from pyspark.sql import DataFrame
+
+MAX_BYTES = 256 * 1024 * 1024
+BYTES_PER_TASK = 1024 * 1024
+
+
+def spread_small(rows: DataFrame) -> DataFrame:
+    """Spread a batch input of known small size over the session's tasks.
+
+    For operators that spend far more time on a row than a shuffle would. A
+    small file is one read task however many cores wait; anything larger than
+    the bound, or of unknown size, already has enough tasks and is left alone.
+    """
+    if rows.isStreaming:
+        return rows
+    n_bytes = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if n_bytes > MAX_BYTES:
+        return rows
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, n_bytes // BYTES_PER_TASK)
+    return rows.repartition(tasks) if tasks > 1 else rows

@@ -78,6 +78,21 @@ def test_all_forms_agree_with_brute_force(spark, seed):
         assert [tagged[str(i)] == "PROFANITY" for i in range(len(bodies))] == expected
 
 
+def test_special_characters_in_a_long_list(spark):
+    special = ["a[b]", "^caret", "x&&y", "a-z", "back\\slash", "{1}", "p|q", "q?", "🚀go", "$5", "#tag", "\"'", "é~"]
+    words = special + [f"{c}filler" for c in "bcdefghijklmnoqrstuvwyz0123456789"]
+    assert len(words) > c.CHAIN_MAX_WORDS
+    near = ["a[b", "caret", "x&y", "amz", "backslash", "1", "p", "🚀", "tag", "e~"]
+    rows = messages(
+        spark,
+        [{"message_id": w, "message_body": f"…{w.upper()}…"} for w in words]
+        + [{"message_id": "no", "message_body": w} for w in near],
+    )
+    tagged = c.classify(rows, words)
+    assert tagged.where("profanity_type = 'PROFANITY'").count() == len(words)
+    assert tagged.where("message_id = 'no' AND profanity_type = 'SAFE'").count() == len(near)
+
+
 def test_join_form_checks_the_end_of_long_words(spark):
     long_word = "x" * 60 + "tail" * 10
     rows = messages(

@@ -8,7 +8,7 @@ from siftline.settings import Settings
 from siftline.sinks.fanout import FanOut
 from siftline.sinks.feed import RejectFiles, TopicFeed
 from siftline.sinks.lake import LakeSink
-from siftline.sinks.olap import OlapSink
+from siftline.sinks.olap import JdbcOlap, OlapSink
 from siftline.sources.kafka import TopicSource
 from siftline.sources.tables import create_lake_tables, create_olap_table
 from siftline.streaming.job import start
@@ -16,6 +16,15 @@ from siftline.streaming.job import start
 
 def sinks_for(spark: SparkSession, settings: Settings) -> FanOut:
     root = settings.warehouse
+    if settings.olap_url:
+        olap = JdbcOlap(
+            settings.olap_url,
+            settings.olap_user,
+            settings.olap_password,
+            f"{settings.olap_database}.{settings.olap_table}",
+        )
+    else:
+        olap = OlapSink(f"{root}/{settings.olap_database}", settings.olap_table)
     rejects = RejectFiles(f"{root}/rejects") if settings.decode_mode == QUARANTINE else None
     return FanOut(
         words=load_words(spark, settings.words_path),
@@ -26,7 +35,7 @@ def sinks_for(spark: SparkSession, settings: Settings) -> FanOut:
             settings.file_bytes,
             settings.writers,
         ),
-        olap=OlapSink(f"{root}/{settings.olap_database}", settings.olap_table),
+        olap=olap,
         rejects=rejects,
     )
 
@@ -36,10 +45,11 @@ def main() -> None:
     spark = SparkSession.builder.appName(settings.job_name).getOrCreate()
     sinks = sinks_for(spark, settings)
     create_lake_tables(spark, settings.namespace, sinks.lake)
-    create_olap_table(spark, settings.olap_database, sinks.olap)
+    if isinstance(sinks.olap, OlapSink):
+        create_olap_table(spark, settings.olap_database, sinks.olap)
     query = start(
         spark,
-        TopicSource(settings.bootstrap_servers),
+        TopicSource(settings.bootstrap_servers, max_offsets=settings.max_offsets),
         sinks,
         settings.checkpoint,
         settings.interval_ms,

@@ -14,9 +14,21 @@ def parse_instant(text: Column) -> Column:
     """Timestamp of a strict UTC instant string, null for anything else.
 
     The plain cast also takes dates, offsets and zone-less times, so the pattern
-    decides the format and the cast only checks the calendar.
+    decides the format and the cast only checks the calendar. Two times the cast
+    refuses are instants: midnight written as the end of a day is the start of
+    the next, and a leap second counts as the second before it.
     """
-    return F.when(text.rlike(INSTANT_PATTERN), F.upper(text).try_cast("timestamp"))
+    instant = F.upper(text)
+    day_end = F.lit("T24:00:00")
+    next_day = F.replace(instant, day_end, F.lit("T00:00:00")).try_cast("timestamp") + F.expr(
+        "INTERVAL 1 DAY"
+    )
+    no_leap = F.replace(instant, F.lit("T23:59:60"), F.lit("T23:59:59"))
+    return F.when(
+        text.rlike(INSTANT_PATTERN),
+        F.when(F.contains(instant, day_end), F.when(instant.rlike(r"T24:00:00(\.0*)?Z$"), next_day))
+        .otherwise(no_leap.try_cast("timestamp")),
+    )
 
 
 def wall_clock(ts: Column) -> Column:

@@ -11,9 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftline.functions.instants import hour_of_day, truncate
+from siftline.functions.instants import hour_of_day, month_number, truncate
 from siftline.functions.sizes import readable_size
-from siftline.schema import LAKE_DAY, OLAP_KEY, PROFANITY, SAFE
+from siftline.schema import LAKE_DAY, OLAP_KEY, OLAP_MONTH, PROFANITY, SAFE
 
 
 def count_all(rows: DataFrame) -> DataFrame:
@@ -33,12 +33,17 @@ def type_share(rows: DataFrame) -> DataFrame:
     return count_by_type(rows).withColumn("percentage", F.bround(share, 2))
 
 
-def newer_than(time: str, now: Column, hours: int) -> Column:
-    return F.col(time) > now - F.expr(f"INTERVAL {int(hours)} HOURS")
+def recent(rows: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+    """Rows of the last hours before ``now``; reads only their months where stored by month."""
+    bound = now - F.expr(f"INTERVAL {int(hours)} HOURS")
+    return _from_month(rows, bound).where(F.col("event_time") > bound)
 
 
-def recent(rows: DataFrame, now: Column, hours: int = 24) -> DataFrame:
-    return rows.where(newer_than("event_time", now, hours))
+def _from_month(rows: DataFrame, bound: Column) -> DataFrame:
+    """Plain files do not link ``event_time`` and its month: add the month's own bound."""
+    if OLAP_MONTH not in rows.columns:
+        return rows
+    return rows.where(F.col(OLAP_MONTH) >= month_number(bound))
 
 
 def messages_per_hour(rows: DataFrame, now: Column, hours: int = 24) -> DataFrame:
@@ -88,8 +93,16 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
 
 
 def latest_messages(rows: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` latest rows; the key breaks ties."""
-    return rows.orderBy(F.desc("event_time"), *OLAP_KEY).limit(n)
+    """The ``n`` latest rows of a stored table; the key breaks ties.
+
+    The time of the n-th latest row is found first, from the time column alone.
+    As a bound on the scan it leaves out all files and row groups that end
+    before it, so the wide columns are read for little more than the result.
+    """
+    times = rows.select("event_time").orderBy(F.desc("event_time")).limit(n)
+    bound = times.agg(F.min("event_time")).scalar()
+    late_enough = _from_month(rows, bound).where(F.col("event_time") >= bound)
+    return late_enough.orderBy(F.desc("event_time"), *OLAP_KEY).limit(n)
 
 
 def lake_range(

@@ -180,6 +180,11 @@ def latest_messages(spark, sf_dir):
     return analytics.latest_messages(_event_table(spark, sf_dir))
 
 
+def stored_size(spark, sf_dir):
+    """Size on storage; no SQL counterpart, as SQL does not see files."""
+    return analytics.stored_size(_events(spark, sf_dir))
+
+
 # Versions and duplicates
 
 
@@ -306,6 +311,7 @@ ALL: dict[str, Query] = {
         top_profane_accounts,
         account_hour_heatmap,
         latest_messages,
+        stored_size,
         duplicate_keys,
         latest_version_rows,
         merged_table,

@@ -10,9 +10,15 @@ from siftline.schema import OLAP_TABLE
 from siftline.sinks.layout import HASH, TARGET_FILE_BYTES
 from siftline.streaming.job import INTERVAL_MS
 
+# Messages per micro-batch. A batch is kept until all sinks have it, so a backlog
+# must not become one batch.
+MAX_OFFSETS = 50_000_000
+
 
 @dataclass(frozen=True)
 class Settings:
+    """``olap_url`` sends analytics rows to a database instead of files."""
+
     bootstrap_servers: str
     job_name: str
     interval_ms: int
@@ -24,6 +30,10 @@ class Settings:
     writers: int | None
     olap_database: str
     olap_table: str
+    olap_url: str | None
+    olap_user: str
+    olap_password: str
+    max_offsets: int
     words_path: str | None
     decode_mode: str
 
@@ -43,6 +53,10 @@ class Settings:
             writers=int(writers) if writers else None,
             olap_database=env.get("CLICKHOUSE_DATABASE", "default"),
             olap_table=env.get("CLICKHOUSE_TABLE", OLAP_TABLE),
+            olap_url=env.get("CLICKHOUSE_JDBC_URL"),
+            olap_user=env.get("CLICKHOUSE_USER", "default"),
+            olap_password=env.get("CLICKHOUSE_PASSWORD", ""),
+            max_offsets=int(env.get("SIFTLINE_MAX_OFFSETS", MAX_OFFSETS)),
             warehouse=env.get("SIFTLINE_WAREHOUSE", "spark-warehouse"),
             words_path=env.get("SIFTLINE_WORDS"),
             decode_mode=env.get("SIFTLINE_DECODE_MODE", "failfast"),

@@ -36,7 +36,8 @@ class FileFeed:
     path: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        out = encode_json(batch).write.mode("overwrite")
+        # Few rows come from many tasks: gather them into few files.
+        out = encode_json(batch).hint("rebalance").write.mode("overwrite")
         write_once(batch.sparkSession, self.path, batch_id, out.text)
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -50,7 +51,8 @@ class RejectFiles:
     path: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        out = batch.select("value", "reason", "ingest_ts").write.mode("overwrite")
+        kept = batch.select("value", "reason", "ingest_ts").hint("rebalance")
+        out = kept.write.mode("overwrite")
         write_once(batch.sparkSession, self.path, batch_id, out.json)
 
     def read(self, spark: SparkSession) -> DataFrame:

@@ -39,6 +39,34 @@ def stored_rows(batch: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class JdbcOlap:
+    """The same rows into a table of a database, which sets the insert time itself.
+
+    At least once: a retried batch may repeat rows, and the table deduplicates.
+    """
+
+    url: str
+    user: str
+    password: str
+    table: str = OLAP_TABLE
+    rows_per_insert: int = 5000
+
+    def options(self) -> dict[str, str]:
+        return {
+            "url": self.url,
+            "user": self.user,
+            "password": self.password,
+            "dbtable": self.table,
+            "batchsize": str(self.rows_per_insert),
+            "isolationLevel": "NONE",
+        }
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows = olap_rows(batch, F.col("ingest_ts"))
+        rows.write.format("jdbc").options(**self.options()).mode("append").save()
+
+
 @dataclass(frozen=True)
 class OlapSink:
     root: str
@@ -71,8 +99,11 @@ class OlapSink:
         return batches.strip_batch_columns(stored)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The visible columns of the latest versions."""
-        return latest_versions(self.read_all(spark)).select(*OLAP_FIELDS)
+        """The visible columns of the latest versions, and their month for pruning.
+
+        A condition on the month reaches the scan, as versions never leave theirs.
+        """
+        return latest_versions(self.read_all(spark)).select(*OLAP_FIELDS, OLAP_MONTH)
 
     def merge(self, spark: SparkSession, whole: bool = True) -> str | None:
         """Store only the latest versions, in files of the target size sorted by key.

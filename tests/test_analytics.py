@@ -74,6 +74,17 @@ def test_account_queries(spark):
     assert [r.message_id for r in analytics.latest_messages(rows, 3).collect()] == ["5", "5", "4"]
 
 
+def test_latest_messages_with_ties_and_few_rows(spark):
+    rng = random.Random(3)
+    rows = [
+        (f"a{rng.randrange(4)}", f"{n:03}", "SAFE", T0 + dt.timedelta(minutes=rng.randrange(12)))
+        for n in range(60)
+    ]
+    ordered = sorted(rows, key=lambda r: (-r[3].timestamp(), r[0], r[1]))
+    for n in (1, 7, 59, 60, 100):
+        assert _list(analytics.latest_messages(_rows(spark, rows), n)) == ordered[:n]
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -81,7 +92,8 @@ def _plan(df):
 def test_plans(spark, tmp_path):
     _small(spark).write.parquet(f"{tmp_path}/t")
     rows, now = spark.read.parquet(f"{tmp_path}/t"), F.lit("2025-01-03T01:00:00").cast("timestamp_ntz")
-    assert "TakeOrderedAndProject" in _plan(analytics.latest_messages(rows))
+    latest = _plan(analytics.latest_messages(rows))
+    assert "TakeOrderedAndProject" in latest and "GreaterThanOrEqual(event_time,Scalar" in latest
     assert "TakeOrderedAndProject" in _plan(analytics.top_profane_accounts(rows))
     hourly = _plan(analytics.messages_per_hour(rows, now))
     assert "GreaterThan(event_time" in hourly and "ReadSchema: struct<event_time:timestamp_ntz>" in hourly

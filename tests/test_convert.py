@@ -68,7 +68,8 @@ def test_null_timestamp_is_the_ingest_time(spark):
 
 BAD = ["", "invalid-timestamp-format", "2025-01-01", "2025-01-01T10:00:00", "2025-01-01T10:00:00+02:00",
        "2025-01-01T10:00Z", "2025-02-30T10:00:00Z", "2025-13-01T10:00:00Z", " 2025-01-01T10:00:00Z",
-       "2025-01-01 10:00:00Z", "+2025-01-01T10:00:00Z", "12025-01-01T10:00:00Z", "2025-01-01T25:00:00Z"]
+       "2025-01-01 10:00:00Z", "+2025-01-01T10:00:00Z", "12025-01-01T10:00:00Z", "2025-01-01T25:00:00Z",
+       "2025-01-01T24:00:01Z", "2025-01-01T24:00:00.5Z", "2025-02-30T24:00:00Z", "2025-01-01T22:59:60Z"]
 
 
 @pytest.mark.parametrize("timestamp", BAD)
@@ -94,6 +95,10 @@ GOOD = {
     "2025-12-25t15:30:45z": dt.datetime(2025, 12, 25, 15, 30, 45),
     "2025-12-25T15:30:45.Z": dt.datetime(2025, 12, 25, 15, 30, 45),
     "1969-12-31T23:59:59.999Z": dt.datetime(1969, 12, 31, 23, 59, 59, 999000),
+    "2024-12-31T24:00:00Z": dt.datetime(2025, 1, 1),
+    "2024-02-28T24:00:00.000Z": dt.datetime(2024, 2, 29),
+    "2016-12-31T23:59:60Z": dt.datetime(2016, 12, 31, 23, 59, 59),
+    "2016-12-31T23:59:60.5Z": dt.datetime(2016, 12, 31, 23, 59, 59, 500000),
     "2024-02-29T00:00:00Z": dt.datetime(2024, 2, 29),
 }
 

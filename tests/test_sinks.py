@@ -122,7 +122,12 @@ def test_olap_layout(spark, tmp_path):
         assert {r.inserted_at for r in stored} == {dt.datetime(2025, 6, 1, 12)}
         assert {r.event_time.microsecond for r in stored} == {123000}
         assert {r.batch_id for r in stored} == {7}
-    assert tuple(olap.read(spark).columns) == OLAP_FIELDS
+    assert tuple(olap.read(spark).columns) == (*OLAP_FIELDS, "event_month")
+    now = F.lit("2025-02-05T01:00:00").cast("timestamp_ntz")
+    for found in (analytics.recent(olap.read(spark), now), analytics.recent(olap.read_all(spark), now)):
+        assert found.count() == 5
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "(event_month" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
 
 
 def test_newest_version_wins_inside_a_month(spark, tmp_path):

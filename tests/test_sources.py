@@ -63,6 +63,9 @@ def test_settings_from_environment(spark, tmp_path):
     assert sinks.lake.writers == 4 and sinks.lake.root == f"{tmp_path}/raw_messages"
     assert sinks.rejects is not None and "hate" in sinks.words
     assert sinks_for(spark, Settings.from_env({})).rejects is None
+    jdbc = sinks_for(spark, Settings.from_env({"CLICKHOUSE_JDBC_URL": "jdbc:x://h/d"})).olap
+    assert jdbc.options()["dbtable"] == "default.message_events"
+    assert jdbc.options()["batchsize"] == "5000"
 
 
 def test_prepare_sets_utc(spark):

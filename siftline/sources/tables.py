@@ -58,7 +58,9 @@ def _spec(folder: str) -> str:
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES FROM {namespace}").select("namespace", "tableName")
+    """Tables of the namespace; the session's own temporary views are none of them."""
+    shown = spark.sql(f"SHOW TABLES FROM {namespace}").where("NOT isTemporary")
+    return shown.select("namespace", "tableName")
 
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:

@@ -286,6 +286,7 @@ def test_catalog_tables_follow_the_committed_folders(spark, tmp_path):
     for _ in range(2):
         tables.create_lake_tables(spark, "screening_test", lake)
         tables.create_olap_table(spark, "screening_test", olap)
+    spark.range(1).createOrReplaceTempView("a_temporary_view")
     names = {r.tableName for r in tables.list_tables(spark, "screening_test").collect()}
     assert names == {PROFANE_TABLE, SAFE_TABLE, "message_events"}
     described = {r.col_name: r.data_type for r in tables.describe_table(spark, f"screening_test.{SAFE_TABLE}").collect()}

@@ -135,7 +135,7 @@ def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
         F.substring("word", 1, prefix_chars).alias("prefix"),
     )
     shapes = lookup.select("prefix", F.length("shingle").alias("chars")).distinct()
-    shingles = lookup.select("shingle").distinct()
+    shingles = lookup.select("shingle")
     if small:
         shapes, shingles = F.broadcast(shapes), F.broadcast(shingles)
 
@@ -158,11 +158,13 @@ def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
         started = hits.distinct().join(lookup.where(cut).select("shingle", "word"), "shingle")
         long_hits = started.join(distinct_texts, "digest").where(F.contains("text", "word"))
         profane = whole.select("digest").unionByName(long_hits.select("digest"))
-    flagged = profane.distinct().withColumn("_profane", F.lit(True))
-
+    # The key differs from what the digests were grouped by, so both sides of the
+    # join are shuffled for it and adaptive execution can split a text with very
+    # many copies over several tasks.
+    flagged = profane.distinct().select(F.unhex("digest").alias("_text"), F.lit(True).alias("_profane"))
     return (
-        messages.withColumn("digest", F.sha2(lowered, 256))
-        .join(flagged, "digest", "left")
+        messages.withColumn("_text", F.unhex(F.sha2(lowered, 256)))
+        .join(flagged, "_text", "left")
         .withColumn("profanity_type", tag(F.coalesce("_profane", F.lit(False))))
-        .drop("digest", "_profane")
+        .drop("_text", "_profane")
     )

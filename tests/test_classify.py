@@ -122,6 +122,34 @@ def test_join_form_without_broadcast(spark, monkeypatch):
     assert tagged.count() == 40
 
 
+def test_join_form_splits_a_text_with_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(c, "BROADCAST_MAX_ROWS", 0)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = spark.range(0, 6000, 1, 8).selectExpr(
+            "sha2(cast(id as string), 512) AS account_id",
+            "cast(id as string) AS message_id",
+            "if(id % 3 = 0, 'the same gun text', concat('clean ', sha2(cast(id as string), 512))) AS message_body",
+        )
+        tagged = c.classify_by_join(rows, words_table(spark, ["gun", "zebra"]))
+        found = tagged.collect()
+        assert sum(r.profanity_type == "PROFANITY" for r in found) == 2000
+        assert len(found) == 6000
+        assert "skew=true" in tagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_short_list_stays_in_codegen(spark):
     plan = c.classify(messages(spark, []), ["gun", "bad"])._jdf.queryExecution().executedPlan().toString()
     assert "Contains(lower(" in plan and "Exchange" not in plan

@@ -20,6 +20,7 @@ from siftline.sinks.fanout import FanOut
 from siftline.sinks.feed import FileFeed, RejectFiles
 from siftline.sinks.lake import LakeSink, table_of
 from siftline.sinks.olap import OlapSink
+from siftline.sources.local import MAX_BATCH_BYTES
 from siftline.streaming.job import run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,7 +235,8 @@ def _stream_documents(spark: SparkSession, sf_dir: str) -> FanOut:
 
     def source(session: SparkSession) -> DataFrame:
         # The file source wants a folder or a pattern, not a single file.
-        documents = session.readStream.schema(schema).parquet(f"{sf_dir}/documents[.]parquet")
+        reader = session.readStream.schema(schema).option("maxBytesPerTrigger", MAX_BATCH_BYTES)
+        documents = reader.parquet(f"{sf_dir}/documents[.]parquet")
         return views.document_values(documents)
 
     root = shared_dir(spark, "screening")

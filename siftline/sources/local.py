@@ -11,21 +11,23 @@ from siftline.schema import MESSAGE_FIELDS, MESSAGE_SCHEMA
 
 Source = Callable[[SparkSession], DataFrame]
 
+# Input of one micro-batch. A batch is kept until all sinks have it, so a backlog
+# must not become one batch.
+MAX_BATCH_BYTES = 64 * 1024**3
+
 
 @dataclass(frozen=True)
 class LineFiles:
-    """JSON lines from files, as a stream or as a batch."""
+    """JSON lines from files, as a batch or as a stream of bounded micro-batches."""
 
     path: str
     streaming: bool = True
-    max_files: int | None = None
+    max_bytes: int = MAX_BATCH_BYTES
 
     def __call__(self, spark: SparkSession) -> DataFrame:
         if not self.streaming:
             return spark.read.text(self.path).select("value")
-        reader = spark.readStream
-        if self.max_files:
-            reader = reader.option("maxFilesPerTrigger", self.max_files)
+        reader = spark.readStream.option("maxBytesPerTrigger", self.max_bytes)
         return reader.text(self.path).select("value")
 
 

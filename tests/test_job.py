@@ -42,8 +42,8 @@ class Job:
         self.written += 1
         os.utime(path, (self.written, 1_700_000_000 + self.written))
 
-    def run(self, sinks=None, max_files=None):
-        source = LineFiles(f"{self.root}/in", max_files=max_files)
+    def run(self, sinks=None, **bounds):
+        source = LineFiles(f"{self.root}/in", **bounds)
         run(self.spark, source, sinks or self.sinks, f"{self.root}/checkpoint")
 
     def counts(self):
@@ -119,7 +119,7 @@ def test_many_batches(spark, tmp_path):
     job = Job(spark, tmp_path)
     for n in range(4):
         job.put(f"{n}.json", [_message(10 * n + i, "gun" if i else "ok") for i in range(3)])
-    job.run(max_files=1)
+    job.run(max_bytes=1)
     assert job.counts() == _counts(8, 4)
     assert len(batches.committed(spark, f"{tmp_path}/feed")) == 4
 
@@ -233,7 +233,7 @@ def test_windows_drop_late_rows_only_in_their_own_query(spark, tmp_path):
             f"{n}.json",
             [_message(f"{n}-{i}", "gun", timestamp=f"2025-01-01T{t}Z") for i, t in enumerate(times)],
         )
-    source = LineFiles(f"{tmp_path}/in", max_files=1)
+    source = LineFiles(f"{tmp_path}/in", max_bytes=1)
     counted = late.window_counts(classify(arrivals(source(spark)), ["gun"]))
     query = (
         counted.writeStream.format("memory")

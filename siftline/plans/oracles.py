@@ -233,6 +233,13 @@ SELECT account_id, message_id, count(*) AS occurrences
 FROM versions GROUP BY account_id, message_id HAVING count(*) > 1""",
     "latest_version_rows": LATEST,
     "merged_table": LATEST,
+    "lake_after_replay": f"""
+WITH {LAKE}
+SELECT account_id, message_id, message_body, correlation_id, message_status, "timestamp", profanity_type,
+       CAST("timestamp" AS DATE) AS timestamp_day,
+       CASE WHEN profanity_type = 'PROFANITY' THEN 'profanity_messages' ELSE 'safe_messages' END
+         AS table_name
+FROM lake""",
     "late_rows_audit": """
 WITH arrivals AS (
   SELECT user_id % 3 AS source_partition, event_id AS "offset",

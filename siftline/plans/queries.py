@@ -18,7 +18,7 @@ from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE
 from siftline.session import prepare, shared_dir
 from siftline.sinks.fanout import FanOut
 from siftline.sinks.feed import FileFeed, RejectFiles
-from siftline.sinks.lake import LakeSink, table_of
+from siftline.sinks.lake import TABLES, LakeSink, table_of
 from siftline.sinks.olap import OlapSink
 from siftline.sources.local import MAX_BATCH_BYTES
 from siftline.streaming.job import run
@@ -210,6 +210,22 @@ def merged_table(spark, sf_dir):
     return sink.read_all(spark).select(*OLAP_FIELDS)
 
 
+def lake_after_replay(spark, sf_dir):
+    """The lake tables after a batch was written, written again, and compacted."""
+    lake = LakeSink(shared_dir(spark, "lake_after_replay"))
+    batch = _irregular(spark, sf_dir).withColumn("ingest_ts", views.ingest_ts())
+    lake(batch, 0)
+    lake(batch, 0)
+    for name in TABLES:
+        lake.merge(spark, name)
+    return _both_tables(spark, lake)
+
+
+def _both_tables(spark: SparkSession, lake: LakeSink) -> DataFrame:
+    profane, safe = (lake.read(spark, name).withColumn("table_name", F.lit(name)) for name in TABLES)
+    return profane.unionByName(safe)
+
+
 # Late rows and windows
 
 
@@ -274,13 +290,9 @@ def stream_fan_out_counts(spark, sf_dir):
 def stream_lake_tables(spark, sf_dir):
     """The lake tables a run of the job leaves, except times taken from the clock."""
     lake = _stream_documents(spark, sf_dir).lake
-    parts = [
-        lake.read(spark, name).withColumn("table_name", F.lit(name)) for name in (PROFANE_TABLE, SAFE_TABLE)
-    ]
     known = F.col("message_status") != "ERROR"
     return (
-        parts[0]
-        .unionByName(parts[1])
+        _both_tables(spark, lake)
         .withColumn("timestamp", F.when(known, F.col("timestamp")))
         .withColumn(LAKE_DAY, F.when(known, F.col(LAKE_DAY)))
     )
@@ -317,6 +329,7 @@ ALL: dict[str, Query] = {
         duplicate_keys,
         latest_version_rows,
         merged_table,
+        lake_after_replay,
         late_rows_audit,
         window_counts,
         stream_fan_out_counts,

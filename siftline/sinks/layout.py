@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Distribution modes and the default file size of 128 MiB.
 HASH = "HASH"
@@ -26,8 +27,9 @@ def distribute(
     HASH brings a partition's rows together, except that adaptive execution cuts
     a partition larger than the target file size into several tasks, so one day
     with a third of the rows is not one task. RANGE orders rows by the partition
-    and the ``sort`` columns, which cuts a large partition too. NONE leaves them.
-    With ``writers`` the number of write tasks is fixed.
+    and the ``sort`` columns, which cuts a large partition too; the task a row
+    comes from is the last key, so that even equal rows can be cut. NONE leaves
+    rows where they are. With ``writers`` the number of write tasks is fixed.
     """
     mode = mode.upper()
     if mode == NONE:
@@ -35,8 +37,9 @@ def distribute(
     if mode == HASH:
         return rows.hint("rebalance", *([writers] if writers else []), partition)
     if mode == RANGE:
-        keys = (partition, *sort)
-        return rows.repartitionByRange(writers, *keys) if writers else rows.repartitionByRange(*keys)
+        keys = (*([writers] if writers else []), partition, *sort, "_from")
+        numbered = rows.withColumn("_from", F.spark_partition_id())
+        return numbered.repartitionByRange(*keys).drop("_from")
     raise ValueError(f"unknown distribution mode {mode}")
 
 

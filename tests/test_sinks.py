@@ -247,6 +247,14 @@ def test_hash_mode_splits_a_hot_day(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
 
 
+def test_range_mode_splits_equal_rows(spark):
+    rows = spark.range(0, 8000, 1, 8).selectExpr("'' AS message_id", "date'2025-01-01' AS timestamp_day")
+    spread = distribute(rows, RANGE, "timestamp_day", ("message_id",), 8)
+    assert spread.columns == rows.columns
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) <= 3000
+
+
 def test_writer_count_and_unknown_mode(spark):
     rows = spark.range(100).selectExpr("id AS message_id", "date'2025-01-01' AS timestamp_day")
     for mode in (NONE, RANGE):

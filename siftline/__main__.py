@@ -1,5 +1,7 @@
 """Run the continuous job: ``spark-submit -m siftline`` with the Kafka connector."""
 
+from functools import partial
+
 from pyspark.sql import SparkSession
 
 from siftline.operators.decode import QUARANTINE
@@ -10,12 +12,19 @@ from siftline.sinks.feed import RejectFiles, TopicFeed
 from siftline.sinks.lake import LakeSink
 from siftline.sinks.olap import JdbcOlap, OlapSink
 from siftline.sources.kafka import TopicSource
-from siftline.sources.tables import create_lake_tables, create_olap_table
+from siftline.sources.tables import create_lake_tables, create_olap_table, publish_all
 from siftline.streaming.job import start
 
 
 def sinks_for(spark: SparkSession, settings: Settings) -> FanOut:
     root = settings.warehouse
+    lake = LakeSink(
+        f"{root}/{settings.namespace}",
+        settings.distribution,
+        settings.file_bytes,
+        settings.writers,
+    )
+    published: list[tuple[str, LakeSink | OlapSink]] = [(settings.namespace, lake)]
     if settings.olap_url:
         olap = JdbcOlap(
             settings.olap_url,
@@ -25,18 +34,14 @@ def sinks_for(spark: SparkSession, settings: Settings) -> FanOut:
         )
     else:
         olap = OlapSink(f"{root}/{settings.olap_database}", settings.olap_table)
-    rejects = RejectFiles(f"{root}/rejects") if settings.decode_mode == QUARANTINE else None
+        published.append((settings.olap_database, olap))
     return FanOut(
         words=load_words(spark, settings.words_path),
         feed=TopicFeed(settings.bootstrap_servers),
-        lake=LakeSink(
-            f"{root}/{settings.namespace}",
-            settings.distribution,
-            settings.file_bytes,
-            settings.writers,
-        ),
+        lake=lake,
         olap=olap,
-        rejects=rejects,
+        rejects=RejectFiles(f"{root}/rejects") if settings.decode_mode == QUARANTINE else None,
+        written=partial(publish_all, sinks=published),
     )
 
 

@@ -41,7 +41,8 @@ def write_once(
 ) -> bool:
     """Let ``save`` write the folder of this batch unless it is already committed.
 
-    ``save`` must overwrite, which clears what a lost attempt left behind.
+    ``save`` must overwrite, which clears what a lost attempt left behind. Outside
+    a stream all callers share one stream id: new rows need a new batch id.
     """
     target = batch_dir(table, current_stream(spark), batch_id)
     if files.exists(spark, f"{target}/{SUCCESS}"):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from siftline.operators.classify import classify, profane_only
 from siftline.operators.decode import messages_of, rejects_of
@@ -20,6 +20,7 @@ class FanOut:
 
     ``feed`` gets the profane messages, ``lake`` and ``olap`` get all of them.
     With ``rejects`` the batch also carries undecodable values, which go there.
+    ``written`` is called once all sinks have the batch.
     """
 
     words: Iterable[str] | DataFrame
@@ -27,6 +28,7 @@ class FanOut:
     lake: Sink
     olap: Sink
     rejects: Sink | None = None
+    written: Callable[[SparkSession], None] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         screened = classify(batch, self.words).persist()
@@ -38,5 +40,7 @@ class FanOut:
             self.feed(profane_only(messages), batch_id)
             self.lake(messages, batch_id)
             self.olap(messages, batch_id)
+            if self.written is not None:
+                self.written(batch.sparkSession)
         finally:
             screened.unpersist()

@@ -52,6 +52,16 @@ def publish(spark: SparkSession, name: str, path: str) -> None:
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
 
 
+def publish_all(spark: SparkSession, sinks: list[tuple[str, LakeSink | OlapSink]]) -> None:
+    """``publish`` for the tables of each sink, given with its namespace."""
+    for namespace, sink in sinks:
+        if isinstance(sink, LakeSink):
+            for table in TABLES:
+                publish(spark, f"{namespace}.{table}", sink.path(table))
+        else:
+            publish(spark, f"{namespace}.{sink.table}", sink.path)
+
+
 def _spec(folder: str) -> str:
     pairs = (part.split("=", 1) for part in folder.split("/"))
     return ", ".join(f"{column}='{value}'" for column, value in pairs)

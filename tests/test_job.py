@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 import os
+from dataclasses import replace
+from functools import partial
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -17,6 +19,7 @@ from siftline.sinks.fanout import FanOut
 from siftline.sinks.feed import FileFeed, RejectFiles
 from siftline.sinks.lake import LakeSink
 from siftline.sinks.olap import OlapSink
+from siftline.sources import tables
 from siftline.sources.local import LineFiles
 from siftline.streaming.job import arrivals, run, start
 
@@ -208,6 +211,22 @@ def test_continuous_trigger(spark, tmp_path):
     assert job.counts() == _counts(1, 1)
 
 
+def test_catalog_shows_each_batch_once_written(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    published = [("job_lake", job.sinks.lake), ("job_olap", job.sinks.olap)]
+    tables.create_lake_tables(spark, "job_lake", job.sinks.lake)
+    tables.create_olap_table(spark, "job_olap", job.sinks.olap)
+    sinks = replace(job.sinks, written=partial(tables.publish_all, sinks=published))
+    for n in range(2):
+        job.put(f"{n}.json", [_message(2 * n, "gun"), _message(2 * n + 1, "ok")])
+        job.run(sinks)
+        assert spark.table(f"job_lake.{PROFANE_TABLE}").count() == n + 1
+        assert spark.table(f"job_lake.{SAFE_TABLE}").count() == n + 1
+        assert spark.table("job_olap.message_events").count() == 2 * n + 2
+    for namespace, _ in published:
+        spark.sql(f"DROP DATABASE {namespace} CASCADE")
+
+
 def test_word_table_as_lexicon(spark, tmp_path):
     job = Job(spark, tmp_path)
     job.put("a.json", [_message(1, "a GUN"), _message(2, "ok"), _message(3, None)])

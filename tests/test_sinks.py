@@ -297,7 +297,8 @@ def test_catalog_tables_follow_the_committed_folders(spark, tmp_path):
     spark.range(1).createOrReplaceTempView("a_temporary_view")
     names = {r.tableName for r in tables.list_tables(spark, "screening_test").collect()}
     assert names == {PROFANE_TABLE, SAFE_TABLE, "message_events"}
-    described = {r.col_name: r.data_type for r in tables.describe_table(spark, f"screening_test.{SAFE_TABLE}").collect()}
+    columns = tables.describe_table(spark, f"screening_test.{SAFE_TABLE}").collect()
+    described = {r.col_name: r.data_type for r in columns}
     assert described["timestamp"] == "timestamp_ntz" and described["timestamp_day"] == "date"
 
     def count(table):

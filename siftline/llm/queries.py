@@ -5,14 +5,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import bpe
+from siftline.llm import bpe, langid, packing, quality
 from siftline.llm.common import table
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = langid.identify(docs, langid.fit(langid.train_rows(docs)))
+    return langid.held_out(labelled).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.without_shares(quality.rate(table(spark, sf_dir, "documents")))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op10_byte_bpe,)}
+QUERIES = {f.__name__: f for f in (op4_language, op5_repetition, op8_packing, op10_byte_bpe)}
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,144 @@
+"""Context-tree weighting against a direct recursion over dictionaries, and held-out quality."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as contract
+from siftline.llm import ctw
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute_model(texts, depth):
+    """A function that gives log10 of the probability of a text, by the textbook recursion."""
+    counts = Counter()
+    children = {}
+    for data in texts:
+        padded = bytes([255] * depth) + data + b"\xff"
+        for i in range(depth, len(padded)):
+            recent = padded[i - depth : i][::-1]
+            for j in range(8):
+                prefix = (1 << j) | (padded[i] >> (8 - j))
+                for d in range(depth + 1):
+                    counts[recent[:d], prefix, (padded[i] >> (7 - j)) & 1] += 1
+                    if d:
+                        children.setdefault((recent[: d - 1], prefix), set()).add(recent[:d])
+
+    def log_stop(context, prefix):
+        a, b = counts[context, prefix, 0], counts[context, prefix, 1]
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+
+    memo = {}
+
+    def log_deeper(context, prefix):
+        if (context, prefix) not in memo:
+            memo[context, prefix] = sum(log_weighted(c, prefix) for c in children.get((context, prefix), ()))
+        return memo[context, prefix]
+
+    def log_weighted(context, prefix):
+        if len(context) == depth:
+            return log_stop(context, prefix)
+        return np.logaddexp(log_stop(context, prefix), log_deeper(context, prefix)) - math.log(2)
+
+    def probability(recent, d, prefix, bit):
+        context = recent[:d]
+        a, b = counts[context, prefix, 0], counts[context, prefix, 1]
+        own = ((b if bit else a) + 0.5) / (a + b + 1)
+        if d == depth:
+            return own
+        ratio = math.exp(min(700, log_stop(context, prefix) - log_deeper(context, prefix)))
+        return (ratio * own + probability(recent, d + 1, prefix, bit)) / (ratio + 1)
+
+    def score(data):
+        padded, total = bytes([255] * depth) + data + b"\xff", 0.0
+        for i in range(depth, len(padded)):
+            recent = padded[i - depth : i][::-1]
+            for j in range(8):
+                total += math.log10(probability(recent, 0, (1 << j) | (padded[i] >> (8 - j)), (padded[i] >> (7 - j)) & 1))
+        return total
+
+    return score
+
+
+def brute_base(learnt, text):
+    tokens = Counter(t for x in learnt for t in [*ctw.lowered(x).split(), None])
+    n, v = sum(tokens.values()), len(tokens)
+    own = [*ctw.lowered(text).split(), None]
+    return len(own), sum(tokens[t] > 0 for t in own), n, sum(math.log10((tokens[t] + 1) / (n + v + 1)) for t in own)
+
+
+def remainder(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 7
+
+
+def test_equal_to_the_direct_recursion(spark):
+    words = ["The", "cat", "sat", "on", "thé", "mat\n", "Mat", "and", "ran"]
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 12)))) for i in range(40)] + [(40, None), (41, ""), (None, "zebra the")]
+    learnt = [t for i, t in rows if i is not None and remainder(i) != 2]
+    score = brute_model([ctw.lowered(t) for t in learnt], ctw.DEPTH)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in ctw.score(docs).collect()}
+    assert len(found) == len(rows)
+    for doc, text in rows:
+        row = found[doc]
+        assert row.held_out == (doc is not None and remainder(doc) == 2)
+        n, known, total, base = brute_base(learnt, text)
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (n, known, total)
+        assert row.base_score == pytest.approx(base)
+        assert row.score == pytest.approx(score(ctw.lowered(text)), rel=1e-5)
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    one = {r.doc_id: r for r in ctw.score(docs).collect()}
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 100_000)
+    monkeypatch.setattr(ctw, "TREE_ROWS", 500)
+    many = {r.doc_id: r for r in ctw.score(docs).collect()}
+    assert one.keys() == many.keys()
+    for doc, row in one.items():
+        assert many[doc].score == pytest.approx(row.score, rel=1e-6)
+        assert many[doc].base_score == pytest.approx(row.base_score)
+
+
+def test_query_beats_the_unigram_on_held_out_text(spark):
+    # In a tiny corpus most words are new, and the unigram gives a new word a price that ignores its length.
+    rows = contract.queries()["op9_context_trees"](spark, "/root/testdata/sf0.1").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    learnt = [d.text for d in docs if remainder(d.doc_id) != 2]
+    text = {d.doc_id: d.text for d in docs}
+    for row in rows[:2]:
+        n, known, total, base = brute_base(learnt, text[row.doc_id])
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (n, known, total)
+        assert row.base_score == pytest.approx(base)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_one_probability_distribution():
+    codes = np.unique(np.concatenate([ctw.gram_codes(b"banana bandana"), ctw.gram_codes(b"cabana")]))
+    context = codes[3] >> np.uint64(8) << np.uint64(8)
+    every = np.unique(np.concatenate([codes, context + np.arange(256, dtype=np.uint64)]))
+    counts = np.isin(every, codes).astype(np.int64) * 3
+    bits, (at, prefix, zeros, ones, weighted) = ctw.subtrees(every, counts)
+    sums = {}
+    for c, p, z, o, w in zip(at, prefix, zeros, ones, weighted, strict=True):
+        key = int(c) >> 8, int(p)
+        sums[key] = [a + b for a, b in zip(sums.get(key, (0, 0, 0)), (z, o, w), strict=True)]
+    import pandas as pd
+
+    frame = pd.DataFrame([(*k, *v) for k, v in sums.items()], columns=["recent", "prefix", "zeros", "ones", "log_weighted"])
+    logs = ctw.log10_bytes(every, bits, ctw.top_levels(frame))
+    inside = (every >> np.uint64(8)) == (context >> np.uint64(8))
+    assert (10 ** logs[inside]).sum() == pytest.approx(1)
+
+
+def test_edge_tables(spark):
+    docs = spark.createDataFrame([(5, "x", 1.0), (5, "x", 1.0)], "doc_id long, text string, score double")
+    assert len({(r.score, r.n_tokens) for r in ctw.score(docs).collect()}) == 1
+    assert ctw.score(docs.limit(0)).count() == 0

@@ -1,0 +1,65 @@
+"""Host reputation: SQL over the whole tables, rules, and shrinking of small hosts."""
+
+import pytest
+
+import __spark_entry__ as contract
+from siftline.llm import hosts
+from siftline.llm.queries import RULES
+from tests.oracle import connect, spark_rows, sql_rows
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_query_matches_sql(spark, sf):
+    df = contract.queries()["op3_host_reputation"](spark, f"/root/testdata/sf{sf}")
+    names, expected = sql_rows(connect(f"/root/testdata/sf{sf}"), contract.oracle_sql()["op3_host_reputation"])
+    assert sorted(df.columns) == names and spark_rows(df) == expected
+
+
+def judged(spark, urls, labels=()):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    marks = spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int")
+    return {r.page_id: r for r in hosts.judge(pages, hosts.outcomes(marks), RULES).collect()}
+
+
+def test_rules_and_parts(spark):
+    urls = [
+        "http://a.net/x", "http://net/", "http://a.net", "HTTP://WWW.Example.NET/en/1?q#f", "https://example.net/de/1",
+        "http://m.example.com/de/", "http://myexample.com/de/", "http://x.org/fr/9", "http://x.org/FR/9", None, "no url", "http://",
+        "x://h?q/p", "a://b://c/d",
+    ]
+    rows = judged(spark, urls)
+    assert [rows[i].rule for i in range(len(urls))] == [
+        "net/", "net/", None, "example.net/en/", "net/", "example.com/de/", None, "org/fr/", None, None, None, None, None, None,
+    ]
+    assert [rows[i].verdict for i in (0, 3, 5, 7)] == ["block", "allow", "block", "allow"]
+    assert (rows[3].host, rows[3].path) == ("www.example.net", "/en/1")
+    assert [(rows[i].host, rows[i].path) for i in (9, 10, 11, 12, 13)] == [("", ""), ("", ""), ("", ""), ("h", ""), ("b:", "//c/d")]
+
+
+def test_domains(spark):
+    names = ["a.b.example.com", "example.com", "com", "", "x.y.co.uk", "y.co.uk", "z.uk"]
+    df = spark.createDataFrame([(n,) for n in names], "host string")
+    found = [r[0] for r in df.select(hosts.registered_domain(hosts.F.col("host"))).collect()]
+    assert found == ["example.com", "example.com", "com", "", "y.co.uk", "y.co.uk", "z.uk"]
+
+
+def test_small_hosts_lean_on_their_domain(spark):
+    urls = [f"http://h{i % 4}.bad.com/" for i in range(80)] + [f"http://h{i % 4}.good.com/" for i in range(80)]
+    urls += ["http://new.bad.com/", "http://new.good.com/", "http://one.good.com/"]
+    labels = [(i, 0, 1) for i in range(80)] + [(i, 1, 0) for i in range(80, 160)] + [(162, 0, None), (162, 0, None), (None, 0, 1), (5, None, None)]
+    rows = judged(spark, urls, labels)
+    assert rows[0].verdict == "block" and rows[80].verdict == "allow"
+    assert rows[161].verdict == "allow" and rows[162].verdict == "allow"  # one bad page does not condemn a host
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    means = {r.host: r.mean for r in hosts.reputation(pages, hosts.outcomes(marks)).collect()}
+    assert means["h0.bad.com"] > means["new.bad.com"] > means["one.good.com"] > means["new.good.com"]
+
+
+def test_edge_tables(spark):
+    rows = judged(spark, ["http://a.com/", "http://a.com/"])
+    assert [r.verdict for r in rows.values()] == ["allow"] * 2
+    pages = spark.createDataFrame([(None, None, 1), (1, "x://h", 1), (1, "x://h", 1)], "page_id long, url string, host int")
+    marks = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert hosts.judge(pages, hosts.outcomes(marks), RULES).count() == 3
+    assert hosts.judge(pages.limit(0), hosts.outcomes(marks.limit(0)), RULES).count() == 0

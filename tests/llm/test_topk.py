@@ -1,0 +1,60 @@
+"""Exact top-k: SQL over the whole table, and bounds that never lose a pair."""
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as contract
+from siftline.llm import topk
+from tests.oracle import connect, spark_rows, sql_rows
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_matches_sql(spark, sf):
+    df = contract.queries()["op7_exact_topk"](spark, f"/root/testdata/sf{sf}")
+    names, expected = sql_rows(connect(f"/root/testdata/sf{sf}"), contract.oracle_sql()["op7_exact_topk"])
+    assert sorted(df.columns) == names and spark_rows(df) == expected
+
+
+@pytest.mark.parametrize("dim", [1, 5, 16, 64])
+@pytest.mark.parametrize("segments", topk.SEGMENTS)
+def test_bounds_hold(dim, segments):
+    rng = np.random.default_rng(dim)
+    q, x = rng.integers(-90, 90, (20, dim)).astype(float), rng.integers(-90, 90, (30, dim)).astype(float)
+    low = topk.least_distances(topk.statistics(q, segments), topk.statistics(x, segments), (q**2).sum(1), (x**2).sum(1))
+    exact = ((q[:, None] - x[None]) ** 2).sum(2)
+    assert (low <= exact + 1e-6).all()
+
+
+def test_pairs_are_pruned_and_nothing_is_lost():
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 60, (20, 32))
+    x = np.round(centres[rng.integers(0, 20, 3000)] + rng.normal(0, 8, (3000, 32)))
+    search = topk.Search(list(range(0, 3000, 50)), list(x[::50]), 5)
+    for at in range(0, 3000, 500):
+        search.add(np.arange(at, at + 500), list(x[at : at + 500]))
+    query, found, score = (np.array(c) for c in search.results())
+    for q in range(0, 3000, 50):
+        products = x @ x[q]
+        best = sorted((-int(p), i) for i, p in enumerate(products) if i != q)[:5]
+        assert list(zip((-score[query == q]).tolist(), found[query == q].tolist(), strict=True)) == best
+    assert search.products < 0.5 * 60 * 3000
+
+
+def test_edge_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0], 0), (1, [1.0, 1.0], 0), (2, None, 0), (3, [1.0, None], 0), (4, [nan, 1.0], 0), (5, [inf, 1.0], 0),
+        (6, [], 0), (7, [1.0], 0), (8, [1e30, 0.0], 0), (9, [1.0, 1.0], 0), (9, [1.0, 1.0], 0), (None, [1.0, 1.0], 0), (50, [2.0, -0.001], 0),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
+    found = topk.search(topk.quantized(df, "vec_id", "embedding"), topk.F.col("vec_id") % 50 == 0, 5)
+    best = {}
+    for r in found.collect():
+        best.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert set(best) == {0, 50} and all(sorted(b) == [1, 2, 3, 4, 5] for b in best.values())
+    assert [best[0][i][0] for i in range(1, 6)] == [8, 50, 1, 7, 9]
+    assert best[0][2] == (50, 512 * 256)
+    few = spark.createDataFrame(rows[:2], df.schema)
+    assert topk.search(topk.quantized(few, "vec_id", "embedding"), topk.F.col("vec_id") % 50 == 0, 5).count() == 1
+    none = topk.quantized(df.limit(0), "vec_id", "embedding")
+    assert topk.search(none, topk.F.col("vec_id") % 50 == 0, 5).count() == 0

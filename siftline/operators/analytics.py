@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.instants import hour_of_day, month_number, truncate
@@ -121,8 +121,8 @@ def lake_range(
     return lake.where(F.col("timestamp") > bound).select(*columns)
 
 
-def stored_size(table: DataFrame) -> DataFrame:
-    """Bytes and readable size of the files behind a file-based table."""
-    files = table.select("_metadata.file_path", "_metadata.file_size").distinct()
-    total = files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"))
+def stored_size(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes and readable size of the files of a table, from their listing: no row is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    total = files.load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
     return total.withColumn("size", readable_size(F.col("bytes")))

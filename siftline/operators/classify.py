@@ -19,9 +19,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftline.operators.lexicon import TRIMMED
-from siftline.operators.spread import spread_small
+from siftline.operators.lexicon import TRIMMED, clean_words
 from siftline.schema import PROFANITY, SAFE
+from siftline.session import shared_dir
 
 # Where one pass of the alternation starts to beat a chain of contains.
 CHAIN_MAX_WORDS = 32
@@ -29,16 +29,18 @@ CHAIN_MAX_WORDS = 32
 # Alternatives tried in turn before the next character splits them.
 PLAIN_BRANCHES = 4
 
-# Join form: characters of text kept per position, words that may be broadcast,
-# and the width of the prefix filter.
-WINDOW_CHARS = 64
+# Join form: widths of a word's start that positions of a text are compared with, and the
+# characters a text is cut into. A start of at most four characters is as wide as its word.
+ANCHORS = (1, 2, 3, 4, 8, 16)
+PIECE_CHARS = 2048
+
+# Tables of at most so many short rows are sent to every executor; larger ones are shuffled.
 BROADCAST_MAX_ROWS = 500_000
-PREFIX_CHARS = 4
 
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:
     """True when ``text`` holds any word; false for null or empty text and lists."""
-    cleaned = sorted({w.strip(TRIMMED).lower() for w in words} - {""})
+    cleaned = sorted({w.strip(TRIMMED).lower() for w in words if w} - {""})
     if not cleaned:
         return F.lit(False)
     lowered = F.lower(text)
@@ -91,9 +93,6 @@ def classify(messages: DataFrame, words: Iterable[str] | DataFrame) -> DataFrame
     """Overwrite ``profanity_type``; an incoming value is ignored."""
     if isinstance(words, DataFrame):
         return classify_by_join(messages, words)
-    words = set(words)
-    if len(words) > CHAIN_MAX_WORDS:
-        messages = spread_small(messages)
     return messages.withColumn("profanity_type", tag(contains_any(F.col("message_body"), words)))
 
 
@@ -101,69 +100,70 @@ def profane_only(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("profanity_type") == PROFANITY)
 
 
-def classify_by_join(messages: DataFrame, words: DataFrame) -> DataFrame:
-    """``classify`` for a ``word`` table of any size (batch input).
+def _anchors(words: DataFrame) -> DataFrame:
+    """(anchor, whole, longer): starts of words; is one a word itself, and the lengths of longer words with it."""
+    chars = F.length("word")
+    width = F.least(chars, F.lit(4))
+    for wider in (8, 16):
+        width = F.when(chars >= wider, wider).otherwise(width)
+    started = words.select(F.col("word").substr(F.lit(1), width).alias("anchor"), width.alias("width"), chars.alias("chars"))
+    longer = F.collect_set(F.when(F.col("chars") > F.col("width"), F.col("chars")))
+    return started.groupBy("anchor").agg(F.max(F.col("chars") == F.col("width")).alias("whole"), longer.alias("longer"))
+
 
-    Every text is cut at each position into a window. Windows whose first
-    characters start some word survive, once per length of such a word, and are
-    compared with the words by equality, so one position yields at most one row
-    per word length however many words share a prefix. While the word table is
-    small enough to broadcast, that happens without a shuffle; beyond it copies
-    of a text are screened once. Only text digests travel back to the messages.
+def profane_texts(texts: DataFrame, words: DataFrame, broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The keys of those ``texts`` (key, text) that hold a word of a cleaned ``word`` table.
+
+    Texts are cut into overlapping pieces, and the start of every position is joined with
+    the starts of words, a few widths each, so a short word does not loosen what is asked
+    of long ones. A start that is no whole word leads to the lengths of its words, not to the
+    words: the text of each such length is looked up as a whole, once.
     """
-    bounds = words.agg(
-        F.min(F.length("word")).alias("shortest"),
-        F.max(F.length("word")).alias("longest"),
-        F.count("*").alias("n"),
-    ).first()
+    bounds = words.agg(F.max(F.length("word")).alias("longest"), F.count("*").alias("n")).first()
     if not bounds.n:
-        return messages.withColumn("profanity_type", F.lit(SAFE))
-    prefix_chars = min(PREFIX_CHARS, bounds.shortest)
-    window_chars = min(WINDOW_CHARS, bounds.longest)
-    small = bounds.n <= BROADCAST_MAX_ROWS
-
+        return texts.select("key").limit(0)
+    small = bounds.n <= broadcast_rows
+    anchors = _anchors(words)
+    widths = [w for w in ANCHORS if w <= bounds.longest]
+    step = max(PIECE_CHARS, bounds.longest)
+    overlapping = F.lit(rf"(?s)(?=(.{{1,{step + bounds.longest - 1}}})).{{1,{step}}}")
+    pieces = texts.select("key", F.posexplode(F.regexp_extract_all("text", overlapping, F.lit(1))).alias("piece", "text"))
+
+    starts = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{1,{widths[-1]}}}))"), F.lit(1))
+    positions = pieces.select("key", "piece", F.posexplode(starts).alias("at", "start"))
+    cuts = F.array_compact(F.array(*(F.when(F.length("start") >= w, F.substring("start", 1, w)) for w in widths)))
+    begun = positions.select("key", "piece", "at", F.explode(cuts).alias("anchor"))
+    hits = begun.join(F.broadcast(anchors) if small else anchors, "anchor")
+    whole = hits.where("whole").select("key")
+
+    candidates = hits.where("NOT whole").select("key", "piece", "at", F.explode("longer").alias("chars"))
+    found = F.expr("substring(text, at + 1, chars)").alias("word")
+    looked_up = candidates.join(pieces, ["key", "piece"]).select("key", found)
+    longer = looked_up.join(F.broadcast(words) if small else words, "word", "left_semi").select("key")
+    return whole.union(longer).distinct()
+
+
+def classify_by_join(messages: DataFrame, words: DataFrame, broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``classify`` for a table of words of any size (batch input), cleaned as a list would be.
+
+    The keys of profane texts are written to the shared folder once. While they are few they
+    are broadcast and the messages stay where they are; otherwise copies of a text are
+    screened once, and adaptive execution can split a text with very many copies.
+    """
+    words = clean_words(words)
     lowered = F.lower("message_body")
-    texts = (
-        messages.select(lowered.alias("text"))
-        .where(F.length("text") >= bounds.shortest)
-        .select(F.sha2("text", 256).alias("digest"), "text")
-    )
-    distinct_texts = texts.dropDuplicates(["digest"])
-    lookup = words.select(
-        "word",
-        F.substring("word", 1, window_chars).alias("shingle"),
-        F.substring("word", 1, prefix_chars).alias("prefix"),
-    )
-    shapes = lookup.select("prefix", F.length("shingle").alias("chars")).distinct()
-    shingles = lookup.select("shingle")
-    if small:
-        shapes, shingles = F.broadcast(shapes), F.broadcast(shingles)
-
-    overlapping = F.lit(rf"(?s)(?=(.{{{prefix_chars},{window_chars}}}))")
-    windows = spread_small(texts if small else distinct_texts).select(
-        "digest",
-        F.explode(F.array_distinct(F.regexp_extract_all("text", overlapping, F.lit(1)))).alias("window"),
-    ).withColumn("prefix", F.substring("window", 1, prefix_chars))
-    hits = (
-        windows.join(shapes, "prefix")
-        .where(F.length("window") >= F.col("chars"))
-        .select("digest", F.expr("substring(window, 1, chars)").alias("shingle"))
-        .join(shingles, "shingle", "left_semi")
-    )
-    profane = hits.select("digest")
-    if bounds.longest > window_chars:
-        # Words longer than a window matched only by their start: check the rest.
-        cut = F.length("word") > window_chars
-        whole = hits.join(lookup.where(~cut).select("shingle"), "shingle", "left_semi")
-        started = hits.distinct().join(lookup.where(cut).select("shingle", "word"), "shingle")
-        long_hits = started.join(distinct_texts, "digest").where(F.contains("text", "word"))
-        profane = whole.select("digest").unionByName(long_hits.select("digest"))
-    # The key differs from what the digests were grouped by, so both sides of the
-    # join are shuffled for it and adaptive execution can split a text with very
-    # many copies over several tasks.
-    flagged = profane.distinct().select(F.unhex("digest").alias("_text"), F.lit(True).alias("_profane"))
+    key = F.unhex(F.sha2(lowered, 256))
+    texts = messages.select(key.alias("key"), lowered.alias("text")).where(F.length("text") > 0)
+    if not broadcast_rows:
+        texts = texts.dropDuplicates(["key"])
+    spark = messages.sparkSession
+    path = shared_dir(spark, "profane-texts")
+    profane_texts(texts, words, broadcast_rows).select(F.col("key").alias("_text"), F.lit(True).alias("_profane")).write.parquet(path)
+    flagged = spark.read.schema("_text binary, _profane boolean").parquet(path)
+    if flagged.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        flagged = F.broadcast(flagged)
     return (
-        messages.withColumn("_text", F.unhex(F.sha2(lowered, 256)))
+        messages.withColumn("_text", key)
         .join(flagged, "_text", "left")
         .withColumn("profanity_type", tag(F.coalesce("_profane", F.lit(False))))
         .drop("_text", "_profane")

@@ -1,8 +1,8 @@
 """JSON values to messages and back.
 
-Numbers and booleans in a string field become text, extra fields are ignored and
-missing ones are null. What the message schema cannot hold is named in a
-``reason`` column and then either stops the job or is set aside.
+Numbers and booleans in a string field become text, numbers as they were sent, extra
+fields are ignored and missing ones are null. What the message schema cannot hold
+is named in a ``reason`` column and then either stops the job or is set aside.
 """
 
 from functools import reduce
@@ -10,15 +10,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftline.schema import MESSAGE_FIELDS, MESSAGE_SCHEMA, PROFANITY, SAFE
+from siftline.schema import MESSAGE_FIELDS, PROFANITY, SAFE
 
 # Why a value is not a message.
 MALFORMED = "malformed_json"
 NULL_RECORD = "null_record"
 NOT_OBJECT = "not_an_object"
 NESTED_FIELD = "nested_field"
+INEXACT_NUMBER = "inexact_number"
+TOO_LARGE = "too_large"
 UNKNOWN_TYPE = "unknown_profanity_type"
 
+# The parsed form of a value has at most 128 MiB; a larger value gets its own reason.
+MAX_VALUE_BYTES = 128 * 1024 * 1024
+
 FAILFAST = "failfast"
 QUARANTINE = "quarantine"
 
@@ -27,9 +32,40 @@ def _field(name: str, kind: str) -> Column:
     return F.variant_get("_json", f"$.{name}", kind)
 
 
+def _kind(name: str) -> Column:
+    return F.schema_of_variant(_field(name, "variant"))
+
+
 def _nested(name: str) -> Column:
-    schema = F.schema_of_variant(_field(name, "variant"))
-    return F.coalesce(F.substring(schema, 1, 5).isin("OBJEC", "ARRAY"), F.lit(False))
+    return F.coalesce(F.substring(_kind(name), 1, 5).isin("OBJEC", "ARRAY"), F.lit(False))
+
+
+def _number(name: str) -> tuple[Column, Column]:
+    """The text a number field was sent as, and whether it is certain.
+
+    Inside a JSON string every quote has a backslash, so the quoted name and a number
+    after it can only be a member; it is this one if it is the only one of equal value.
+    """
+    sent = F.regexp_extract_all("value", F.lit(rf'"{name}"\s*:\s*(-?[0-9][-+.eE0-9]*)'), F.lit(1))
+    only = F.try_element_at(sent, F.lit(1))
+    same = only.try_cast("double").eqNullSafe(_field(name, "double"))
+    return only, (F.size(sent) == 1) & same
+
+
+def _text(name: str) -> Column:
+    text, certain = _number(name)
+    number = ~F.coalesce(_kind(name).isin("STRING", "BOOLEAN", "VOID"), F.lit(True))
+    return F.when(number & certain, text).otherwise(_field(name, "string"))
+
+
+def _inexact(name: str) -> Column:
+    """A number whose text is neither certain nor, as a whole number, the same in any case."""
+    fraction = F.coalesce(_kind(name).rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+    return fraction & ~_number(name)[1]
+
+
+def _any(check, names=MESSAGE_FIELDS) -> Column:
+    return reduce(Column.__or__, map(check, names))
 
 
 def inspect_json(raw: DataFrame) -> DataFrame:
@@ -37,25 +73,23 @@ def inspect_json(raw: DataFrame) -> DataFrame:
 
     ``value`` itself is kept only beside a reason. The parsed value comes out of
     a one-element explode because filters move below a projection but not below
-    that: the checks then read it instead of parsing the text again each.
+    that: the checks and fields then read it instead of parsing the text again each.
     """
     reason = (
-        F.when(F.col("_json").isNull(), MALFORMED)
+        F.when(F.col("_json").isNull() & (F.octet_length("value") > MAX_VALUE_BYTES), TOO_LARGE)
+        .when(F.col("_json").isNull(), MALFORMED)
         .when(F.is_variant_null("_json"), NULL_RECORD)
         .when(~F.schema_of_variant("_json").startswith("OBJECT"), NOT_OBJECT)
-        .when(reduce(Column.__or__, map(_nested, MESSAGE_FIELDS)), NESTED_FIELD)
+        .when(_any(_nested), NESTED_FIELD)
+        .when(_any(_inexact), INEXACT_NUMBER)
         .when(~_field("profanity_type", "string").isin(PROFANITY, SAFE), UNKNOWN_TYPE)
     )
     others = [c for c in raw.columns if c != "value"]
+    fields = [F.when(F.col("reason").isNull(), _text(name)).alias(name) for name in MESSAGE_FIELDS]
     return (
         raw.select("*", F.explode(F.array(F.try_parse_json("value"))).alias("_json"))
-        .select(*others, "value", reason.alias("reason"), F.from_json("value", MESSAGE_SCHEMA).alias("_message"))
-        .select(
-            *others,
-            "_message.*",
-            "reason",
-            F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"),
-        )
+        .select(*others, "value", "_json", reason.alias("reason"))
+        .select(*others, *fields, "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"))
     )
 
 

@@ -40,9 +40,12 @@ def mark_late(
     The watermark is the newest event time so far in the same source, less the
     delay. A source may hold most of the rows, so its running maximum is built
     from chunks of the arrival order: the maximum of all earlier chunks (from a
-    summary with one row per chunk) and the running maximum inside the chunk.
+    summary with one row per chunk) and the running maximum inside the chunk. A row
+    without a place in the order (null source, null arrival) has no watermark and is not late.
     """
-    chunked = arrived.withColumn("_chunk", F.expr(f"`{arrival}` div {int(chunk_rows)}"))
+    placed = F.col(source).isNotNull() & F.col(arrival).isNotNull()
+    unplaced = arrived.where(~placed).withColumn("watermark", F.lit(None).cast("timestamp"))
+    chunked = arrived.where(placed).withColumn("_chunk", F.expr(f"`{arrival}` div {int(chunk_rows)}"))
     before = Window.partitionBy(source).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
         chunked.groupBy(source, "_chunk")
@@ -55,9 +58,11 @@ def mark_late(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     newest = F.greatest(F.max("event_ts").over(inside), F.col("_earlier"))
-    return (
+    marked = (
         chunked.join(earlier, [source, "_chunk"])
         .withColumn("watermark", newest - F.expr(f"INTERVAL {delay}"))
-        .withColumn("is_late", F.col("event_ts") < F.col("watermark"))
+        .withColumn("is_late", F.coalesce(F.col("event_ts") < F.col("watermark"), F.lit(False)))
         .drop("_chunk", "_earlier")
     )
+    unplaced = unplaced.withColumn("watermark", F.col("watermark").cast(marked.schema["watermark"].dataType))
+    return marked.unionByName(unplaced.withColumn("is_late", F.lit(False)))

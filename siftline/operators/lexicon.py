@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,16 +38,24 @@ def read_words(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The word list stored one per line at ``path``.
 
     No path means the shipped list and a path that does not exist means the
-    fallback list. An existing but empty file stays empty: nothing is profane.
+    fallback list, with a warning. An existing but empty file stays empty: nothing is profane.
     """
     if path is None:
         return words_table(spark, DEFAULT_WORDS)
     try:
         return clean_words(spark.read.text(path))
-    except AnalysisException:
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        _warn(path, failure)
         return words_table(spark, FALLBACK_WORDS)
 
 
+def _warn(path: str, failure: Exception) -> None:
+    reason = str(failure).strip().splitlines()[0]
+    warnings.warn(f"word list {path} cannot be read, using {FALLBACK_WORDS}: {reason}", stacklevel=3)
+
+
 def inline_words(
     words: DataFrame, max_chars: int = INLINE_MAX_CHARS, max_word: int = INLINE_MAX_WORD
 ) -> list[str] | None:
@@ -62,18 +72,15 @@ def inline_words(
 def load_words(spark: SparkSession, path: str | None = None) -> list[str] | DataFrame:
     """The lexicon in the form ``classify`` takes: a list if small, else a table.
 
-    A file that exists but cannot be read also falls back.
+    A file that exists but cannot be read also falls back, with a warning.
     """
     words = read_words(spark, path)
     try:
         listed = inline_words(words)
-    except Exception as failure:
-        if path is None or not _is_read_failure(failure):
+    except (PySparkException, Py4JJavaError) as failure:
+        # A task's failure comes as either class; both carry the condition in their text.
+        if path is None or "[FAILED_READ_FILE" not in str(failure):
             raise
+        _warn(path, failure)
         return list(FALLBACK_WORDS)
     return words if listed is None else listed
-
-
-def _is_read_failure(failure: Exception) -> bool:
-    text = str(failure)
-    return any(mark in text for mark in ("FAILED_READ_FILE", "IOException", "Permission denied"))

@@ -38,7 +38,7 @@ irregular AS (
   SELECT account_id, message_id, message_body, correlation_id, message_status, profanity_type,
          CASE WHEN event_id % 17 = 0 THEN NULL
               WHEN event_id % 19 = 0 THEN ''
-              WHEN event_id % 23 = 0 THEN 'invalid-timestamp-format'
+              WHEN event_id % 23 = 0 THEN 'some day soon'
               WHEN event_id % 29 = 0 THEN strftime(ts, '%Y-%m-%d')
               WHEN event_id % 31 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00')
               WHEN event_id % 37 = 0 THEN '2024-02-30T10:00:00Z'
@@ -88,6 +88,22 @@ SELECT account_id, message_id,
             THEN 'PROFANITY' ELSE 'SAFE' END AS profanity_type
 FROM document_messages d"""
 
+ROUGH_LEXICON = f"""
+WITH {DOCUMENTS},
+shapes AS (
+  SELECT unnest(['  ' || upper(substr(text, 1, 12)) || chr(9), substr(text, 20, 7), substr(text, 1, 90) || ' not there',
+                 CASE WHEN item_id % 3 = 0 THEN substr(text, 1, 90) END,
+                 CASE WHEN item_id % 3 = 1 THEN substr(text, 1, 70) END,
+                 CASE WHEN item_id % 7 = 0 THEN 'ñ' END]) AS shape
+  FROM benchmark),
+words AS (
+  SELECT DISTINCT lower(trim(shape, ' ' || chr(9) || chr(10) || chr(13))) AS word FROM shapes
+  WHERE trim(shape, ' ' || chr(9) || chr(10) || chr(13)) <> '')
+SELECT account_id, message_id,
+       CASE WHEN EXISTS (SELECT 1 FROM words w WHERE contains(lower(d.message_body), w.word))
+            THEN 'PROFANITY' ELSE 'SAFE' END AS profanity_type
+FROM document_messages d"""
+
 PROFANE_CONVERSATIONS = f"""{CONVERSATIONS},
 profane AS (
   SELECT account_id, message_id, message_body, correlation_id, message_status, "timestamp",
@@ -102,7 +118,13 @@ decoded AS (
               WHEN key % 19 = 0 THEN 'null_record'
               WHEN key % 23 = 0 THEN 'not_an_object'
               WHEN key % 29 = 0 THEN 'nested_field'
-              WHEN key % 31 = 0 THEN 'unknown_profanity_type' END AS reason,
+              WHEN key % 31 = 0 THEN 'unknown_profanity_type'
+              WHEN key % 37 = 0 THEN 'inexact_number' END AS reason,
+         CASE WHEN key % 5 <> 0 THEN account_id
+              WHEN key % 4 = 1 THEN account_id || '.50'
+              WHEN key % 4 = 2 THEN account_id || 'e5'
+              WHEN key % 4 = 3 THEN '123456789012345678901234567890123456789' || account_id || '.10'
+              ELSE account_id END AS sent_account,
          CASE WHEN key % 5 <> 0 AND key % 3 = 0 THEN 'SAFE' END AS profanity_type
   FROM (SELECT *, conv_id * 7 + turn AS key FROM conversation_messages))"""
 
@@ -128,6 +150,12 @@ QUALIFY row_number() OVER (
   PARTITION BY date_trunc('month', event_time), account_id, message_id
   ORDER BY inserted_at DESC, batch_id DESC) = 1"""
 
+def _on_stored(sql: str) -> str:
+    """A query on ``event_table`` turned to the latest versions."""
+    body = sql.split(EVENT_TABLE, 1)[1].strip()
+    return f"WITH latest AS ({LATEST})\n{body.replace('event_table', 'latest')}"
+
+
 STREAM = f"""{DOCUMENT_TABLE},
 streamed AS (
   SELECT d.*, t.profanity_type, d.doc_id % 19 = 0 AS rejected,
@@ -143,7 +171,8 @@ WHERE word <> ''""",
 WITH {DOCUMENT_TABLE}
 SELECT account_id, message_id, profanity_type FROM document_table""",
     "classify_large_lexicon": LARGE_LEXICON,
-    "classify_by_lexicon_table": LARGE_LEXICON,
+    "classify_by_lexicon_table": ROUGH_LEXICON,
+    "classify_by_shuffled_lexicon": ROUGH_LEXICON,
     "classify_default_by_table": f"""
 WITH {DOCUMENT_TABLE}
 SELECT account_id, message_id, profanity_type FROM document_table""",
@@ -158,7 +187,7 @@ SELECT 'account_id,message_id,message_body,correlation_id,message_status,timesta
 FROM profane""",
     "decode_json_messages": f"""
 WITH {DECODE}
-SELECT source_partition, "offset", account_id, message_id, message_body, correlation_id,
+SELECT source_partition, "offset", sent_account AS account_id, message_id, message_body, correlation_id,
        message_status, "timestamp", profanity_type
 FROM decoded WHERE reason IS NULL""",
     "quarantine_json": f"""
@@ -242,7 +271,8 @@ SELECT account_id, message_id, message_body, correlation_id, message_status, "ti
 FROM lake""",
     "late_rows_audit": """
 WITH arrivals AS (
-  SELECT user_id % 3 AS source_partition, event_id AS "offset",
+  SELECT CASE WHEN event_id % 101 <> 0 THEN user_id % 3 END AS source_partition,
+         CASE WHEN event_id % 103 <> 0 THEN event_id END AS "offset",
          ts - CASE WHEN event_id % 7 = 0 THEN INTERVAL 45 MINUTE
                    WHEN event_id % 5 = 0 THEN INTERVAL 5 SECOND
                    ELSE INTERVAL 0 SECOND END AS event_ts
@@ -250,8 +280,11 @@ WITH arrivals AS (
 seen AS (
   SELECT *, max(event_ts) OVER (PARTITION BY source_partition ORDER BY "offset"
                                 ROWS UNBOUNDED PRECEDING) - INTERVAL 10 SECOND AS watermark
-  FROM arrivals)
-SELECT source_partition, "offset", event_ts, watermark, event_ts < watermark AS is_late FROM seen""",
+  FROM arrivals WHERE source_partition IS NOT NULL AND "offset" IS NOT NULL
+  UNION ALL BY NAME
+  SELECT *, NULL::TIMESTAMP AS watermark FROM arrivals WHERE source_partition IS NULL OR "offset" IS NULL)
+SELECT source_partition, "offset", event_ts, watermark, coalesce(event_ts < watermark, false) AS is_late
+FROM seen""",
     "window_counts": f"""
 WITH {IRREGULAR},
 timed AS (
@@ -289,3 +322,33 @@ SELECT CASE WHEN bad_time THEN '' ELSE account_id END AS account_id,
             ELSE 'safe_messages' END AS table_name
 FROM instants""",
 }
+
+ORACLES |= {
+    f"stored_{name}": _on_stored(ORACLES[name])
+    for name in (
+        "recent_messages",
+        "messages_per_hour",
+        "daily_trend",
+        "top_profane_accounts",
+        "account_hour_heatmap",
+        "latest_messages",
+    )
+}
+ORACLES |= {
+    "stored_type_share": f"""
+WITH latest AS ({LATEST})
+SELECT profanity_type, count(*) AS total,
+       round_even(count(*) * CAST(100.0 AS DOUBLE) / sum(count(*)) OVER (), 2) AS percentage
+FROM latest GROUP BY profanity_type""",
+    "stored_lake_range": f"""
+WITH {LAKE}
+SELECT account_id, message_body, profanity_type, "timestamp" FROM lake
+WHERE profanity_type <> 'PROFANITY' AND "timestamp" > TIMESTAMP '2024-01-15 12:00:00'""",
+    "lake_by_name": ORACLES["lake_after_replay"],
+    "job_on_records_counts": f"""
+WITH {DOCUMENT_TABLE}
+SELECT 'feed' AS sink, count(*) AS n FROM document_table WHERE profanity_type = 'PROFANITY'
+UNION ALL SELECT 'profanity_messages', count(*) FROM document_table WHERE profanity_type = 'PROFANITY'
+UNION ALL SELECT 'safe_messages', count(*) FROM document_table WHERE profanity_type = 'SAFE'
+UNION ALL SELECT 'olap', count(*) FROM document_table""",
+}

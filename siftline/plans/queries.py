@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,12 @@ from siftline.operators.lexicon import DEFAULT_WORDS, clean_words, inline_words,
 from siftline.plans import views
 from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE, SAFE_TABLE
 from siftline.session import prepare, shared_dir
+from siftline.sinks.batches import as_stream
 from siftline.sinks.fanout import FanOut
 from siftline.sinks.feed import FileFeed, RejectFiles
 from siftline.sinks.lake import TABLES, LakeSink, table_of
 from siftline.sinks.olap import OlapSink
+from siftline.sources import tables
 from siftline.sources.local import MAX_BATCH_BYTES
 from siftline.streaming.job import run
 
@@ -69,15 +73,22 @@ def classify_messages(spark, sf_dir):
 
 
 def classify_large_lexicon(spark, sf_dir):
-    words = inline_words(views.benchmark_words(views.table(spark, sf_dir, "benchmark")))
-    return classify(_documents(spark, sf_dir), words).select(*TAGS)
+    words = views.benchmark_words(views.table(spark, sf_dir, "benchmark"))
+    listed = inline_words(words)
+    return classify(_documents(spark, sf_dir), words if listed is None else listed).select(*TAGS)
 
 
 def classify_by_lexicon_table(spark, sf_dir):
-    words = views.benchmark_words(views.table(spark, sf_dir, "benchmark"))
+    words = views.rough_words(views.table(spark, sf_dir, "benchmark"))
     return classify_by_join(_documents(spark, sf_dir), words).select(*TAGS)
 
 
+def classify_by_shuffled_lexicon(spark, sf_dir):
+    """The form for tables that are too large to broadcast."""
+    words = views.rough_words(views.table(spark, sf_dir, "benchmark"))
+    return classify_by_join(_documents(spark, sf_dir), words, broadcast_rows=0).select(*TAGS)
+
+
 def classify_default_by_table(spark, sf_dir):
     words = words_table(spark, DEFAULT_WORDS)
     return classify_by_join(_documents(spark, sf_dir), words).select(*TAGS)
@@ -183,7 +194,7 @@ def latest_messages(spark, sf_dir):
 
 def stored_size(spark, sf_dir):
     """Size on storage; no SQL counterpart, as SQL does not see files."""
-    return analytics.stored_size(_events(spark, sf_dir))
+    return analytics.stored_size(spark, f"{sf_dir}/events.parquet")
 
 
 # Versions and duplicates
@@ -214,8 +225,9 @@ def lake_after_replay(spark, sf_dir):
     """The lake tables after a batch was written, written again, and compacted."""
     lake = LakeSink(shared_dir(spark, "lake_after_replay"))
     batch = _irregular(spark, sf_dir).withColumn("ingest_ts", views.ingest_ts())
-    lake(batch, 0)
-    lake(batch, 0)
+    with as_stream(spark, "replayed"):
+        lake(batch, 0)
+        lake(batch, 0)
     for name in TABLES:
         lake.merge(spark, name)
     return _both_tables(spark, lake)
@@ -226,6 +238,69 @@ def _both_tables(spark: SparkSession, lake: LakeSink) -> DataFrame:
     return profane.unionByName(safe)
 
 
+# The analytics queries on what the sinks stored
+
+
+def _stored_olap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analytics table after two batches of versions and a merge between them, latest versions only."""
+    sink = OlapSink(shared_dir(spark, "stored_olap"))
+    versions = _versions(spark, sf_dir)
+    sink.append_stored(versions.where("batch_id < 2"), 0)
+    sink.merge(spark)
+    sink.append_stored(versions.where("batch_id >= 2"), 1)
+    return sink.read(spark)
+
+
+def stored_recent_messages(spark, sf_dir):
+    return analytics.recent(_stored_olap(spark, sf_dir), _now()).select(*OLAP_FIELDS)
+
+
+def stored_messages_per_hour(spark, sf_dir):
+    return analytics.messages_per_hour(_stored_olap(spark, sf_dir), _now())
+
+
+def stored_daily_trend(spark, sf_dir):
+    return analytics.daily_trend(_stored_olap(spark, sf_dir))
+
+
+def stored_type_share(spark, sf_dir):
+    return analytics.type_share(_stored_olap(spark, sf_dir))
+
+
+def stored_top_profane_accounts(spark, sf_dir):
+    return analytics.top_profane_accounts(_stored_olap(spark, sf_dir))
+
+
+def stored_account_hour_heatmap(spark, sf_dir):
+    return analytics.account_hour_heatmap(_stored_olap(spark, sf_dir))
+
+
+def stored_latest_messages(spark, sf_dir):
+    return analytics.latest_messages(_stored_olap(spark, sf_dir)).select(*OLAP_FIELDS)
+
+
+def _stored_lake(spark: SparkSession, sf_dir: str) -> LakeSink:
+    lake = LakeSink(shared_dir(spark, "stored_lake"))
+    lake(_irregular(spark, sf_dir).withColumn("ingest_ts", views.ingest_ts()), 0)
+    return lake
+
+
+def stored_lake_range(spark, sf_dir):
+    """Rows of a stored lake table after a time, its days pruned."""
+    return analytics.lake_range(_stored_lake(spark, sf_dir).read(spark, SAFE_TABLE), RANGE_START)
+
+
+def lake_by_name(spark, sf_dir):
+    """Both lake tables read by their names in the catalog."""
+    lake, namespace = _stored_lake(spark, sf_dir), f"lake_{uuid.uuid4().hex}"
+    tables.create_lake_tables(spark, namespace, lake)
+    tables.publish_all(spark, sinks=[(namespace, lake)])
+    profane, safe = (
+        spark.table(f"{namespace}.{name}").select(*MESSAGE_FIELDS, LAKE_DAY, F.lit(name).alias("table_name")) for name in TABLES
+    )
+    return profane.unionByName(safe)
+
+
 # Late rows and windows
 
 
@@ -277,14 +352,26 @@ def stream_fan_out_counts(spark, sf_dir):
         "olap": sinks.olap.read(spark),
         "rejects": sinks.rejects.read(spark),
     }
-    counts = [
-        rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "n")
-        for name, rows in written.items()
-    ]
-    combined = counts[0]
-    for part in counts[1:]:
-        combined = combined.unionByName(part)
-    return combined
+    return _counted(written)
+
+
+def job_on_records_counts(spark, sf_dir):
+    """Rows in each sink after the job took decoded records instead of JSON values."""
+    root = shared_dir(spark, "records")
+    sinks = FanOut(DEFAULT_WORDS, FileFeed(f"{root}/feed"), LakeSink(f"{root}/lake"), OlapSink(f"{root}/olap"))
+    run(spark, lambda session: _documents(session, sf_dir), sinks)
+    written = {
+        "feed": sinks.feed.read(spark),
+        PROFANE_TABLE: sinks.lake.read(spark, PROFANE_TABLE),
+        SAFE_TABLE: sinks.lake.read(spark, SAFE_TABLE),
+        "olap": sinks.olap.read(spark),
+    }
+    return _counted(written)
+
+
+def _counted(written: dict[str, DataFrame]) -> DataFrame:
+    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "n") for name, rows in written.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def stream_lake_tables(spark, sf_dir):
@@ -305,6 +392,7 @@ ALL: dict[str, Query] = {
         classify_messages,
         classify_large_lexicon,
         classify_by_lexicon_table,
+        classify_by_shuffled_lexicon,
         classify_default_by_table,
         profane_messages,
         topic_payload_json,
@@ -330,8 +418,18 @@ ALL: dict[str, Query] = {
         latest_version_rows,
         merged_table,
         lake_after_replay,
+        stored_recent_messages,
+        stored_messages_per_hour,
+        stored_daily_trend,
+        stored_type_share,
+        stored_top_profane_accounts,
+        stored_account_hour_heatmap,
+        stored_latest_messages,
+        stored_lake_range,
+        lake_by_name,
         late_rows_audit,
         window_counts,
+        job_on_records_counts,
         stream_fan_out_counts,
         stream_lake_tables,
     )

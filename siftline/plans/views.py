@@ -85,7 +85,7 @@ def irregular_event_messages(events: DataFrame) -> DataFrame:
     stamp = (
         F.when(key % 17 == 0, F.lit(None))
         .when(key % 19 == 0, F.lit(""))
-        .when(key % 23 == 0, F.lit("invalid-timestamp-format"))
+        .when(key % 23 == 0, F.lit("some day soon"))
         .when(key % 29 == 0, F.date_format("ts", "yyyy-MM-dd"))
         .when(key % 31 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+02:00'"))
         .when(key % 37 == 0, F.lit("2024-02-30T10:00:00Z"))
@@ -99,13 +99,19 @@ def irregular_event_messages(events: DataFrame) -> DataFrame:
 def conversation_values(conversations: DataFrame) -> DataFrame:
     """Turns as JSON values with their arrival position, some of them undecodable.
 
-    Decodable ones include extra fields and a number in a string field.
+    Decodable ones include extra fields and numbers of every form in a string field.
     """
     key = F.col("conv_id") * 7 + F.col("turn")
     fields = [F.col(f) for f in MESSAGE_FIELDS if f not in ("account_id", "profanity_type")]
     rest = F.substring(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 2, 2_000_000_000)
     head = F.lit('{"account_id":')
     quoted = F.concat(F.lit('"'), "account_id", F.lit('",'))
+    number = (
+        F.when(key % 4 == 1, F.concat("account_id", F.lit(".50")))
+        .when(key % 4 == 2, F.concat("account_id", F.lit("e5")))
+        .when(key % 4 == 3, F.concat(F.lit("123456789012345678901234567890123456789"), "account_id", F.lit(".10")))
+        .otherwise(F.col("account_id"))
+    )
     value = (
         F.when(key % 13 == 0, F.concat(F.lit("not json "), "message_id"))
         .when(key % 17 == 0, F.lit(""))
@@ -113,7 +119,8 @@ def conversation_values(conversations: DataFrame) -> DataFrame:
         .when(key % 23 == 0, F.concat(F.lit("[1,"), "account_id", F.lit("]")))
         .when(key % 29 == 0, F.concat(head, F.lit('{"id":'), "account_id", F.lit("},"), rest))
         .when(key % 31 == 0, F.concat(head, quoted, F.lit('"profanity_type":"RUDE",'), rest))
-        .when(key % 5 == 0, F.concat(head, "account_id", F.lit(","), rest))
+        .when(key % 37 == 0, F.concat(F.lit('{"a":'), head, F.lit("1.50},"), F.lit('"account_id":1.50,'), rest))
+        .when(key % 5 == 0, F.concat(head, number, F.lit(","), rest))
         .when(key % 3 == 0, F.concat(head, quoted, F.lit('"extra":{"a":[1]},"profanity_type":"SAFE",'), rest))
         .otherwise(F.concat(head, quoted, rest))
     )
@@ -183,7 +190,7 @@ def event_versions(events: DataFrame) -> DataFrame:
 
 
 def event_arrivals(events: DataFrame) -> DataFrame:
-    """Events in arrival order of three sources, some of them out of time order."""
+    """Events in arrival order of three sources, some out of time order, some of unknown source or place."""
     key = F.col("event_id")
     shift = (
         F.when(key % 7 == 0, F.expr("INTERVAL 45 MINUTES"))
@@ -191,8 +198,8 @@ def event_arrivals(events: DataFrame) -> DataFrame:
         .otherwise(F.expr("INTERVAL 0 SECONDS"))
     )
     return events.select(
-        (F.col("user_id") % 3).alias("source_partition"),
-        key.alias("offset"),
+        F.when(key % 101 != 0, F.col("user_id") % 3).alias("source_partition"),
+        F.when(key % 103 != 0, key).alias("offset"),
         (F.col("ts") - shift).alias("event_ts"),
     )
 
@@ -211,6 +218,22 @@ def benchmark_words(benchmark: DataFrame) -> DataFrame:
     )
 
 
+def rough_words(benchmark: DataFrame) -> DataFrame:
+    """A word list as people write it: mixed case, blanks around, one letter, long passages with one beginning."""
+    long = F.substring("text", 1, 90)
+    shapes = F.array(
+        F.concat(F.lit("  "), F.upper(F.substring("text", 1, 12)), F.lit("\t")),
+        F.initcap(F.substring("text", 20, 7)),
+        F.concat(long, F.lit(" not there")),
+        F.when(F.col("item_id") % 3 == 0, long),
+        F.when(F.col("item_id") % 3 == 1, F.substring("text", 1, 70)),
+        F.when(F.col("item_id") % 5 == 0, F.lit("")),
+        F.when(F.col("item_id") % 7 == 0, F.lit(" ñ ")),
+        F.lit(None),
+    )
+    return benchmark.select(F.explode(shapes).alias("word"))
+
+
 def parsed_instants(messages: DataFrame) -> DataFrame:
     return messages.select(
         "message_id", "timestamp", wall_clock(parse_instant(F.col("timestamp"))).alias("instant")

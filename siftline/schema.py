@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Tags and status as consumers of the tables know them.
 PROFANITY = "PROFANITY"
 SAFE = "SAFE"
 ERROR_STATUS = "ERROR"

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from siftline.schema import OLAP_TABLE
 from siftline.sinks.layout import HASH, TARGET_FILE_BYTES
-from siftline.streaming.job import INTERVAL_MS
+from siftline.streaming.job import INTERVAL_MS, PROMPT_MS
 
 # Messages per micro-batch. A batch is kept until all sinks have it, so a backlog
 # must not become one batch.
@@ -17,13 +17,17 @@ MAX_OFFSETS = 50_000_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``olap_url`` sends analytics rows to a database instead of files."""
+    """``olap_url`` sends analytics rows to a database instead of files.
+
+    Without ``warehouse`` the tables lie in the session's own warehouse folder.
+    """
 
     bootstrap_servers: str
     job_name: str
     interval_ms: int
+    prompt_ms: int
     checkpoint: str | None
-    warehouse: str
+    warehouse: str | None
     namespace: str
     distribution: str
     file_bytes: int
@@ -46,6 +50,7 @@ class Settings:
             bootstrap_servers=env.get("KAFKA_BOOTSTRAP_SERVERS", "broker:29092"),
             job_name=env.get("JOB_NAME", "message_screening"),
             interval_ms=int(env.get("CHECKPOINT_INTERVAL", INTERVAL_MS)),
+            prompt_ms=int(env.get("SIFTLINE_PROMPT_INTERVAL", PROMPT_MS)),
             checkpoint=env.get("CHECKPOINTS_DIRECTORY"),
             namespace=env.get("ICEBERG_NAMESPACE", "raw_data"),
             distribution=env.get("ICEBERG_DISTRIBUTION_MODE", HASH),
@@ -57,7 +62,7 @@ class Settings:
             olap_user=env.get("CLICKHOUSE_USER", "default"),
             olap_password=env.get("CLICKHOUSE_PASSWORD", ""),
             max_offsets=int(env.get("SIFTLINE_MAX_OFFSETS", MAX_OFFSETS)),
-            warehouse=env.get("SIFTLINE_WAREHOUSE", "spark-warehouse"),
+            warehouse=env.get("SIFTLINE_WAREHOUSE"),
             words_path=env.get("SIFTLINE_WORDS"),
             decode_mode=env.get("SIFTLINE_DECODE_MODE", "failfast"),
         )

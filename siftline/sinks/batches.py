@@ -5,14 +5,17 @@ batch counts once its folder has the committer's success mark; a retry of a
 counted batch does nothing and a retry of a half-written one replaces it. The
 stream id keeps two streams, or a stream restarted from nothing, apart.
 
-A merge rewrites a set of folders into ``stream_id=merged/batch=M`` and becomes
-visible, in the same moment as the replaced folders stop being so, when its list
-``<table>/_merges/M`` appears.
+A merge rewrites folders, or some partitions of them, into a folder of its own and
+becomes visible, in the same moment as what it replaced stops being so, when its
+list ``<table>/_merges/M`` appears. The newest list holds the whole state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import random
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,59 +26,89 @@ SUCCESS = "_SUCCESS"
 MERGED = "merged"
 MERGE_LISTS = "_merges/[0-9]*"
 DIRECT = "direct"
+ADDED, GONE, END = "+", "-", "end"
 
 BATCH_COLUMNS = (T.StructField("stream_id", T.StringType()), T.StructField("batch", T.LongType()))
 
+_STREAM = "sql.streaming.queryId"
+
 
 def current_stream(spark: SparkSession) -> str:
     """Id of the streaming query now running on this thread; it survives restarts."""
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
+    return spark.sparkContext.getLocalProperty(_STREAM) or DIRECT
+
+
+@contextmanager
+def as_stream(spark: SparkSession, stream_id: str) -> Iterator[None]:
+    """Write batches as this stream does: a batch id that is committed is skipped."""
+    before = spark.sparkContext.getLocalProperty(_STREAM)
+    spark.sparkContext.setLocalProperty(_STREAM, stream_id)
+    try:
+        yield
+    finally:
+        spark.sparkContext.setLocalProperty(_STREAM, before)
+
+
+def fresh_id() -> int:
+    """A number nobody has used for a batch or a merge."""
+    return time.time_ns() // 1000 * 1000 + random.randrange(1000)
 
 
 def batch_dir(table: str, stream_id: str, batch_id: int) -> str:
     return f"{table}/stream_id={stream_id}/batch={batch_id}"
 
 
-def write_once(
-    spark: SparkSession, table: str, batch_id: int, save: Callable[[str], None]
-) -> bool:
+def write_once(spark: SparkSession, table: str, batch_id: int, save: Callable[[str], None]) -> bool:
     """Let ``save`` write the folder of this batch unless it is already committed.
 
     ``save`` must overwrite, which clears what a lost attempt left behind. Outside
-    a stream all callers share one stream id: new rows need a new batch id.
+    a stream nothing is a retry, so a batch id that is used is an error.
     """
-    target = batch_dir(table, current_stream(spark), batch_id)
+    stream = current_stream(spark)
+    target = batch_dir(table, stream, batch_id)
     if files.exists(spark, f"{target}/{SUCCESS}"):
+        if stream == DIRECT:
+            raise FileExistsError(f"{target} is written; new rows need a new batch id")
         return False
     save(target)
     return True
 
 
 def committed(spark: SparkSession, table: str) -> list[str]:
-    """Folders that make up the table now, relative to it."""
-    merges = {f"stream_id={MERGED}/batch={number}" for number in _merge_numbers(spark, table)}
-    written = {f for f in _written(spark, table) if f in merges or not _is_merge(f)}
-    return sorted(written - replaced(spark, table))
-
-
-def replaced(spark: SparkSession, table: str) -> set[str]:
-    """Folders some merge has replaced."""
-    if not _merge_numbers(spark, table):
-        return set()
-    return {row.value for row in spark.read.text(f"{table}/{MERGE_LISTS}").collect()}
-
-
-def _merge_numbers(spark: SparkSession, table: str) -> list[int]:
-    return [int(p.rsplit("/", 1)[1]) for p in files.matching(spark, f"{table}/{MERGE_LISTS}")]
-
-
-def _written(spark: SparkSession, table: str) -> set[str]:
+    """Folders, or partitions of folders, that make up the table now, relative to it."""
+    added, gone, _ = _state(spark, table)
+    partly = {entry.rsplit("/", 1)[0] for entry in gone if entry.count("/") == 2}
+    found = []
+    for folder in _written(spark, table):
+        if folder in gone or (_is_merge(folder) and folder not in added):
+            continue
+        found += [p for p in partitions_of(spark, table, folder) if p not in gone] if folder in partly else [folder]
+    return sorted(found)
+
+
+def partitions_of(spark: SparkSession, table: str, folder: str) -> list[str]:
+    """The partition folders of a batch folder, relative to the table."""
+    return [f"{folder}/{p.rsplit('/', 1)[1]}" for p in files.matching(spark, f"{table}/{folder}/*=*")]
+
+
+def _state(spark: SparkSession, table: str) -> tuple[set[str], set[str], int]:
+    """Merge folders that count, folders and partitions that merges replaced, and the newest list's number."""
+    numbers = [int(p.rsplit("/", 1)[1]) for p in files.matching(spark, f"{table}/{MERGE_LISTS}")]
+    for number in sorted(numbers, reverse=True):
+        lines = files.read_text(spark, f"{table}/_merges/{number}").split("\n")
+        if END in lines:  # else it is being written, and the state is the one before
+            entries = {mark: {line[1:] for line in lines if line.startswith(mark)} for mark in (ADDED, GONE)}
+            return entries[ADDED], entries[GONE], max(numbers)
+    return set(), set(), max(numbers, default=0)
+
+
+def _written(spark: SparkSession, table: str) -> list[str]:
     marks = files.matching(spark, f"{table}/stream_id=*/batch=*/{SUCCESS}")
-    return {"/".join(mark.split("/")[-3:-1]) for mark in marks}
+    return ["/".join(mark.split("/")[-3:-1]) for mark in marks]
 
 
-def _is_merge(folder: str) -> bool:
-    return folder.startswith(f"stream_id={MERGED}/")
+def _is_merge(entry: str) -> bool:
+    return entry.startswith(f"stream_id={MERGED}/")
 
 
 def read_batches(
@@ -106,33 +139,46 @@ def merge_batches(
     spark: SparkSession,
     table: str,
     save: Callable[[list[str], str], None],
-    whole: bool,
+    whole: bool = False,
+    touched_only: bool = False,
 ) -> str | None:
-    """Let ``save(folders, target)`` rewrite committed folders as one; returns it.
+    """Let ``save(entries, target)`` rewrite committed entries as one folder; returns it.
 
-    ``whole`` takes the full table; otherwise only folders that no merge has
-    written yet are taken, which keeps the work in step with new data. Streams
-    may append meanwhile. One merge per table at a time: a second one that
-    started from the same state fails when it publishes its list.
+    ``whole`` takes the full table, ``touched_only`` all rows of those partitions that
+    folders no merge has written yet have rows in, and neither only such folders, so
+    that the work keeps in step with new data. Streams may append meanwhile. Each
+    attempt writes a folder of its own; of two that start from one state the second
+    fails when it publishes its list, and what it wrote never counts.
     """
-    folders = committed(spark, table)
-    if not whole:
-        folders = [f for f in folders if not _is_merge(f)]
-    if not folders:
+    added, gone, newest = _state(spark, table)
+    entries = committed(spark, table)
+    fresh = [e for e in entries if not _is_merge(e)]
+    if touched_only:
+        parts = {p for e in entries for p in ([e] if e.count("/") == 2 else partitions_of(spark, table, e))}
+        touched = {p.rsplit("/", 1)[1] for p in parts if not _is_merge(p)}
+        entries = sorted(p for p in parts if p.rsplit("/", 1)[1] in touched)
+    elif not whole:
+        entries = fresh
+    if not entries or not fresh and not whole:
         return None
-    number = 1 + max(_merge_numbers(spark, table), default=0)
-    target = batch_dir(table, MERGED, number)
-    save(folders, target)
-    files.publish_text(spark, f"{table}/_merges/{number}", "\n".join(folders) + "\n")
+    target = batch_dir(table, MERGED, fresh_id())
+    save(entries, target)
+    lines = [ADDED + e for e in sorted({*added, target.removeprefix(f"{table}/")})]
+    lines += [GONE + e for e in sorted({*gone, *entries})]
+    files.publish_text(spark, f"{table}/_merges/{newest + 1}", "\n".join([*lines, END]))
     return target
 
 
 def drop_replaced(spark: SparkSession, table: str) -> list[str]:
-    """Delete the folders merges have replaced, once no reader needs them."""
-    gone = sorted(_written(spark, table) & replaced(spark, table))
-    for folder in gone:
-        files.delete_dir(spark, f"{table}/{folder}")
-    return gone
+    """Delete what merges have replaced, once no reader needs it."""
+    _, gone, _ = _state(spark, table)
+    dropped = sorted(e for e in gone if files.exists(spark, f"{table}/{e}"))
+    for entry in dropped:
+        files.delete_dir(spark, f"{table}/{entry}")
+    for folder in {e.rsplit("/", 1)[0] for e in dropped if e.count("/") == 2}:
+        if not partitions_of(spark, table, folder):
+            files.delete_dir(spark, f"{table}/{folder}")
+    return dropped
 
 
 def strip_batch_columns(rows: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,29 +18,42 @@ Sink = Callable[[DataFrame, int], None]
 class FanOut:
     """``foreachBatch`` body: classify, keep the batch once, write each sink.
 
-    ``feed`` gets the profane messages, ``lake`` and ``olap`` get all of them.
-    With ``rejects`` the batch also carries undecodable values, which go there.
-    ``written`` is called once all sinks have the batch.
+    ``feed`` gets the profane messages, ``lake`` and ``olap`` get all of them, and a sink
+    that is None is left out. Undecodable values of an inspected batch go to ``rejects``.
+    ``written`` is called with the batch id once all sinks have the batch.
     """
 
     words: Iterable[str] | DataFrame
-    feed: Sink
-    lake: Sink
-    olap: Sink
+    feed: Sink | None = None
+    lake: Sink | None = None
+    olap: Sink | None = None
     rejects: Sink | None = None
-    written: Callable[[SparkSession], None] | None = None
+    written: Callable[[SparkSession, int], None] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        held = [batch.persist()] if isinstance(self.words, DataFrame) else []  # it is read for the texts, then tagged
         screened = classify(batch, self.words).persist()
         try:
             messages = screened
-            if self.rejects is not None:
-                self.rejects(rejects_of(screened), batch_id)
+            if "reason" in batch.columns:
+                if self.rejects is not None:
+                    self.rejects(rejects_of(screened), batch_id)
                 messages = messages_of(screened)
-            self.feed(profane_only(messages), batch_id)
-            self.lake(messages, batch_id)
-            self.olap(messages, batch_id)
+            if self.feed is not None:
+                self.feed(profane_only(messages), batch_id)
+            if self.olap is not None:
+                self.olap(messages, batch_id)
+            if self.lake is not None:
+                self.lake(messages, batch_id)
             if self.written is not None:
-                self.written(batch.sparkSession)
+                self.written(batch.sparkSession, batch_id)
         finally:
-            screened.unpersist()
+            for rows in (screened, *held):
+                rows.unpersist()
+
+    def prompt(self) -> FanOut:
+        """The sinks that want rows as they arrive: feed, analytics and quarantine."""
+        return replace(self, lake=None)
+
+    def lake_only(self) -> FanOut:
+        return replace(self, feed=None, olap=None, rejects=None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -10,6 +11,12 @@ def _path(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, from the root: what every machine understands alike."""
+    target, fs = _path(spark, path)
+    return fs.makeQualified(target).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, fs = _path(spark, path)
     return fs.exists(target)
@@ -29,15 +36,28 @@ def total_bytes(spark: SparkSession, paths: list[str]) -> int:
     )
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    target, fs = _path(spark, path)
+    source = fs.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file that appears whole, and only if it does not exist yet."""
+    """Write a small file that must not exist yet: of two writers one fails."""
     target, fs = _path(spark, path)
-    draft, _ = _path(spark, f"{target.getParent().toString()}/.{target.getName()}.draft")
-    out = fs.create(draft, True)
+    fs.mkdirs(target.getParent())
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as failure:
+        if "AlreadyExists" in failure.java_exception.getClass().getName():
+            raise FileExistsError(path) from failure
+        raise
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(target) or not fs.rename(draft, target):
-        raise FileExistsError(path)
 
 
 def delete_dir(spark: SparkSession, path: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ NONE = "NONE"
 RANGE = "RANGE"
 TARGET_FILE_BYTES = 134_217_728
 
+_TURNS: dict[str, RLock] = {}
+
 
 def distribute(
     rows: DataFrame,
@@ -45,11 +48,16 @@ def distribute(
 
 @contextmanager
 def target_file_size(spark: SparkSession, n_bytes: int) -> Iterator[None]:
-    """Aim writes at files of ``n_bytes`` (advisory, measured before file encoding)."""
+    """Aim writes at files of ``n_bytes`` (advisory, measured before file encoding).
+
+    The setting belongs to the session, so writers that share one take turns; every
+    stream has a session of its own.
+    """
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n_bytes))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _TURNS.setdefault(spark._jsparkSession.sessionUUID(), RLock()):
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(n_bytes))
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)

@@ -43,7 +43,8 @@ def stored_rows(batch: DataFrame, batch_id: int) -> DataFrame:
 class JdbcOlap:
     """The same rows into a table of a database, which sets the insert time itself.
 
-    At least once: a retried batch may repeat rows, and the table deduplicates.
+    At least once: a retried batch may repeat rows, and the table deduplicates. The table
+    must exist, as one made from the rows would have no months, key or versions.
     """
 
     url: str
@@ -51,6 +52,7 @@ class JdbcOlap:
     password: str
     table: str = OLAP_TABLE
     rows_per_insert: int = 5000
+    writers: int = 16
 
     def options(self) -> dict[str, str]:
         return {
@@ -60,9 +62,13 @@ class JdbcOlap:
             "dbtable": self.table,
             "batchsize": str(self.rows_per_insert),
             "isolationLevel": "NONE",
+            "numPartitions": str(self.writers),
         }
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # Reading the schema fails if there is no such table.
+        spark.read.format("jdbc").options(**self.options()).load()
         rows = olap_rows(batch, F.col("ingest_ts"))
         rows.write.format("jdbc").options(**self.options()).mode("append").save()
 
@@ -105,16 +111,16 @@ class OlapSink:
         """
         return latest_versions(self.read_all(spark)).select(*OLAP_FIELDS, OLAP_MONTH)
 
-    def merge(self, spark: SparkSession, whole: bool = True) -> str | None:
+    def merge(self, spark: SparkSession, whole: bool = False) -> str | None:
         """Store only the latest versions, in files of the target size sorted by key.
 
-        Without ``whole`` only batches no merge has touched are deduplicated among
-        themselves; reading still deduplicates across everything.
+        Versions never leave their month, so only months that new batches have rows in
+        are written again; ``whole`` takes all.
         """
 
-        def save(folders: list[str], to: str) -> None:
-            n_bytes = files.total_bytes(spark, [f"{self.path}/{folder}" for folder in folders])
-            rows = latest_versions(self.read_all(spark, folders))
+        def save(entries: list[str], to: str) -> None:
+            n_bytes = files.total_bytes(spark, [f"{self.path}/{entry}" for entry in entries])
+            rows = latest_versions(self.read_all(spark, entries))
             self._save(rows, RANGE, to, writers=max(1, -(-n_bytes // self.file_bytes)))
 
-        return batches.merge_batches(spark, self.path, save, whole)
+        return batches.merge_batches(spark, self.path, save, whole=whole, touched_only=not whole)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftline.schema import LAKE_SCHEMA, OLAP_MONTH, OLAP_STORED_SCHEMA
 from siftline.sinks import files
-from siftline.sinks.batches import committed
+from siftline.sinks.batches import batch_dir, committed, current_stream, partitions_of
 from siftline.sinks.lake import TABLES, LakeSink
 from siftline.sinks.olap import OlapSink
 
@@ -29,37 +29,59 @@ def _create(spark: SparkSession, name: str, schema, partition: str, path: str) -
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} "
         f"({columns}, stream_id STRING, batch BIGINT, {partition}) USING parquet "
-        f"PARTITIONED BY (stream_id, batch, {partition.split()[0]}) LOCATION '{path}'"
+        f"PARTITIONED BY (stream_id, batch, {partition.split()[0]}) LOCATION '{files.qualified(spark, path)}'"
     )
 
 
 def publish(spark: SparkSession, name: str, path: str) -> None:
-    """Make the catalog table show exactly the committed folders.
+    """Make the catalog table show exactly what is committed, as after a merge.
 
-    Only catalog entries change, never files, and only for folders that came or
+    Only catalog entries change, never files, and only for partitions that came or
     went since the last call. Reading by path needs no such step.
     """
-    shown = [row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    folder_of = {partition: partition.rsplit("/", 1)[0] for partition in shown}
-    current = set(committed(spark, path))
-    stale = [f"PARTITION ({_spec(p)})" for p in shown if folder_of[p] not in current]
+    shown = {row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    current = set()
+    for entry in committed(spark, path):
+        current.update([entry] if entry.count("/") == 2 else partitions_of(spark, path, entry))
+    stale = [f"PARTITION ({_spec(p)})" for p in sorted(shown - current)]
     if stale:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(stale)}")
-    for folder in sorted(current - set(folder_of.values())):
-        found = files.matching(spark, f"{path}/{folder}/*=*")
-        specs = [f"PARTITION ({_spec(folder)}, {_spec(p.rsplit('/', 1)[1])})" for p in found]
-        if specs:
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
+    _add(spark, name, path, sorted(current - shown))
 
 
-def publish_all(spark: SparkSession, sinks: list[tuple[str, LakeSink | OlapSink]]) -> None:
-    """``publish`` for the tables of each sink, given with its namespace."""
+def publish_batch(spark: SparkSession, name: str, path: str, batch_id: int) -> None:
+    """Show the partitions of one batch of the running stream, whatever came before it."""
+    folder = batch_dir(path, current_stream(spark), batch_id).removeprefix(f"{path}/")
+    _add(spark, name, path, partitions_of(spark, path, folder))
+
+
+def _add(spark: SparkSession, name: str, path: str, partitions: list[str]) -> None:
+    root = files.qualified(spark, path)
+    specs = [f"PARTITION ({_spec(p)}) LOCATION '{root}/{p}'" for p in partitions]
+    if specs:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
+
+
+def named_tables(sinks: list[tuple[str, LakeSink | OlapSink]]) -> list[tuple[str, str]]:
+    """(table name, path) of each sink given with its namespace."""
+    found = []
     for namespace, sink in sinks:
         if isinstance(sink, LakeSink):
-            for table in TABLES:
-                publish(spark, f"{namespace}.{table}", sink.path(table))
+            found += [(f"{namespace}.{table}", sink.path(table)) for table in TABLES]
+        else:
+            found.append((f"{namespace}.{sink.table}", sink.path))
+    return found
+
+
+def publish_all(
+    spark: SparkSession, batch_id: int | None = None, *, sinks: list[tuple[str, LakeSink | OlapSink]]
+) -> None:
+    """``publish_batch`` for the tables of each sink, or ``publish`` without a batch."""
+    for name, path in named_tables(sinks):
+        if batch_id is None:
+            publish(spark, name, path)
         else:
-            publish(spark, f"{namespace}.{sink.table}", sink.path)
+            publish_batch(spark, name, path, batch_id)
 
 
 def _spec(folder: str) -> str:

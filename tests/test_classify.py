@@ -12,45 +12,49 @@ from siftline.operators import classify as c
 from siftline.operators.lexicon import words_table
 from siftline.sources.local import messages
 
-ALL_THREE = ["gun", "badword", "offensive"]
+THREE = ["crate", "old brick", "muddy"]
 
 CASES = [
-    ("this message contains gun", ALL_THREE, True),
-    ("THIS MESSAGE CONTAINS GUN", ALL_THREE, True),
-    ("This message contains GuN", ALL_THREE, True),
-    ("this message contains gun", ["GUN", "BADWORD"], True),
-    ("The gunman was arrested", ["gun"], True),
-    ("begun, unguarded, gunman", ["gun"], True),
-    ("This gun and badword are both offensive", ALL_THREE, True),
-    ("This $@!% gun is here!", ["gun"], True),
-    ("This 日本語 gun message", ["gun"], True),
-    ("This is a clean message. " * 1000 + "gun", ["gun"], True),
-    ("This is a perfectly clean message", ALL_THREE, False),
-    (None, ALL_THREE, False),
-    ("", ALL_THREE, False),
-    ("   ", ["gun", "badword"], False),
-    ("\t", ["gun", "badword"], False),
-    ("\n", ["gun", "badword"], False),
-    (" \t\n ", ["gun", "badword"], False),
-    ("This message contains gun", [], False),
-    ("Clean message with !@#$%", ALL_THREE, False),
-    ("anything at all", ["", "  "], False),
-    ("two words here", ["two words"], True),
-    ("no.dots", ["no.dots"], True),
-    ("noXdots", ["no.dots"], False),
+    ("somebody left a crate outside", THREE, True),
+    ("SOMEBODY LEFT A CRATE OUTSIDE", THREE, True),
+    ("Somebody left a CrAtE outside", THREE, True),
+    ("somebody left a crate outside", ["CRATE", "MUDDY"], True),
+    ("the concrateful of it", ["crate"], True),
+    ("crated, recrated, uncrate", ["crate"], True),
+    ("muddy boots beside an Old Brick and a crate", THREE, True),
+    ("%&/ crate (=)", ["crate"], True),
+    ("语言 crate ñandú", ["crate"], True),
+    ("Nothing of note in this line. " * 1000 + "crate", ["crate"], True),
+    ("Nothing of note in this line", THREE, False),
+    (None, THREE, False),
+    ("", THREE, False),
+    ("  ", THREE, False),
+    ("\t", THREE, False),
+    ("\n", THREE, False),
+    ("\n \t", THREE, False),
+    ("somebody left a crate outside", [], False),
+    ("nothing ~ here + at $ all", THREE, False),
+    ("a stray blank never matches", ["", " \t"], False),
+    ("an old brick wall", ["old brick"], True),
+    ("one.two", ["one.two"], True),
+    ("oneXtwo", ["one.two"], False),
+    ("here is one letter q", ["q", "much longer words beside it"], True),
+    ("none of that letter", ["q", "much longer words beside it"], False),
+    ("spaces around are not part of it", ["  Around ", None], True),
 ]
 
 
-@pytest.mark.parametrize("words", sorted({tuple(case[1]) for case in CASES}))
+@pytest.mark.parametrize("words", sorted({tuple(case[1]) for case in CASES}, key=str))
 def test_cases(spark, words):
     cases = [case for case in CASES if tuple(case[1]) == words]
     rows = messages(
         spark, [{"message_id": str(i), "message_body": body} for i, (body, _, _) in enumerate(cases)]
     )
     expected = {str(i): "PROFANITY" if bad else "SAFE" for i, (_, _, bad) in enumerate(cases)}
-    for lexicon in (list(words), words_table(spark, words)):
-        tagged = c.classify(rows, lexicon).select("message_id", "profanity_type").collect()
-        assert dict(map(tuple, tagged)) == expected
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    forms = (c.classify(rows, list(words)), c.classify(rows, table), c.classify_by_join(rows, table, broadcast_rows=0))
+    for tagged in forms:
+        assert {r.message_id: r.profanity_type for r in tagged.collect()} == expected
 
 
 def test_incoming_tag_is_ignored(spark):
@@ -67,14 +71,16 @@ def test_all_forms_agree_with_brute_force(spark, seed):
     rng = random.Random(seed)
     words = {"".join(rng.choices("ab é.", k=rng.randint(1, 9))).strip() for _ in range(120)} - {""}
     words = {w for w in words if len(w) > 4}
+    words |= {"ab" * 20 + "é" * n for n in range(9)}
     bodies = ["".join(rng.choices("abAB é.", k=rng.randint(0, 60))) for _ in range(300)]
     expected = _brute(bodies, words)
     assert len(words) > c.CHAIN_MAX_WORDS and 0 < sum(expected) < len(bodies)
     rows = messages(
         spark, [{"message_id": str(i), "message_body": b} for i, b in enumerate(bodies)]
     )
-    for lexicon in (words, words_table(spark, words)):
-        tagged = {r.message_id: r.profanity_type for r in c.classify(rows, lexicon).collect()}
+    table = words_table(spark, words)
+    for found in (c.classify(rows, words), c.classify(rows, table), c.classify_by_join(rows, table, 0)):
+        tagged = {r.message_id: r.profanity_type for r in found.collect()}
         assert [tagged[str(i)] == "PROFANITY" for i in range(len(bodies))] == expected
 
 
@@ -111,19 +117,33 @@ def test_join_form_checks_the_end_of_long_words(spark):
     }
 
 
-def test_join_form_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(c, "BROADCAST_MAX_ROWS", 0)
+def test_join_form_finds_words_across_pieces(spark, monkeypatch):
+    monkeypatch.setattr(c, "PIECE_CHARS", 10)
+    word = "0123456789abcdefghijklm"
+    rows = messages(spark, [{"message_id": str(i), "message_body": "." * i + word + "." * 30} for i in range(40)])
+    near = messages(spark, [{"message_id": "n", "message_body": word[:-1] + "." * 60}])
+    tagged = c.classify_by_join(rows.union(near), words_table(spark, [word, "zzz"]))
+    assert tagged.where("profanity_type = 'PROFANITY'").count() == 40
+
+
+def test_join_form_leaves_messages_in_place_when_few_are_flagged(spark):
+    rows = spark.range(1000).selectExpr("cast(id as string) AS message_id", "concat('text ', id) AS message_body")
+    tagged = c.classify_by_join(rows, words_table(spark, ["text 77"]))
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_join_form_without_broadcast(spark):
     rows = messages(
         spark,
         [{"message_id": str(i), "message_body": "same begun text" if i % 2 else f"clean {i}"} for i in range(40)],
     )
-    tagged = c.classify_by_join(rows, words_table(spark, ["gun", "other"]))
+    tagged = c.classify_by_join(rows, words_table(spark, ["gun", "other"]), broadcast_rows=0)
     assert tagged.where("profanity_type = 'PROFANITY'").count() == 20
     assert tagged.count() == 40
 
 
-def test_join_form_splits_a_text_with_many_copies(spark, monkeypatch):
-    monkeypatch.setattr(c, "BROADCAST_MAX_ROWS", 0)
+def test_join_form_splits_a_text_with_many_copies(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -140,7 +160,7 @@ def test_join_form_splits_a_text_with_many_copies(spark, monkeypatch):
             "cast(id as string) AS message_id",
             "if(id % 3 = 0, 'the same gun text', concat('clean ', sha2(cast(id as string), 512))) AS message_body",
         )
-        tagged = c.classify_by_join(rows, words_table(spark, ["gun", "zebra"]))
+        tagged = c.classify_by_join(rows, words_table(spark, ["gun", "zebra"]), broadcast_rows=0)
         found = tagged.collect()
         assert sum(r.profanity_type == "PROFANITY" for r in found) == 2000
         assert len(found) == 6000

@@ -1,0 +1,25 @@
+"""The contract without the optional subpackage."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+WITHOUT = """
+import sys
+
+class Hidden:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("siftline.llm"):
+            raise ModuleNotFoundError(name, name=name)
+
+sys.meta_path.insert(0, Hidden())
+import __spark_entry__ as contract
+print(len(contract.queries()), any(n.startswith("op") for n in contract.oracle_sql()))
+"""
+
+
+def test_queries_without_the_subpackage():
+    root = Path(__file__).resolve().parent.parent
+    said = subprocess.run([sys.executable, "-c", WITHOUT], cwd=root, capture_output=True, text=True, timeout=120, check=True)
+    n, has_operators = said.stdout.split()
+    assert int(n) > 30 and has_operators == "False"

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 from dataclasses import replace
 from functools import partial
 
@@ -10,18 +11,18 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from siftline.operators import late
-from siftline.operators.classify import classify
+from siftline.__main__ import create_tables, merge_all, sinks_for
 from siftline.operators.lexicon import words_table
 from siftline.schema import PROFANE_TABLE, SAFE_TABLE
+from siftline.settings import Settings
 from siftline.sinks import batches
 from siftline.sinks.fanout import FanOut
 from siftline.sinks.feed import FileFeed, RejectFiles
 from siftline.sinks.lake import LakeSink
 from siftline.sinks.olap import OlapSink
 from siftline.sources import tables
-from siftline.sources.local import LineFiles
-from siftline.streaming.job import arrivals, run, start
+from siftline.sources.local import LineFiles, messages
+from siftline.streaming.job import arrivals, run, start, start_all, start_windows
 
 
 class Job:
@@ -76,29 +77,91 @@ def _counts(profane, safe):
 @pytest.mark.parametrize(
     "bodies, profane",
     [
-        (["Hello world", "Bad word gun here"], 1),
+        (["see you at six", "a BAD gun, my word"], 1),
         ([], 0),
-        (["Hello", "Nice day"], 0),
-        (["gun", "bad"], 2),
+        (["rain later", "no news"], 0),
+        (["begun", "badly"], 2),
         (["gun"] * 5 + ["fine"] * 5, 5),
     ],
 )
-def test_counts_per_sink(spark, tmp_path, bodies, profane):
+@pytest.mark.parametrize("injected", [False, True])
+def test_counts_per_sink(spark, tmp_path, bodies, profane, injected):
     job = Job(spark, tmp_path)
-    job.put("a.json", [_message(i, body) for i, body in enumerate(bodies)])
-    job.run()
+    rows = [_message(i, body) for i, body in enumerate(bodies)]
+    if injected:
+        run(spark, lambda session: messages(session, rows), job.sinks)
+    else:
+        job.put("a.json", rows)
+        job.run()
     assert job.counts() == _counts(profane, len(bodies) - profane)
 
 
+def test_bounded_values_run_once_as_a_batch(spark, tmp_path):
+    job = Job(spark, tmp_path, quarantine=True)
+    job.put("a.json", [_message(1, "gun"), "not json", _message(2, "ok")])
+    run(spark, LineFiles(f"{tmp_path}/in", streaming=False), job.sinks)
+    assert job.counts() == _counts(1, 1) and job.sinks.rejects.read(spark).count() == 1
+
+
+def test_feed_does_not_wait_for_the_lake(spark, tmp_path):
+    job = Job(spark, tmp_path, quarantine=True)
+    job.put("a.json", [_message(0, "gun")])
+    queries = start_all(spark, LineFiles(f"{tmp_path}/in"), job.sinks, f"{tmp_path}/checkpoint", 3_600_000, 100)
+    try:
+        queries[0].processAllAvailable()
+        ends = time.monotonic() + 60
+        while job.counts()["profane"] == 0 and time.monotonic() < ends:
+            time.sleep(0.2)  # the first lake commit; the next is an hour away
+        job.put("b.json", [_message(1, "gun"), _message(2, "ok"), "not json"])
+        queries[0].processAllAvailable()
+        # The lake's interval is still open.
+        assert job.counts() == {"feed": 2, "profane": 1, "safe": 0, "olap": 3}
+        assert job.sinks.rejects.read(spark).count() == 1
+    finally:
+        for query in queries:
+            query.stop()
+    job2 = start(spark, LineFiles(f"{tmp_path}/in"), job.sinks.lake_only(), f"{tmp_path}/checkpoint/lake", None, mode="quarantine")
+    job2.awaitTermination()
+    assert job.counts() == _counts(2, 1)
+
+
+def test_default_deployment_by_name_and_path(spark, tmp_path):
+    settings = Settings.from_env({"SIFTLINE_DECODE_MODE": "quarantine", "ICEBERG_NAMESPACE": f"raw_{tmp_path.name}", "CLICKHOUSE_DATABASE": f"db_{tmp_path.name}"})
+    made = sinks_for(spark, settings)
+    assert made.lake.root.startswith("file:/")
+    sinks = replace(made, feed=FileFeed(f"{tmp_path}/feed"), rejects=RejectFiles(f"{tmp_path}/rejects"))
+    with pytest.warns(UserWarning, match="persistent catalog"):
+        create_tables(spark, settings, sinks)
+    job = Job(spark, tmp_path)
+    job.put("a.json", [_message(1, "gun"), _message(2, "ok")])
+    for _ in range(2):
+        job.run(sinks)
+        for table in (PROFANE_TABLE, SAFE_TABLE):
+            assert spark.table(f"{settings.namespace}.{table}").count() == sinks.lake.read(spark, table).count() == 1
+        assert spark.table(f"{settings.olap_database}.message_events").count() == sinks.olap.read_all(spark).count() == 2
+    # A table made by another session in the same place sees the same files.
+    assert spark.newSession().table(f"{settings.namespace}.{SAFE_TABLE}").count() == 1
+    merge_all(spark, settings)
+    assert spark.table(f"{settings.olap_database}.message_events").count() == 2
+    for namespace in (settings.namespace, settings.olap_database):
+        spark.sql(f"DROP DATABASE {namespace} CASCADE")
+
+
+def test_continuous_job_needs_a_checkpoint(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    with pytest.raises(ValueError, match="checkpoint"):
+        start(spark, LineFiles(f"{tmp_path}/in"), job.sinks)
+
+
 def test_feed_holds_the_profane_message_whole(spark, tmp_path):
     job = Job(spark, tmp_path)
-    job.put("a.json", [_message(100, "This is a gun related message", extra=1), _message(101, "safe")])
+    job.put("a.json", [_message(100, "the starting gun was late", extra=1), _message(101, "on time")])
     job.run()
     (line,) = job.sinks.feed.read(spark).collect()
     assert json.loads(line.value) == {
         "account_id": "1",
         "message_id": "100",
-        "message_body": "This is a gun related message",
+        "message_body": "the starting gun was late",
         "correlation_id": None,
         "message_status": None,
         "timestamp": "2025-01-01T10:00:00Z",
@@ -127,6 +190,15 @@ def test_many_batches(spark, tmp_path):
     assert len(batches.committed(spark, f"{tmp_path}/feed")) == 4
 
 
+class Both:
+    def __init__(self, *sinks):
+        self.sinks = sinks
+
+    def __call__(self, batch, batch_id):
+        for sink in self.sinks:
+            sink(batch, batch_id)
+
+
 def test_failed_batch_is_replayed_without_duplicates(spark, tmp_path):
     job = Job(spark, tmp_path)
     job.put("a.json", [_message(1, "gun", timestamp=None), _message(2, "fine")])
@@ -136,7 +208,7 @@ def test_failed_batch_is_replayed_without_duplicates(spark, tmp_path):
         seen.append({r.ingest_ts for r in batch.collect()})
         raise RuntimeError("sink down")
 
-    failing = FanOut(job.sinks.words, job.sinks.feed, job.sinks.lake, broken)
+    failing = replace(job.sinks, lake=Both(job.sinks.lake, broken), olap=None)
     with pytest.raises(StreamingQueryException, match="sink down"):
         job.run(failing)
     assert job.counts() == {"feed": 1, "profane": 1, "safe": 1, "olap": 0}
@@ -163,8 +235,8 @@ def test_new_checkpoint_never_overwrites(spark, tmp_path):
 def test_out_of_order_rows_reach_every_sink(spark, tmp_path):
     job = Job(spark, tmp_path)
     times = ["10:01:00", "10:00:55", "10:00:00", "10:02:00"]
-    for n, time in enumerate(times):
-        job.put(f"{n}.json", [_message(n, "gun", timestamp=f"2025-01-01T{time}Z")])
+    for n, clock in enumerate(times):
+        job.put(f"{n}.json", [_message(n, "gun", timestamp=f"2025-01-01T{clock}Z")])
         job.run()
     assert job.counts() == _counts(4, 0)
 
@@ -253,17 +325,12 @@ def test_windows_drop_late_rows_only_in_their_own_query(spark, tmp_path):
             [_message(f"{n}-{i}", "gun", timestamp=f"2025-01-01T{t}Z") for i, t in enumerate(times)],
         )
     source = LineFiles(f"{tmp_path}/in", max_bytes=1)
-    counted = late.window_counts(classify(arrivals(source(spark)), ["gun"]))
-    query = (
-        counted.writeStream.format("memory")
-        .queryName("window_test")
-        .outputMode("append")
-        .option("checkpointLocation", f"{tmp_path}/windows")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    closed = {r.window_start: r.n for r in spark.table("window_test").collect()}
+    closed = {}
+
+    def keep(batch, batch_id):
+        closed.update({r.window_start: r.n for r in batch.collect()})
+
+    start_windows(spark, source, ["gun"], keep, f"{tmp_path}/windows", None).awaitTermination()
     # 10:01:00 arrived when the watermark stood at 10:19:50: its window was closed.
     assert closed == {dt.datetime(2025, 1, 1, 10, 0): 2, dt.datetime(2025, 1, 1, 10, 20): 3}
     job.run()

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from siftline.operators import lexicon
 
 
@@ -18,7 +20,8 @@ def test_default_list(spark):
 
 
 def test_missing_file_falls_back(spark, tmp_path):
-    assert lexicon.load_words(spark, str(tmp_path / "none.txt")) == ["gun"]
+    with pytest.warns(UserWarning, match="cannot be read"):
+        assert lexicon.load_words(spark, str(tmp_path / "none.txt")) == ["gun"]
 
 
 def test_empty_file_stays_empty(spark, tmp_path):
@@ -30,7 +33,8 @@ def test_empty_file_stays_empty(spark, tmp_path):
 def test_unreadable_file_falls_back(spark, tmp_path):
     path = tmp_path / "words.txt.gz"
     path.write_bytes(b"this is not gzip data")
-    assert lexicon.load_words(spark, str(path)) == ["gun"]
+    with pytest.warns(UserWarning, match="cannot be read"):
+        assert lexicon.load_words(spark, str(path)) == ["gun"]
 
 
 def test_large_list_stays_a_table(spark):

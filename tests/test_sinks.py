@@ -77,17 +77,25 @@ def test_lake_range_scan_prunes_days(spark, tmp_path):
 
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     lake, olap, feed = LakeSink(f"{tmp_path}/l"), OlapSink(f"{tmp_path}/o"), FileFeed(f"{tmp_path}/f")
-    for batch_id in (0, 1, 1, 0):
-        batch = _batch(spark, [_row(batch_id * 10 + i, "gun" if i else "ok") for i in range(3)])
-        feed(profane_only(batch), batch_id)
-        lake(batch, batch_id)
-        olap(batch, batch_id)
+    with batches.as_stream(spark, "s"):
+        for batch_id in (0, 1, 1, 0):
+            batch = _batch(spark, [_row(batch_id * 10 + i, "gun" if i else "ok") for i in range(3)])
+            feed(profane_only(batch), batch_id)
+            lake(batch, batch_id)
+            olap(batch, batch_id)
     assert feed.read(spark).count() == 4
     assert lake.read(spark, PROFANE_TABLE).count() == 4
     assert lake.read(spark, SAFE_TABLE).count() == 2
     assert olap.read_all(spark).count() == 6
 
 
+def test_new_rows_under_a_used_id_are_an_error(spark, tmp_path):
+    lake = LakeSink(str(tmp_path))
+    lake(_batch(spark, MIXED), 0)
+    with pytest.raises(FileExistsError):
+        lake(_batch(spark, MIXED), 0)
+
+
 def test_half_written_batch_is_invisible_and_replaced(spark, tmp_path):
     lake = LakeSink(str(tmp_path))
     lake(_batch(spark, MIXED), 0)
@@ -95,9 +103,10 @@ def test_half_written_batch_is_invisible_and_replaced(spark, tmp_path):
     done = tmp_path / SAFE_TABLE / "stream_id=direct" / "batch=1" / "_SUCCESS"
     done.unlink()
     assert lake.read(spark, SAFE_TABLE).count() == 6
+    (tmp_path / PROFANE_TABLE / "stream_id=direct" / "batch=1" / "_SUCCESS").unlink()
     lake(_batch(spark, MIXED[:4]), 1)
     assert lake.read(spark, SAFE_TABLE).count() == 8
-    assert lake.read(spark, PROFANE_TABLE).count() == 12
+    assert lake.read(spark, PROFANE_TABLE).count() == 8
 
 
 def test_empty_tables_read_as_empty(spark, tmp_path):
@@ -176,7 +185,8 @@ def test_replaced_folders_can_be_dropped(spark, tmp_path):
         olap(_batch(spark, [_row(batch_id)]), batch_id)
     olap.merge(spark)
     gone = batches.drop_replaced(spark, olap.path)
-    assert gone == ["stream_id=direct/batch=0", "stream_id=direct/batch=1"]
+    month = "event_month=202501"
+    assert gone == [f"stream_id=direct/batch=0/{month}", f"stream_id=direct/batch=1/{month}"]
     assert _ids(olap.read(spark)) == ["m0", "m1"]
     assert batches.drop_replaced(spark, olap.path) == []
 
@@ -196,7 +206,43 @@ def test_merge_is_invisible_until_its_list_is_published(spark, tmp_path, monkeyp
     assert lake.read(spark, SAFE_TABLE).count() == 18
     lake.merge(spark, SAFE_TABLE)
     assert lake.read(spark, SAFE_TABLE).count() == 18
-    assert batches.committed(spark, lake.path(SAFE_TABLE)) == ["stream_id=merged/batch=1"]
+    assert len(batches.committed(spark, lake.path(SAFE_TABLE))) == 1
+
+
+def test_olap_merge_rewrites_only_months_with_new_rows(spark, tmp_path):
+    olap = OlapSink(str(tmp_path))
+    both = [_row(1), _row(2, timestamp="2025-02-03T00:00:00Z")]
+    olap(_batch(spark, both), 0)
+    olap(_batch(spark, [_row(3)]), 1)
+    first = olap.merge(spark)
+    olap(_batch(spark, [_row(1, "newer")], "2025-06-01T13:00:00Z"), 2)
+    second = olap.merge(spark)
+    found = batches.committed(spark, olap.path)
+    assert [f"{olap.path}/{f}" for f in found] == [f"{first}/event_month=202502", second]
+    assert {r.message_id: r.message_body for r in olap.read_all(spark).collect()} == {"m1": "newer", "m2": "fine", "m3": "fine"}
+    assert olap.merge(spark) is None
+    batches.drop_replaced(spark, olap.path)
+    assert batches.committed(spark, olap.path) == found and olap.read_all(spark).count() == 3
+
+
+def test_interleaved_merges_lose_and_double_nothing(spark, tmp_path, monkeypatch):
+    lake = LakeSink(str(tmp_path))
+    for batch_id in range(3):
+        lake(_batch(spark, MIXED), batch_id)
+    publish = files.publish_text
+
+    def slow(*args):
+        with monkeypatch.context() as patch:
+            patch.setattr(files, "publish_text", publish)
+            lake.merge(spark, SAFE_TABLE)  # another merge is done before this one publishes
+        publish(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "publish_text", slow)
+        with pytest.raises(FileExistsError):
+            lake.merge(spark, SAFE_TABLE)
+    assert lake.read(spark, SAFE_TABLE).count() == 18
+    assert len(batches.committed(spark, lake.path(SAFE_TABLE))) == 1
 
 
 def test_lake_merge_compacts_and_keeps_every_row(spark, tmp_path):
@@ -211,9 +257,10 @@ def test_lake_merge_compacts_and_keeps_every_row(spark, tmp_path):
     lake(_batch(spark, MIXED), 4)
     lake.merge(spark, SAFE_TABLE)
     # A partial merge leaves what an earlier merge wrote alone.
-    assert batches.committed(spark, table) == ["stream_id=merged/batch=1", "stream_id=merged/batch=2"]
+    merged = batches.committed(spark, table)
+    assert len(merged) == 2 and folder.endswith(merged[0])
     lake.merge(spark, SAFE_TABLE, whole=True)
-    assert batches.committed(spark, table) == ["stream_id=merged/batch=3"]
+    assert len(batches.committed(spark, table)) == 1
     assert lake.read(spark, SAFE_TABLE).count() == 30
 
 
@@ -277,7 +324,7 @@ def test_stored_size_is_the_size_of_the_files(spark, tmp_path):
     olap = OlapSink(str(tmp_path))
     olap(_batch(spark, MIXED), 0)
     on_disk = sum(p.stat().st_size for p in tmp_path.glob("**/*.parquet"))
-    row = analytics.stored_size(olap.read_all(spark)).first()
+    row = analytics.stored_size(spark, olap.path).first()
     assert (row.bytes, row.size) == (on_disk, f"{on_disk / 1024:.2f} KiB")
 
 

@@ -60,7 +60,7 @@ def test_settings_from_environment(spark, tmp_path):
         }
     )
     sinks = sinks_for(spark, s)
-    assert sinks.lake.writers == 4 and sinks.lake.root == f"{tmp_path}/raw_messages"
+    assert sinks.lake.writers == 4 and sinks.lake.root == f"file:{tmp_path}/raw_messages"
     assert sinks.rejects is not None and "hate" in sinks.words
     assert sinks_for(spark, Settings.from_env({})).rejects is None
     jdbc = sinks_for(spark, Settings.from_env({"CLICKHOUSE_JDBC_URL": "jdbc:x://h/d"})).olap

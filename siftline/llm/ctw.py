@@ -30,10 +30,11 @@ DEPTH = 5
 TOP = 2
 END = 0xFF  # no byte of UTF-8; follows every text and precedes it as its context
 BLOCK_BYTES = 32 << 20
-CHUNK = 1 << 21
+CHUNK = 1 << 20
+CACHE_WORDS = 100_000
+READ_DOCS = 256
 TREE_ROWS = 200_000
 GRAM, WORD = 0, 1
-END_WORD = xxhash.xxh3_64_intdigest(b"\n")  # a blank is in no word
 
 
 def lowered(text: str | None) -> bytes:
@@ -62,45 +63,70 @@ class _Sums:
     def __init__(self):
         self._keys, self._counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
 
-    def add(self, keys: np.ndarray, learn: bool) -> None:
-        found, counts = np.unique(keys, return_counts=True)
-        self._keys.append(found)
-        self._counts.append(counts if learn else np.zeros(len(found), np.int64))
-        if sum(map(len, self._keys[1:])) > len(self._keys[0]) + CHUNK:
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self._keys.append(keys)
+        self._counts.append(counts)
+        if sum(map(len, self._keys[1:])) > len(self._keys[0]) // 2 + CHUNK:
             self.merge()
 
+    def count(self, keys: np.ndarray, learn: bool) -> None:
+        found, counts = np.unique(keys, return_counts=True)
+        self.add(found, counts if learn else np.zeros(len(found), np.int64))
+
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate(self._keys), return_inverse=True)
-        counts = np.bincount(at, np.concatenate(self._counts), len(keys)).astype(np.int64)
-        self._keys, self._counts = [keys], [counts]
-        return keys, counts
+        keys, counts = np.concatenate(self._keys), np.concatenate(self._counts)
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        self._keys, self._counts = [keys[first]], [np.add.reduceat(counts, first) if len(first) else counts]
+        return self._keys[0], self._counts[0]
+
+
+def _word_hashes(words) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def _rows(table: pa.Table, *names: str):
+    """The rows of a group, a few as Python values at a time."""
+    for batch in table.select(list(names)).to_batches(max_chunksize=READ_DOCS):
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
 def _collect(table: pa.Table) -> pa.Table:
     """The different contexts and words of a block, with their counts in documents to learn from."""
-    grams, words = _Sums(), {}
+    grams, words, counts = _Sums(), _Sums(), {}
     held: dict[bool, list[np.ndarray]] = {True: [], False: []}
-    for text, learn in zip(table["text"].to_pylist(), table["learn"].to_pylist(), strict=True):
+    sizes = {True: 0, False: 0}
+
+    def note_words():
+        words.add(_word_hashes(counts), np.fromiter(counts.values(), np.int64, len(counts)))
+        counts.clear()
+
+    for text, learn in _rows(table, "text", "learn"):
         data = lowered(text)
         held[learn].append(gram_codes(data))
-        if sum(map(len, held[learn])) > CHUNK:
-            grams.add(np.concatenate(held[learn]), learn)
-            held[learn] = []
+        sizes[learn] += len(data) + 1
+        if sizes[learn] > CHUNK:
+            grams.count(np.concatenate(held[learn]), learn)
+            held[learn], sizes[learn] = [], 0
         for word in data.split():
-            words[word] = words.get(word, 0) + learn
-        words[b"\n"] = words.get(b"\n", 0) + learn
+            counts[word] = counts.get(word, 0) + learn
+        counts[b"\n"] = counts.get(b"\n", 0) + learn
+        if len(counts) > CACHE_WORDS:
+            note_words()
+    note_words()
     for learn, codes in held.items():
         if codes:
-            grams.add(np.concatenate(codes), learn)
-    keys, counts = grams.merge()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    n = len(keys) + len(words)
+            grams.count(np.concatenate(codes), learn)
+    keys, key_counts = grams.merge()
+    hashes, hash_counts = words.merge()
+    n = len(keys) + len(hashes)
     return pa.table(
         {
             "block": pa.array(np.full(n, table["block"][0].as_py(), np.int64)),
-            "kind": pa.array(np.repeat(np.array([GRAM, WORD], np.int32), [len(keys), len(words)])),
+            "kind": pa.array(np.repeat(np.array([GRAM, WORD], np.int32), [len(keys), len(hashes)])),
             "key": pa.array(_signed(np.concatenate((keys, hashes)))),
-            "n": pa.array(np.concatenate((counts, np.fromiter(words.values(), np.int64, len(words))))),
+            "n": pa.array(np.concatenate((key_counts, hash_counts))),
         }
     )
 
@@ -265,13 +291,14 @@ def _score(docs: pa.Table, known: pa.Table, train_tokens: int, vocabulary: int)
     rates = np.log10((counts + 1) / (train_tokens + vocabulary + 1))
     number: dict[bytes, int] = {}
     rows: list[list] = [[], [], [], [], []]
-    for text in docs["text"].to_pylist():
+    for (text,) in _rows(docs, "text"):
         data = lowered(text)
-        words = [*data.split(), b"\n"]
+        words = [*data.split(), b"\n"]  # the end is a token that no word can be
+        if len(number) > CACHE_WORDS:
+            number.clear()
         new = [w for w in set(words) if w not in number]
         if new:
-            found = np.searchsorted(hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in new], np.uint64))
-            number.update(zip(new, found.tolist(), strict=True))
+            number.update(zip(new, np.searchsorted(hashes, _word_hashes(new)).tolist(), strict=True))
         at = np.fromiter((number[w] for w in words), np.int64, len(words))
         score = 0.0
         grams = gram_codes(data)

@@ -1,0 +1,47 @@
+"""The pipeline against brute force, stage by stage, each over what the one before kept."""
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from siftline.llm import langid
+from siftline.llm.quality import Limits, measure
+from tests.llm.test_ngram_join import brute as near_groups
+from tests.llm.test_packing import check_pieces
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    text = {d.doc_id: d.text for d in docs.collect()}
+    kept = {d for d, t in text.items() if measure(t or "", Limits())[-1]}
+    assert 0 < len(kept) < len(text)
+    left = docs.where(docs.doc_id.isin(list(kept)))
+    judged = langid.identify(left, langid.fit(langid.train_rows(left))).collect()
+    kept = {r.doc_id for r in judged if r.lang_pred != "und" and r.score >= 0.5}
+    groups = near_groups({d: text[d] for d in kept})
+    kept = {d for d in kept if groups[d][0] == d}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer.encode_special_tokens = True
+    ids = {d: [*tokenizer.encode(text[d], add_special_tokens=False).ids, 1] for d in kept}
+    check_pieces(contract.queries()["pipeline"](spark, SF_DIR).collect(), ids)
+
+
+def test_stages_keep_the_columns_and_bear_odd_rows(spark):
+    long = " ".join(f"word{i} and then" for i in range(60))
+    docs = spark.createDataFrame(
+        [(1, None, "en", "s", 0), (2, "", None, "s", 0), (3, long, "en", None, 1), (3, long, "en", None, 1), (4, long + " end", "en", "s", None),
+         (None, long, None, None, None), (5, "1 2 3 " * 40, "de", "s", 5)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    rows = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, SF_DIR)
+        assert rows.columns == docs.columns
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in rows.collect()) == [-1, 3]
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, SF_DIR)
+    assert empty.count() == 0

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from siftline.session import shared_dir
 
 
+BATCH_ROWS = 2_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,14 +26,22 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def per_batch(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
-    """Run ``make()`` once in each task and the function it returns on each Arrow batch."""
+def slices(batch: pa.RecordBatch, rows: int = BATCH_ROWS):
+    """The rows of a batch, so many at a time: what is made of them in Python stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def per_batch(
+    df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]], rows: int = BATCH_ROWS
+) -> DataFrame:
+    """Run ``make()`` once in each task and the function it returns on each slice of an Arrow batch."""
 
     def run(batches):
         function = make()
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(function(batch))
+            for part in slices(batch, rows):
+                yield pa.RecordBatch.from_pydict(function(part))
 
     return df.mapInArrow(run, schema)
 

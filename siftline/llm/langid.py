@@ -30,6 +30,7 @@ OTHER_SCRIPT = -30.0
 MIN_SCRIPT_SHARE = 0.01
 CACHE_WORDS = 200_000
 STEP_WORDS = 300_000
+WALK_ROWS = 10_000  # texts that walk together: few have the length of the longest
 UNKNOWN = "und"
 
 # First code point, last code point and name of the Unicode ranges that tell scripts apart.
@@ -244,7 +245,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
         return run
 
-    return per_batch(docs.select("doc_id", "text"), _SCHEMA, make)
+    return per_batch(docs.select("doc_id", "text"), _SCHEMA, make, rows=WALK_ROWS)
 
 
 def kept_rows(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:

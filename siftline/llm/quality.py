@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import per_batch, texts
+from siftline.llm.common import per_batch, slices, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -159,8 +159,8 @@ def kept_rows(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = [measure(t, limits)[-1] for t in texts(batch)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for part in slices(batch):
+                yield part.filter(pa.array([measure(t, limits)[-1] for t in texts(part)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -33,14 +33,15 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark):
     long = " ".join(f"word{i} and then" for i in range(60))
     docs = spark.createDataFrame(
         [(1, None, "en", "s", 0), (2, "", None, "s", 0), (3, long, "en", None, 1), (3, long, "en", None, 1), (4, long + " end", "en", "s", None),
-         (None, long, None, None, None), (5, "1 2 3 " * 40, "de", "s", 5)],
+         (None, long, None, None, None), (5, "1 2 3 " * 40, "de", "s", 5)]
+        + [(d, " ".join(f"other{d}x{i} and so" for i in range(60)), "en", "s", 1) for d in range(10, 16)],  # some are learnt from
         "doc_id long, text string, lang string, source string, n_chars long",
     )
     rows = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
         rows = stage(spark, rows, SF_DIR)
         assert rows.columns == docs.columns
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in rows.collect()) == [-1, 3]
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in rows.collect()) == [-1, 3, *range(10, 16)]
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF_DIR)

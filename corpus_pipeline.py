@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those of which no language has half of the letters."""
+    """Drop documents without a letter and, if a language could be learnt, those of which none has half of the letters."""
     return langid.kept_rows(docs, langid.fit(langid.train_rows(docs)))
 
 

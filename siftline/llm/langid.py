@@ -249,15 +249,21 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that have a language with at least ``min_score`` of the letters."""
+    """The rows of ``docs``, all columns as they are, that have a language with at least ``min_score`` of the letters.
+
+    If nothing was learnt there is no language to judge by, and only texts without a letter go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         langs, labeller = shared.value.langs, Labeller(shared.value)
         for batch in batches:
-            spans = labeller.label(texts(batch)) if langs else [[]] * batch.num_rows
-            judged = [judge(s, langs) for s in spans]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in judged], pa.bool_()))
+            if langs:
+                judged = [judge(s, langs) for s in labeller.label(texts(batch))]
+                kept = [lang != UNKNOWN and score >= min_score for lang, score in judged]
+            else:
+                kept = [bool(words_of(t)) for t in texts(batch)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -46,3 +46,14 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF_DIR)
     assert empty.count() == 0
+
+
+def test_nothing_learnt_does_not_empty_the_pipeline(spark):
+    long = " ".join(f"word{i} and then" for i in range(60))
+    # Rows 3 and 4 are held out and the others have no id, no label or no letter: no language is learnt.
+    docs = spark.createDataFrame(
+        [(3, long, "en"), (4, long + " end", "en"), (None, long, None), (8, "1 2 3", None), (9, None, None)],
+        "doc_id long, text string, lang string",
+    )
+    rows = corpus_pipeline.language_id(spark, docs, SF_DIR).collect()
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in rows) == [-1, 3, 4]

@@ -133,9 +133,14 @@ class Labeller:
     def _forget(self) -> None:
         self._known: dict[str, int] = {}
         self._scores = np.zeros((0, len(self._model.langs)), np.float32)
+        self._written = np.zeros(0, bool)  # is the script of the word that of a language
 
     def label(self, batch: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """For each text its spans: first word, words, letters, number of the language."""
+        return [[s[:4] for s in spans] for spans in self.weigh(batch)]
+
+    def weigh(self, batch: list[str]) -> list[list[tuple[int, int, int, int, int]]]:
+        """The spans of ``label``, each with its letters of words in a script of some language."""
         out: list = [[] for _ in batch]
         order = sorted(range(len(batch)), key=lambda i: -len(batch[i]))  # texts of like length walk together
         held, total = [], 0
@@ -168,6 +173,7 @@ class Labeller:
             scores[~candidates.any(1)] = 0
             self._known.update(zip(fresh, range(len(self._scores), len(self._scores) + len(fresh)), strict=True))
             self._scores = np.concatenate((self._scores, scores.astype(np.float32)))
+            self._written = np.concatenate((self._written, candidates.any(1)))
         known = self._known
         index = np.fromiter((known[w] for _, ws in held for w in ws), np.int64)
         return index, np.fromiter((len(w) for _, ws in held for w in ws), np.int64)
@@ -199,22 +205,26 @@ class Labeller:
             label[at] = state[:m]
             state[:m] = came[at, state[:m]]
         sums = np.concatenate(([0], np.cumsum(letters)))
+        counted = np.concatenate(([0], np.cumsum(letters * self._written[index])))
         changes = np.flatnonzero(label[1:] != label[:-1]) + 1
         edges = np.unique(np.concatenate((starts, changes, [len(label)])))
         text = np.searchsorted(starts, edges[:-1], side="right") - 1
         for a, b, k in zip(edges[:-1].tolist(), edges[1:].tolist(), text.tolist(), strict=True):
-            out[held[k][0]].append((a - int(starts[k]), b - a, int(sums[b] - sums[a]), int(label[a])))
+            out[held[k][0]].append((a - int(starts[k]), b - a, int(sums[b] - sums[a]), int(label[a]), int(counted[b] - counted[a])))
+
 
+def judge(spans: list[tuple[int, int, int, int, int]], langs: list[str]) -> tuple[str, float]:
+    """The language with the most letters and its share of the letters; ties go to the name that sorts first.
 
-def judge(spans: list[tuple[int, int, int, int]], langs: list[str]) -> tuple[str, float]:
-    """The language with the most letters and its share of the letters; ties go to the name that sorts first."""
+    Letters of words whose script no language uses are in the whole, but count for no language.
+    """
     if not spans or not langs:
         return UNKNOWN, 0.0
     letters: Counter = Counter()
-    for _, _, n, lang in spans:
+    for _, _, _, lang, n in spans:
         letters[lang] += n
     lang = min(letters, key=lambda k: (-letters[k], langs[k]))
-    return langs[lang], letters[lang] / sum(letters.values())
+    return langs[lang], letters[lang] / sum(s[2] for s in spans)
 
 
 _SCHEMA = "doc_id long, lang_pred string, score double, spans array<struct<first_word: int, words: int, lang: string>>"
@@ -232,9 +242,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         langs, labeller = shared.value.langs, Labeller(shared.value)
 
         def run(batch: pa.RecordBatch) -> dict:
-            spans = labeller.label(texts(batch)) if langs else [[]] * batch.num_rows
+            spans = labeller.weigh(texts(batch)) if langs else [[]] * batch.num_rows
             judged = [judge(s, langs) for s in spans]
-            named = [[{"first_word": a, "words": n, "lang": langs[k]} for a, n, _, k in s] for s in spans]
+            named = [[{"first_word": a, "words": n, "lang": langs[k]} for a, n, _, k, _ in s] for s in spans]
             kind = pa.list_(pa.struct([("first_word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
             return {
                 "doc_id": batch.column(0),
@@ -259,7 +269,7 @@ def kept_rows(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFram
         langs, labeller = shared.value.langs, Labeller(shared.value)
         for batch in batches:
             if langs:
-                judged = [judge(s, langs) for s in labeller.label(texts(batch))]
+                judged = [judge(s, langs) for s in labeller.weigh(texts(batch))]
                 kept = [lang != UNKNOWN and score >= min_score for lang, score in judged]
             else:
                 kept = [bool(words_of(t)) for t in texts(batch)]

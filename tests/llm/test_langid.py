@@ -89,3 +89,11 @@ def test_nothing_learnt(spark):
 def test_scripts():
     names = [langid.SCRIPT_NAMES[langid.script_of(w)] for w in ("word", "Ünï", "слово", "語", "ひ", "한", "ᚠ")]
     assert names == ["latin", "latin", "cyrillic", "han", "kana", "hangul", "other"]
+
+
+def test_a_script_of_no_language_is_no_evidence(spark, model):
+    docs = spark.createDataFrame([(1, "Привет мир"), (2, "語 文字"), (3, "the and of that"), (4, "the and Привет мир всем")], "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+    assert [found[d][1] for d in (1, 2, 3)] == [0.0, 0.0, 1.0] and found[4][1] == pytest.approx(6 / 19)
+    assert all(lang in model.langs for lang, _ in found.values())
+    assert [r.doc_id for r in langid.kept_rows(docs, model).collect()] == [3]

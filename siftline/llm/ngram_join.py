@@ -239,6 +239,11 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, block_nodes: int = BLO
     an id have links and a class like any other, but no id names a class while another does.
     Repeated rows are repeated. Columns other than doc_id and text are not looked at.
     """
+    return _classes(docs, similarity, block_nodes).select("doc_id", "class_id", "copy_of", "n_links")
+
+
+def _classes(docs: DataFrame, similarity: float, block_nodes: int = BLOCK_NODES) -> DataFrame:
+    """The rows of ``join`` with the hash of their text and the component of their class, null for a text without words."""
     bands, rows = banding(similarity, TARGET_RECALL)
     signed = written(signatures(docs, bands, rows), "signatures")
     found = written(links(docs, signed, similarity, block_nodes), "links")
@@ -248,19 +253,26 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, block_nodes: int = BLO
     nodes = nodes.join(counts, "node", "left").join(linked, "node", "left")
     nodes = nodes.select("node", "copy_of", "n_links", F.coalesce("component", "node").alias("component"))
     firsts = nodes.groupBy("component").agg(F.min("copy_of").alias("class_id"))
-    nodes = nodes.join(firsts, "component").drop("component")
-    with_words = signed.where("node is not null").select("doc_id", "node").join(nodes, "node")
-    alone = signed.where("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"))
-    return with_words.select("doc_id", "class_id", "copy_of", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")).union(alone)
+    nodes = nodes.join(firsts, "component")
+    with_words = signed.where("node is not null").select("doc_id", "text_key", "node").join(nodes, "node")
+    alone = signed.where("node is null").select(
+        "doc_id", "text_key", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"),
+        F.lit(0).cast("long").alias("n_links"),
+    )
+    n_links = F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    return with_words.select("doc_id", "text_key", "component", "class_id", "copy_of", n_links).union(alone)
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the document with the smallest id, once.
 
-    Rows without an id stay: no class is named by them.
+    An id on texts of several classes can stay for each of them. Rows without an id stay: no
+    class is named by them.
     """
-    keepers = join(docs, similarity).where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(keepers, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    firsts = _classes(docs, similarity).where("doc_id = class_id").groupBy("class_id", "component")
+    keepers = firsts.agg(F.min("text_key").alias("_text_key")).select(F.col("class_id").alias("doc_id"), "_text_key")
+    named = docs.withColumn("_text_key", F.xxhash64("text")).join(keepers, ["doc_id", "_text_key"], "left_semi")
+    named = named.dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
     return named.union(docs.where("doc_id is null"))
 
 

@@ -97,3 +97,13 @@ def test_edge_rows(spark):
     assert stay.columns == docs.columns
     assert sorted(-1 if r.doc_id is None else r.doc_id for r in stay.collect()) == [-1, 1, 2, 3, 4, 6, 9]
     assert ngram_join.join(docs.limit(0)).count() == 0
+
+
+def test_one_id_on_two_texts_loses_no_class(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    docs = spark.createDataFrame(
+        [(1, one), (5, one + " end"), (5, two), (5, two), (5, ""), (6, two), (7, "x y"), (7, "x  y")],
+        "doc_id long, text string",
+    )
+    stay = sorted((r.doc_id, r.text.split()) for r in ngram_join.one_of_each(docs).collect())
+    assert stay == [(1, one.split()), (5, []), (5, two.split()), (7, ["x", "y"])]

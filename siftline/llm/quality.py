@@ -111,7 +111,7 @@ def measure(text: str, limits: Limits) -> tuple:
             lines.add(line)
     repeat_words = int(covered(repeated(_triples(codes)), 3, n).sum()) if n >= 3 else 0
     shares = dict.fromkeys(limits.ngrams, 0.0)
-    if repeat_words:
+    if repeat_words or (chars and min(limits.ngrams, default=3) < 3):
         hashes = RollingHashes(codes)
         for size in sorted(limits.ngrams):
             starts = repeated(hashes.of(size))

@@ -76,3 +76,10 @@ def test_edge_rows(spark):
     assert [r.n_words for r in rows if r.doc_id in (1, 2)] == [0, 0]
     assert quality.kept_rows(docs).columns == docs.columns
     assert quality.rate(docs.limit(0)).count() == 0
+
+
+def test_sizes_below_three_do_not_need_a_repeated_triple():
+    text = "a b x1 a b x2 a b x3 a b x4"  # no three words repeat
+    limits = Limits(ngrams={1: 0.5, 2: 0.4}, min_words=1)
+    shares, kept = measure(text, limits)[5], measure(text, limits)[-1]
+    assert shares == [8 / 16, 8 / 16] and not kept

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siftline.llm import bpe, ctw, hosts, langid, ngram_join, packing, quality, sharding, topk, warc
+from siftline.llm import bpe, ctw, hosts, langid, ngram_join, packing, quality, sharding, topk, warc, whitening
 from siftline.llm.common import table
 
 RULES = [
@@ -65,6 +65,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -73,7 +77,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_warc, op3_host_reputation, op4_language, op5_repetition, op6_sharding, op7_exact_topk,
-        op8_packing, op9_context_trees, op10_byte_bpe, pipeline,
+        op8_packing, op9_context_trees, op10_byte_bpe, op11_whitening, pipeline,
     )
 }
 ORACLES = {

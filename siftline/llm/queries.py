@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siftline.llm import bpe, ctw, hosts, langid, ngram_join, packing, quality, sharding, topk, warc, whitening
+from siftline.llm import bpe, ctw, hosts, langid, negatives, ngram_join, packing, quality, sharding, topk, warc, whitening
 from siftline.llm.common import table
 
 RULES = [
@@ -69,6 +69,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    vectors = negatives.quantized(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -77,7 +83,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_warc, op3_host_reputation, op4_language, op5_repetition, op6_sharding, op7_exact_topk,
-        op8_packing, op9_context_trees, op10_byte_bpe, op11_whitening, pipeline,
+        op8_packing, op9_context_trees, op10_byte_bpe, op11_whitening, op13_hard_negatives,
+        pipeline,
     )
 }
 ORACLES = {
@@ -85,4 +92,7 @@ ORACLES = {
     "op2_warc": warc.ORACLE,
     "op3_host_reputation": hosts.oracle(RULES),
     "op7_exact_topk": topk.oracle("embeddings", "vec_id", "embedding", EVERY, BEST),
+    "op13_hard_negatives": negatives.oracle(
+        "embeddings", "vec_id", "embedding", "if(vec_id % 7 = 0, (label + 1) % 10, label)", "vec_id % 100 = 0"
+    ),
 }

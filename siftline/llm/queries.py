@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siftline.llm import bpe, ctw, hosts, langid, negatives, ngram_join, packing, quality, sharding, topk, warc, whitening
+from siftline.llm import bpe, ctw, hosts, langid, negatives, ngram_join, packing, pii, quality, sharding, topk, warc, whitening
 from siftline.llm.common import table
 
 RULES = [
@@ -69,6 +69,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"), pii.fit(pii.labelled(spark)))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
     vectors = negatives.quantized(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label)
@@ -83,8 +87,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_warc, op3_host_reputation, op4_language, op5_repetition, op6_sharding, op7_exact_topk,
-        op8_packing, op9_context_trees, op10_byte_bpe, op11_whitening, op13_hard_negatives,
-        pipeline,
+        op8_packing, op9_context_trees, op10_byte_bpe, op11_whitening, op12_pii,
+        op13_hard_negatives, pipeline,
     )
 }
 ORACLES = {

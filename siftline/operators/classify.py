@@ -5,7 +5,8 @@ Three exact forms, picked by the size of the word list:
 * a short list is an OR chain of ``contains``, inside whole-stage codegen;
 * a longer list is one prefix-sharing alternation, a single pass over the text
   whatever the number of words;
-* a list too big for an expression stays a table and is matched by equi-joins.
+* a list too big for an expression stays a table: rare parts of its words find the places
+  of a text that are worth a look-up.
 
 The first two are stateless and shuffle nothing.
 """
@@ -13,7 +14,7 @@ The first two are stateless and shuffle nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,10 +30,11 @@ CHAIN_MAX_WORDS = 32
 # Alternatives tried in turn before the next character splits them.
 PLAIN_BRANCHES = 4
 
-# Join form: widths of a word's start that positions of a text are compared with, and the
-# characters a text is cut into. A start of at most four characters is as wide as its word.
-ANCHORS = (1, 2, 3, 4, 8, 16)
+# Join form: lengths of the parts of words that texts are searched for, the characters a text is
+# cut into, and the most bits of a filter over such parts.
+GRAMS = (1, 2, 3, 6)
 PIECE_CHARS = 2048
+FILTER_MAX_BITS = 1 << 24
 
 # Tables of at most so many short rows are sent to every executor; larger ones are shuffled.
 BROADCAST_MAX_ROWS = 500_000
@@ -100,47 +102,111 @@ def profane_only(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("profanity_type") == PROFANITY)
 
 
-def _anchors(words: DataFrame) -> DataFrame:
-    """(anchor, whole, longer): starts of words; is one a word itself, and the lengths of longer words with it."""
-    chars = F.length("word")
-    width = F.least(chars, F.lit(4))
-    for wider in (8, 16):
-        width = F.when(chars >= wider, wider).otherwise(width)
-    started = words.select(F.col("word").substr(F.lit(1), width).alias("anchor"), width.alias("width"), chars.alias("chars"))
-    longer = F.collect_set(F.when(F.col("chars") > F.col("width"), F.col("chars")))
-    return started.groupBy("anchor").agg(F.max(F.col("chars") == F.col("width")).alias("whole"), longer.alias("longer"))
+def _widths(words: DataFrame) -> Column:
+    """The length of the parts of a ``word``: the largest of GRAMS that fits."""
+    width = F.lit(GRAMS[0])
+    for wider in GRAMS[1:]:
+        width = F.when(F.length("word") >= wider, wider).otherwise(width)
+    return width
+
+
+def _parts(text: str, width: int) -> Column:
+    """The parts of ``width`` characters of a text, one for each place where one begins."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{width}}}))."), F.lit(1))
+
+
+def bloom_filter(grams: DataFrame) -> Callable[[Column], Column]:
+    """A test that holds for every ``gram`` of a table of distinct ones, and for few other texts.
+
+    The bits, at most FILTER_MAX_BITS, become a constant of the expression; beyond a sixteenth of
+    as many grams it lets more through.
+    """
+    bits = min(max(1 << 10, 1 << (16 * grams.count()).bit_length()), FILTER_MAX_BITS)
+
+    def places(gram: Column) -> list[Column]:
+        hashed = F.xxhash64(gram)
+        return [F.shiftrightunsigned(hashed, k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)]
+
+    place = F.col("place")
+    marked = (
+        grams.select(F.explode(F.array(*places(F.col("gram")))).alias("place"))
+        .select(F.shiftright(place, 6).alias("id"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+        .distinct()
+        .groupBy("id")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("word"))
+    )
+    words = grams.sparkSession.range(bits // 64).join(marked, "id", "left").select("id", F.coalesce("word", F.lit(0)).alias("word"))
+    ordered = F.sort_array(F.collect_list(F.struct("id", "word")))
+    listed = words.agg(F.array_join(F.transform(ordered, lambda w: w["word"].cast("string")), ",")).first()[0]
+    table = F.split(F.lit(listed), ",").cast("array<bigint>")
+
+    def holds(gram: Column) -> Column:
+        def marked_at(p: Column) -> Column:
+            return F.getbit(F.get(table, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        first, second = places(gram)
+        return marked_at(first) & marked_at(second)
+
+    return holds
+
+
+def rarest_parts(words: DataFrame, pieces: DataFrame, widths: list[int]) -> DataFrame:
+    """(word, gram, offset): of each word the part that the fewest ``pieces`` hold. A word of which some part is in none is left out."""
+    width = _widths(words)
+    parts = F.coalesce(*(F.when(width == w, _parts("word", w)) for w in widths))
+    every = words.select("word", F.posexplode(parts).alias("offset", "gram"))
+    known = bloom_filter(every.select("gram").distinct())
+    held = F.array_distinct(F.concat(*(F.filter(_parts("text", w), known) for w in widths)))
+    counts = pieces.select(F.explode(held).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    ranked = every.join(counts, "gram", "left").select("word", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "gram").alias("part"))
+    best = ranked.groupBy("word").agg(F.min("part").alias("part")).where("part.n > 0")
+    return best.select("word", "part.gram", "part.offset")
 
 
 def profane_texts(texts: DataFrame, words: DataFrame, broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """The keys of those ``texts`` (key, text) that hold a word of a cleaned ``word`` table.
 
-    Texts are cut into overlapping pieces, and the start of every position is joined with
-    the starts of words, a few widths each, so a short word does not loosen what is asked
-    of long ones. A start that is no whole word leads to the lengths of its words, not to the
-    words: the text of each such length is looked up as a whole, once.
+    Each word is found by its rarest part. A Bloom filter over these parts thins the places of a
+    text before they become rows. A place that is left leads to the lengths and offsets of the words with its
+    part, not to the words: each stretch of the text so given is looked up as a whole. A few words too short
+    for a part of the largest size are looked for directly.
     """
-    bounds = words.agg(F.max(F.length("word")).alias("longest"), F.count("*").alias("n")).first()
+    spark = texts.sparkSession
+    short = words.where(F.length("word") < GRAMS[-1]).limit(CHAIN_MAX_WORDS + 1).collect()
+    direct = texts.select("key").limit(0)
+    if 0 < len(short) <= CHAIN_MAX_WORDS:
+        hit = reduce(Column.__or__, (F.contains("text", F.lit(w.word)) for w in short))
+        direct = texts.where(hit).select("key")
+        texts, words = texts.where(~hit), words.where(F.length("word") >= GRAMS[-1])
+    bounds = words.agg(F.max(F.length("word")).alias("longest"), F.count("*").alias("n"), F.collect_set(_widths(words)).alias("widths")).first()
     if not bounds.n:
-        return texts.select("key").limit(0)
+        return direct.distinct()
+    longest, widths = bounds.longest, sorted(bounds.widths)
     small = bounds.n <= broadcast_rows
-    anchors = _anchors(words)
-    widths = [w for w in ANCHORS if w <= bounds.longest]
-    step = max(PIECE_CHARS, bounds.longest)
-    overlapping = F.lit(rf"(?s)(?=(.{{1,{step + bounds.longest - 1}}})).{{1,{step}}}")
-    pieces = texts.select("key", F.posexplode(F.regexp_extract_all("text", overlapping, F.lit(1))).alias("piece", "text"))
-
-    starts = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{1,{widths[-1]}}}))"), F.lit(1))
-    positions = pieces.select("key", "piece", F.posexplode(starts).alias("at", "start"))
-    cuts = F.array_compact(F.array(*(F.when(F.length("start") >= w, F.substring("start", 1, w)) for w in widths)))
-    begun = positions.select("key", "piece", "at", F.explode(cuts).alias("anchor"))
-    hits = begun.join(F.broadcast(anchors) if small else anchors, "anchor")
-    whole = hits.where("whole").select("key")
-
-    candidates = hits.where("NOT whole").select("key", "piece", "at", F.explode("longer").alias("chars"))
-    found = F.expr("substring(text, at + 1, chars)").alias("word")
-    looked_up = candidates.join(pieces, ["key", "piece"]).select("key", found)
-    longer = looked_up.join(F.broadcast(words) if small else words, "word", "left_semi").select("key")
-    return whole.union(longer).distinct()
+    step = max(PIECE_CHARS, longest)
+    overlapping = F.lit(rf"(?s)(?=(.{{1,{step + longest - 1}}})).{{1,{step}}}")
+    pieces = texts.select("key", F.explode(F.regexp_extract_all("text", overlapping, F.lit(1))).alias("text"))
+
+    path = shared_dir(spark, "rare-parts")
+    rarest_parts(words, pieces, widths).write.parquet(path)
+    rare = spark.read.schema("word string, gram string, offset int").parquet(path)
+    shapes = F.collect_set(F.struct("offset", F.length("word").alias("chars"))).alias("shapes")
+    anchors = rare.groupBy("gram").agg(shapes)
+    known = bloom_filter(rare.select("gram").distinct())
+
+    def near(gram: Column, at: Column) -> Column:
+        before = F.lit(longest - 1)
+        around = F.substring("text", F.greatest(at - before, F.lit(0)) + 1, F.lit(2 * longest))
+        return F.when(known(gram), F.struct(gram.alias("gram"), F.least(at, before).alias("lead"), around.alias("near")))
+
+    left = F.concat(*(F.array_compact(F.transform(_parts("text", w), near)) for w in widths))
+    places = pieces.select("key", F.inline(left))
+    hits = places.join(F.broadcast(anchors) if small else anchors, "gram")
+    stretches = hits.select("key", "lead", "near", F.inline("shapes")).where("lead >= offset")
+    found = F.expr("substring(near, lead - offset + 1, chars)")
+    looked_up = stretches.select("key", found.alias("word"))
+    kept = rare.select("word")
+    return direct.union(looked_up.join(F.broadcast(kept) if small else kept, "word", "left_semi").select("key")).distinct()
 
 
 def classify_by_join(messages: DataFrame, words: DataFrame, broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

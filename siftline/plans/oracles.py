@@ -171,6 +171,7 @@ WHERE word <> ''""",
 WITH {DOCUMENT_TABLE}
 SELECT account_id, message_id, profanity_type FROM document_table""",
     "classify_large_lexicon": LARGE_LEXICON,
+    "classify_by_benchmark_table": LARGE_LEXICON,
     "classify_by_lexicon_table": ROUGH_LEXICON,
     "classify_by_shuffled_lexicon": ROUGH_LEXICON,
     "classify_default_by_table": f"""

@@ -83,6 +83,12 @@ def classify_by_lexicon_table(spark, sf_dir):
     return classify_by_join(_documents(spark, sf_dir), words).select(*TAGS)
 
 
+def classify_by_benchmark_table(spark, sf_dir):
+    """The list of ``classify_large_lexicon``, as a table."""
+    words = views.benchmark_words(views.table(spark, sf_dir, "benchmark"))
+    return classify_by_join(_documents(spark, sf_dir), words).select(*TAGS)
+
+
 def classify_by_shuffled_lexicon(spark, sf_dir):
     """The form for tables that are too large to broadcast."""
     words = views.rough_words(views.table(spark, sf_dir, "benchmark"))
@@ -392,6 +398,7 @@ ALL: dict[str, Query] = {
         classify_messages,
         classify_large_lexicon,
         classify_by_lexicon_table,
+        classify_by_benchmark_table,
         classify_by_shuffled_lexicon,
         classify_default_by_table,
         profane_messages,

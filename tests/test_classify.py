@@ -126,6 +126,39 @@ def test_join_form_finds_words_across_pieces(spark, monkeypatch):
     assert tagged.where("profanity_type = 'PROFANITY'").count() == 40
 
 
+def test_join_form_counts_characters_not_code_units(spark):
+    rows = messages(spark, [{"message_id": "hit", "message_body": "🚀🚀 x🚀 a longword🚀 here"}, {"message_id": "no", "message_body": "🚀🚀🚀 longwor🚀d"}])
+    for rows_sent in (0, 10):
+        tagged = c.classify_by_join(rows, words_table(spark, ["a longword🚀", "zz top"]), broadcast_rows=rows_sent)
+        assert {r.message_id: r.profanity_type for r in tagged.collect()} == {"hit": "PROFANITY", "no": "SAFE"}
+
+
+def test_join_form_with_more_short_words_than_a_chain(spark):
+    words = [chr(0x4E00 + i) for i in range(40)] + [f"{chr(0x5000 + i)}x" for i in range(40)] + ["abcd", "0123456789" * 30]
+    bodies = ["… " + words[7], "… " + words[45], "ABCD", "abc", "0123456789" * 30, "0123456789" * 29 + "012345678", chr(0x5001), ""]
+    rows = messages(spark, [{"message_id": str(i), "message_body": b} for i, b in enumerate(bodies)])
+    found = c.classify_by_join(rows, words_table(spark, words)).where("profanity_type = 'PROFANITY'")
+    assert sorted(r.message_id for r in found.collect()) == ["0", "1", "2", "4"]
+
+
+def test_words_are_found_by_their_rarest_part(spark):
+    texts = spark.createDataFrame([(i, f"common part {i % 7} here") for i in range(50)] + [(99, "common xylophone")], "key int, text string")
+    words = words_table(spark, ["common xylophone", "common part", "common never"])
+    parts = {r.word: (r.gram, r.offset) for r in c.rarest_parts(words, texts, [6]).collect()}
+    # A word with a part that is nowhere is dropped before any text is searched for it.
+    assert set(parts) == {"common xylophone", "common part"}
+    assert parts["common xylophone"][1] >= 2 and parts["common part"][0] != "common"
+
+
+def test_bloom_filter_lets_its_members_and_few_others_through(spark):
+    grams = spark.range(3000).selectExpr("concat('g', id) AS gram")
+    holds = c.bloom_filter(grams)
+    checked = grams.unionByName(spark.range(100_000).selectExpr("concat('x', id) AS gram")).select("gram", holds(F.col("gram")).alias("in"))
+    assert checked.where("gram like 'g%' and in").count() == 3000
+    assert checked.where("gram like 'x%' and in").count() < 5000
+    assert spark.range(1).select(c.bloom_filter(grams.limit(0))(F.lit("a")).alias("in")).first()[0] is False
+
+
 def test_join_form_leaves_messages_in_place_when_few_are_flagged(spark):
     rows = spark.range(1000).selectExpr("cast(id as string) AS message_id", "concat('text ', id) AS message_body")
     tagged = c.classify_by_join(rows, words_table(spark, ["text 77"]))

@@ -150,6 +150,21 @@ QUALIFY row_number() OVER (
   PARTITION BY date_trunc('month', event_time), account_id, message_id
   ORDER BY inserted_at DESC, batch_id DESC) = 1"""
 
+AUDIT = """WITH arrivals AS (
+  SELECT CASE WHEN event_id % 101 <> 0 THEN user_id % 3 END AS source_partition,
+         CASE WHEN event_id % 103 <> 0 THEN event_id END AS "offset",
+         ts - CASE WHEN event_id % 7 = 0 THEN INTERVAL 45 MINUTE
+                   WHEN event_id % 5 = 0 THEN INTERVAL 5 SECOND
+                   ELSE INTERVAL 0 SECOND END AS event_ts
+  FROM events),
+seen AS (
+  SELECT *, max(event_ts) OVER (PARTITION BY source_partition ORDER BY "offset"
+                                ROWS UNBOUNDED PRECEDING) - INTERVAL 10 SECOND AS watermark
+  FROM arrivals WHERE source_partition IS NOT NULL AND "offset" IS NOT NULL
+  UNION ALL BY NAME
+  SELECT *, NULL::TIMESTAMP AS watermark FROM arrivals WHERE source_partition IS NULL OR "offset" IS NULL)"""
+
+
 def _on_stored(sql: str) -> str:
     """A query on ``event_table`` turned to the latest versions."""
     body = sql.split(EVENT_TABLE, 1)[1].strip()
@@ -270,22 +285,27 @@ SELECT account_id, message_id, message_body, correlation_id, message_status, "ti
        CASE WHEN profanity_type = 'PROFANITY' THEN 'profanity_messages' ELSE 'safe_messages' END
          AS table_name
 FROM lake""",
-    "late_rows_audit": """
-WITH arrivals AS (
-  SELECT CASE WHEN event_id % 101 <> 0 THEN user_id % 3 END AS source_partition,
-         CASE WHEN event_id % 103 <> 0 THEN event_id END AS "offset",
-         ts - CASE WHEN event_id % 7 = 0 THEN INTERVAL 45 MINUTE
-                   WHEN event_id % 5 = 0 THEN INTERVAL 5 SECOND
-                   ELSE INTERVAL 0 SECOND END AS event_ts
-  FROM events),
-seen AS (
-  SELECT *, max(event_ts) OVER (PARTITION BY source_partition ORDER BY "offset"
-                                ROWS UNBOUNDED PRECEDING) - INTERVAL 10 SECOND AS watermark
-  FROM arrivals WHERE source_partition IS NOT NULL AND "offset" IS NOT NULL
-  UNION ALL BY NAME
-  SELECT *, NULL::TIMESTAMP AS watermark FROM arrivals WHERE source_partition IS NULL OR "offset" IS NULL)
+    "late_rows_audit": f"""
+{AUDIT}
 SELECT source_partition, "offset", event_ts, watermark, coalesce(event_ts < watermark, false) AS is_late
 FROM seen""",
+    "stream_late_rows": f"""
+{AUDIT}
+SELECT source_partition, "offset", event_ts, watermark FROM seen WHERE event_ts < watermark""",
+    "windows_by_partition": f"""
+WITH {EVENTS},
+arrived AS (
+  SELECT user_id % 3 AS source_partition, profanity_type,
+         ts - CASE WHEN user_id % 3 = 1 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END
+            - CASE WHEN event_id % 5 = 0 THEN INTERVAL 5 SECOND ELSE INTERVAL 0 SECOND END AS event_ts
+  FROM event_messages JOIN (SELECT event_id, user_id FROM events) USING (event_id)),
+clock AS (
+  SELECT min(newest) - INTERVAL 10 SECOND AS watermark
+  FROM (SELECT date_trunc('millisecond', max(event_ts)) AS newest FROM arrived GROUP BY source_partition)),
+timed AS (SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start, profanity_type FROM arrived)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, profanity_type, count(*) AS n
+FROM timed, clock WHERE window_start + INTERVAL 5 MINUTE <= watermark
+GROUP BY window_start, profanity_type""",
     "window_counts": f"""
 WITH {IRREGULAR},
 timed AS (

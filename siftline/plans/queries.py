@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftline.functions.instants import wall_clock
 from siftline.operators import analytics, convert, decode, late
@@ -20,12 +21,14 @@ from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE
 from siftline.session import prepare, shared_dir
 from siftline.sinks.batches import as_stream
 from siftline.sinks.fanout import FanOut
-from siftline.sinks.feed import FileFeed, RejectFiles
+from siftline.sinks.feed import FileFeed, RejectFiles, RowFiles
 from siftline.sinks.lake import TABLES, LakeSink, table_of
 from siftline.sinks.olap import OlapSink
 from siftline.sources import tables
 from siftline.sources.local import MAX_BATCH_BYTES
-from siftline.streaming.job import run
+from siftline.streaming.clocks import arrivals_by_partition
+from siftline.streaming.job import run, window_query
+from siftline.streaming.late_rows import start_late_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 TAGS = ("account_id", "message_id", "profanity_type")
@@ -323,6 +326,48 @@ def window_counts(spark, sf_dir):
     )
 
 
+def _slices(rows: DataFrame, path: str, count: int = 3, *partitions: str):
+    """Append ``rows`` to a folder in slices of their arrival order, as a source would bring them."""
+    last = rows.agg(F.max("offset")).first()[0] or 0
+    for n in range(count):
+        part = F.floor(F.coalesce("offset", F.lit(0)) * count / (last + 1)) == n
+        rows.where(part).write.mode("append").partitionBy(*partitions).parquet(path)
+        yield n
+
+
+def stream_late_rows(spark, sf_dir):
+    """The late rows of a stream, written apart; the query is started anew for every slice of the arrivals."""
+    root = shared_dir(spark, "late_rows")
+    rows = views.event_arrivals(_events(spark, sf_dir)).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    schema = T.StructType([T.StructField(n, t) for n, t in (kinds | {"watermark": kinds["event_ts"]}).items()])
+    sink = RowFiles(f"{root}/late", schema)
+    for _ in _slices(rows, f"{root}/in"):
+        source = lambda session: session.readStream.schema(rows.schema).parquet(f"{root}/in")
+        start_late_rows(spark, source, sink, f"{root}/checkpoint").awaitTermination()
+    times = (wall_clock(F.col(c)).alias(c) for c in ("event_ts", "watermark"))
+    return sink.read(spark).select("source_partition", "offset", *times)
+
+
+def windows_by_partition(spark, sf_dir):
+    """Closed windows over sources whose clocks differ by hours, each with a watermark of its own."""
+    root = shared_dir(spark, "windows")
+    rows = views.skewed_event_messages(_events(spark, sf_dir))
+    names = ("window_start", "window_end")
+    schema = T.StructType([T.StructField(n, T.TimestampType()) for n in names])
+    sink = RowFiles(f"{root}/closed", schema.add("profanity_type", "string").add("n", "long"))
+
+    def source(partition: int):
+        folder = f"{root}/in/source_partition={partition}"
+        return lambda session: session.readStream.schema(rows.drop("source_partition").schema).parquet(folder)
+
+    for _ in _slices(rows, f"{root}/in", 3, "source_partition"):
+        arrived = arrivals_by_partition(spark, [source(p) for p in range(3)])
+        counted = late.window_counts(classify(arrived, views.EVENT_WORDS))
+        window_query(counted, sink, f"{root}/checkpoint", None, "windows_by_partition").awaitTermination()
+    return sink.read(spark).withColumns({n: wall_clock(F.col(n)) for n in names})
+
+
 # The job end to end
 
 
@@ -436,6 +481,8 @@ ALL: dict[str, Query] = {
         lake_by_name,
         late_rows_audit,
         window_counts,
+        stream_late_rows,
+        windows_by_partition,
         job_on_records_counts,
         stream_fan_out_counts,
         stream_lake_tables,

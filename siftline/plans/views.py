@@ -204,6 +204,17 @@ def event_arrivals(events: DataFrame) -> DataFrame:
     )
 
 
+def skewed_event_messages(events: DataFrame) -> DataFrame:
+    """Event messages of three sources in arrival order; the clock of one is two hours behind."""
+    source = F.col("user_id") % 3
+    behind = F.when(source == 1, F.expr("INTERVAL 2 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    jitter = F.when(F.col("event_id") % 5 == 0, F.expr("INTERVAL 5 SECONDS")).otherwise(F.expr("INTERVAL 0 SECONDS"))
+    shifted = events.withColumn("ts", F.col("ts") - behind - jitter)
+    return event_messages(shifted, "event_id", "user_id").select(
+        *MESSAGE_FIELDS, source.alias("source_partition"), F.col("event_id").alias("offset")
+    )
+
+
 def word_lines(documents: DataFrame) -> DataFrame:
     """Every line of the documents, untrimmed, as the lines of a word list."""
     return documents.select(F.explode(F.split("text", "\n")).alias("value"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from siftline.operators.decode import encode_json
 from siftline.schema import FEED_TOPIC
-from siftline.sinks.batches import read_text_batches, write_once
+from siftline.sinks.batches import read_batches, read_text_batches, strip_batch_columns, write_once
 
 
 @dataclass(frozen=True)
@@ -60,3 +61,18 @@ class RejectFiles:
         return lines.selectExpr(
             "from_json(value, 'value string, reason string, ingest_ts timestamp') AS r"
         ).select("r.*")
+
+
+@dataclass(frozen=True)
+class RowFiles:
+    """Rows of one schema as Parquet, one folder per micro-batch: late rows, closed windows."""
+
+    path: str
+    schema: T.StructType
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        out = batch.select(*self.schema.names).hint("rebalance").write.mode("overwrite")
+        write_once(batch.sparkSession, self.path, batch_id, out.parquet)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return strip_batch_columns(read_batches(spark, self.path, self.schema))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +16,8 @@ class TopicSource:
 
     ``bounded`` reads what is there now and ends. ``min_partitions`` cuts large
     topic partitions into more read tasks and ``max_offsets`` bounds a micro-batch,
-    which also bounds what one batch keeps in memory and on disk.
+    which also bounds what one batch keeps in memory and on disk. ``partitions`` reads
+    only these of the topic, as one of ``per_partition`` does.
     """
 
     bootstrap_servers: str
@@ -24,14 +26,23 @@ class TopicSource:
     bounded: bool = False
     min_partitions: int | None = None
     max_offsets: int | None = None
+    partitions: tuple[int, ...] = ()
+
+    def per_partition(self, count: int) -> list[TopicSource]:
+        """A source for each partition of the topic, for a clock per partition."""
+        shared = self.max_offsets and max(1, self.max_offsets // count)
+        return [replace(self, partitions=(n,), max_offsets=shared) for n in range(count)]
 
     def options(self) -> dict[str, str]:
         chosen = {
             "kafka.bootstrap.servers": self.bootstrap_servers,
-            "subscribe": self.topic,
             "startingOffsets": "earliest",
             "kafka.group.id": self.group,
         }
+        if self.partitions:
+            chosen["assign"] = json.dumps({self.topic: list(self.partitions)})
+        else:
+            chosen["subscribe"] = self.topic
         if self.bounded:
             chosen["endingOffsets"] = "latest"
         if self.min_partitions:

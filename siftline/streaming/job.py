@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from siftline.operators.classify import classify
 from siftline.operators.convert import event_time
 from siftline.operators.decode import FAILFAST, QUARANTINE, decode_json, inspect_json
-from siftline.operators.late import window_counts, with_watermark
+from siftline.operators.late import ALLOWED_LATENESS, window_counts, with_watermark
 from siftline.session import prepare, shared_dir
 from siftline.sinks.batches import fresh_id
 from siftline.sinks.fanout import FanOut
@@ -30,9 +30,11 @@ INTERVAL_MS = 300_000
 PROMPT_MS = 1_000  # between micro-batches of feed and analytics
 
 
-def arrivals(raw: DataFrame, mode: str = FAILFAST) -> DataFrame:
+def arrivals(raw: DataFrame, mode: str = FAILFAST, delay: str | None = ALLOWED_LATENESS) -> DataFrame:
     """Messages with ``ingest_ts`` and ``event_ts`` from JSON values, or from messages as they are.
 
+    The watermark is ``delay`` behind the newest event; None leaves it to the caller.
+
     The ingest time is taken here, where Spark fixes it for a micro-batch and a
     restart repeats it; a batch gets the time of this call. In quarantine mode every
     value stays, inspected.
@@ -46,7 +48,8 @@ def arrivals(raw: DataFrame, mode: str = FAILFAST) -> DataFrame:
     else:
         decoded = inspect_json(stamped) if mode == QUARANTINE else decode_json(stamped)
     at = event_time(F.col("timestamp"), F.col("ingest_ts"))
-    return with_watermark(decoded.withColumn("event_ts", at))
+    timed = decoded.withColumn("event_ts", at)
+    return with_watermark(timed, delay) if delay else timed
 
 
 def _mode(sinks: FanOut) -> str:
@@ -111,10 +114,15 @@ def start_windows(
 ) -> StreamingQuery:
     """Counts per event-time window and type, handed to ``sink`` once a window is closed by the watermark."""
     prepare(spark)
+    return window_query(window_counts(classify(arrivals(source(spark)), words), width), sink, checkpoint, interval_ms, name)
+
+
+def window_query(
+    counted: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval_ms: int | None, name: str
+) -> StreamingQuery:
     trigger = (
         {"availableNow": True} if interval_ms is None else {"processingTime": f"{interval_ms} milliseconds"}
     )
-    counted = window_counts(classify(arrivals(source(spark)), words), width)
     return (
         counted.writeStream.queryName(name)
         .outputMode("append")

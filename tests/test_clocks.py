@@ -1,0 +1,102 @@
+"""Late rows of a stream, and a clock per source partition."""
+
+import datetime as dt
+import time
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siftline.operators.late import mark_late, window_counts
+from siftline.schema import MESSAGE_FIELDS
+from siftline.sinks.feed import RowFiles
+from siftline.streaming.clocks import arrivals_by_partition
+from siftline.streaming.job import arrivals, window_query
+from siftline.streaming.late_rows import start_late_rows
+
+ARRIVAL = "source_partition int, offset long, event_ts timestamp, body string"
+
+
+def _rows(spark, n=600):
+    at = "timestamp_seconds(1700000000 + id * 3 - if(id % 7 = 0, 400, 0) - if(id % 11 = 0, 8, 0))"
+    rows = spark.range(n).selectExpr(
+        "if(id % 101 = 0, null, cast(if(id % 3 = 0, 0, id % 5) as int)) AS source_partition",
+        "if(id % 103 = 0, null, id) AS offset",
+        f"if(id % 107 = 0, null, {at}) AS event_ts",
+        "concat('row ', id) AS body",
+    )
+    return rows
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_late_rows_of_a_stream_are_those_of_the_audit(spark, tmp_path, batches):
+    rows = _rows(spark)
+    schema = T._parse_datatype_string(ARRIVAL).add("watermark", "timestamp")
+    sink = RowFiles(f"{tmp_path}/late", schema)
+    for n in range(batches):  # a restart between batches
+        part = rows.where(F.floor(F.coalesce("offset", F.lit(0)) * batches / 600) == n)
+        part.repartition(5).write.mode("append").parquet(f"{tmp_path}/in")
+        source = lambda session: session.readStream.schema(ARRIVAL).parquet(f"{tmp_path}/in")
+        start_late_rows(spark, source, sink, f"{tmp_path}/checkpoint", keep=("body",)).awaitTermination()
+    found = sorted(map(tuple, sink.read(spark).select("source_partition", "offset", "event_ts", "body", "watermark").collect()))
+    marked = mark_late(rows).where("is_late").select("source_partition", "offset", "event_ts", "body", "watermark")
+    assert found == sorted(map(tuple, marked.collect())) and len(found) > 50
+    # What is done is not done again.
+    start_late_rows(spark, source, sink, f"{tmp_path}/checkpoint", keep=("body",)).awaitTermination()
+    assert sink.read(spark).count() == len(found)
+
+
+def _message(spark, rows):
+    return spark.createDataFrame([("a", str(i), "x", None, None, t, None) for i, t in enumerate(rows)], ", ".join(f"{f} string" for f in MESSAGE_FIELDS))
+
+
+def _source(path):
+    return lambda session: session.readStream.schema(", ".join(f"{f} string" for f in MESSAGE_FIELDS)).parquet(path)
+
+
+def _windows(counted, sink, root):
+    counted = counted.withColumn("profanity_type", F.lit("SAFE"))
+    window_query(counted, sink, root, None, "clock_test").awaitTermination()
+
+
+def test_a_slow_partition_loses_no_row(spark, tmp_path):
+    kept = {"own": {}, "shared": {}}
+
+    def keep(kind):
+        return lambda batch, _: kept[kind].update({r.window_start: r.n for r in batch.collect()})
+
+    for minute in range(0, 40, 10):
+        fast, slow = (_message(spark, [f"2025-01-01T{h}:{minute + m:02}:00Z" for m in (1, 2, 3)]) for h in (12, 10))
+        for name, part in (("fast", fast), ("slow", slow)):
+            part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+            part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/both")
+        own = arrivals_by_partition(spark, [_source(f"{tmp_path}/fast"), _source(f"{tmp_path}/slow")])
+        _windows(window_counts(own), keep("own"), f"{tmp_path}/c1")
+        _windows(window_counts(arrivals(_source(f"{tmp_path}/both")(spark))), keep("shared"), f"{tmp_path}/c2")
+    slow_windows = {dt.datetime(2025, 1, 1, 10, m): 3 for m in (0, 10, 20)}
+    assert kept["own"] == slow_windows
+    # One clock for both closes the slow partition's windows before their rows come.
+    assert sum(n for at, n in kept["shared"].items() if at.hour == 10) < 9
+
+
+def test_an_idle_partition_does_not_hold_windows_back(spark, tmp_path):
+    now = dt.datetime.now(dt.UTC)
+    for name in ("busy", "idle"):
+        _message(spark, []).write.parquet(f"{tmp_path}/{name}")
+    closed = {}
+
+    def keep(batch, _):
+        closed.update({r.window_start: r.n for r in batch.collect()})
+
+    inputs = [_source(f"{tmp_path}/busy"), _source(f"{tmp_path}/idle")]
+    counted = window_counts(arrivals_by_partition(spark, inputs, idle="2 seconds", delay="1 second"), "1 second")
+    query = window_query(counted, keep, f"{tmp_path}/checkpoint", 300, "idle_test")
+    try:
+        stamp = (now - dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%SZ")
+        _message(spark, [stamp] * 4).coalesce(1).write.mode("append").parquet(f"{tmp_path}/busy")
+        ends = time.monotonic() + 60
+        while not closed and time.monotonic() < ends:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert sum(closed.values()) == 4

@@ -30,6 +30,12 @@ def test_stream_batch_size_is_bounded():
     assert TopicSource("b:1", max_offsets=5).options()["maxOffsetsPerTrigger"] == "5"
 
 
+def test_a_source_per_partition_reads_only_that_one():
+    parts = TopicSource("b:1", max_offsets=7).per_partition(3)
+    assert [p.options()["assign"] for p in parts] == [f'{{"profanity_words": [{n}]}}' for n in range(3)]
+    assert all("subscribe" not in p.options() and p.options()["maxOffsetsPerTrigger"] == "2" for p in parts)
+
+
 def test_line_files_as_batch_and_stream(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"a":1}\n{"a":2}\n')
     assert LineFiles(str(tmp_path), streaming=False)(spark).count() == 2

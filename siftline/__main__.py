@@ -18,7 +18,8 @@ from siftline.sinks.lake import TABLES, LakeSink
 from siftline.sinks.olap import JdbcOlap, OlapSink
 from siftline.sources.kafka import TopicSource
 from siftline.sources.tables import create_lake_tables, create_olap_table, publish_all
-from siftline.streaming.job import start_all
+from siftline.streaming.job import starters
+from siftline.streaming.supervise import Supervisor
 
 
 def sinks_for(spark: SparkSession, settings: Settings) -> FanOut:
@@ -85,7 +86,7 @@ def main(command: str = "run") -> None:
         raise SystemExit("set CHECKPOINTS_DIRECTORY: with a new checkpoint everything would be stored again")
     sinks = sinks_for(spark, settings)
     create_tables(spark, settings, sinks)
-    start_all(
+    queries = starters(
         spark,
         TopicSource(settings.bootstrap_servers, max_offsets=settings.max_offsets),
         sinks,
@@ -94,7 +95,7 @@ def main(command: str = "run") -> None:
         settings.prompt_ms,
         settings.job_name,
     )
-    spark.streams.awaitAnyTermination()
+    Supervisor(spark, queries, settings.tolerated_failures, settings.pause_ms).run()
 
 
 if __name__ == "__main__":

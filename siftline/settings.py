@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from siftline.schema import OLAP_TABLE
 from siftline.sinks.layout import HASH, TARGET_FILE_BYTES
 from siftline.streaming.job import INTERVAL_MS, PROMPT_MS
+from siftline.streaming.supervise import PAUSE_MS, TOLERATED_FAILURES
 
 # Messages per micro-batch. A batch is kept until all sinks have it, so a backlog
 # must not become one batch.
@@ -40,6 +41,8 @@ class Settings:
     max_offsets: int
     words_path: str | None
     decode_mode: str
+    tolerated_failures: int = TOLERATED_FAILURES
+    pause_ms: int = PAUSE_MS
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
@@ -65,4 +68,6 @@ class Settings:
             warehouse=env.get("SIFTLINE_WAREHOUSE"),
             words_path=env.get("SIFTLINE_WORDS"),
             decode_mode=env.get("SIFTLINE_DECODE_MODE", "failfast"),
+            tolerated_failures=int(env.get("SIFTLINE_TOLERATED_FAILURES", TOLERATED_FAILURES)),
+            pause_ms=int(env.get("SIFTLINE_RESTART_PAUSE", PAUSE_MS)),
         )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def start(
     )
 
 
-def start_all(
+def starters(
     spark: SparkSession,
     source: Source,
     sinks: FanOut,
@@ -95,11 +96,19 @@ def start_all(
     interval_ms: int = INTERVAL_MS,
     prompt_ms: int = PROMPT_MS,
     name: str = "message_screening",
-) -> list[StreamingQuery]:
-    """The continuous job: feed, analytics and quarantine promptly, the lake at its interval."""
+) -> dict[str, Callable[[], StreamingQuery]]:
+    """What starts, or starts again, the queries of the continuous job: feed, analytics and quarantine promptly, the lake at its interval."""
     mode = _mode(sinks)
     parts = (("prompt", sinks.prompt(), prompt_ms), ("lake", sinks.lake_only(), interval_ms))
-    return [start(spark, source, part, f"{checkpoint}/{kind}", every, f"{name}_{kind}", mode) for kind, part, every in parts]
+    return {
+        kind: partial(start, spark, source, part, f"{checkpoint}/{kind}", every, f"{name}_{kind}", mode)
+        for kind, part, every in parts
+    }
+
+
+def start_all(spark: SparkSession, source: Source, sinks: FanOut, checkpoint: str, *intervals_and_name) -> list[StreamingQuery]:
+    """Start the queries of the continuous job."""
+    return [begin() for begin in starters(spark, source, sinks, checkpoint, *intervals_and_name).values()]
 
 
 def start_windows(

@@ -1,0 +1,94 @@
+"""The restart budget: three failures are borne, a fourth ends the job with its cause."""
+
+import json
+import threading
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from siftline.sinks.feed import FileFeed
+from siftline.sources.local import LineFiles
+from siftline.streaming.job import start
+from siftline.streaming.supervise import Supervisor
+
+
+class Flaky:
+    """A sink that is down for its first calls."""
+
+    def __init__(self, inner, down):
+        self.inner, self.down, self.calls = inner, down, 0
+
+    rejects = None
+
+    def __call__(self, batch, batch_id):
+        self.calls += 1
+        if self.calls <= self.down:
+            raise RuntimeError(f"sink down {self.calls}")
+        self.inner(batch, batch_id)
+
+
+def _put(root, name, n):
+    (root / "in").mkdir(exist_ok=True)
+    lines = [json.dumps({"message_id": f"{name}{i}", "message_body": "x"}) for i in range(n)]
+    (root / "in" / name).write_text("\n".join(lines) + "\n")
+
+
+def _starter(spark, root, sink, interval=None):
+    return lambda: start(spark, LineFiles(f"{root}/in"), sink, f"{root}/checkpoint", interval, f"flaky_{root.name}")
+
+
+def test_three_failures_recover(spark, tmp_path):
+    _put(tmp_path, "a", 5)
+    feed = FileFeed(f"{tmp_path}/feed")
+    sink = Flaky(feed, 3)
+    jobs = Supervisor(spark, {"feed": _starter(spark, tmp_path, sink)}, pause_ms=10)
+    jobs.run()
+    assert feed.read(spark).count() == 5 and sink.calls == 4 and jobs.restarts == 3
+
+
+def test_the_fourth_ends_the_job_with_its_cause(spark, tmp_path):
+    _put(tmp_path, "a", 5)
+    feed = FileFeed(f"{tmp_path}/feed")
+    sink = Flaky(feed, 4)
+    other = tmp_path / "other"
+    other.mkdir()
+    _put(other, "a", 1)
+    healthy = FileFeed(f"{other}/feed")
+    starters = {"bad": _starter(spark, tmp_path, sink), "good": _starter(spark, other, Flaky(healthy, 0), 100)}
+    with pytest.raises(StreamingQueryException, match="sink down 4"):
+        Supervisor(spark, starters, pause_ms=10).run()
+    assert sink.calls == 4 and feed.read(spark).count() == 0
+    assert not spark.streams.active
+
+
+def test_a_committed_batch_clears_the_failures(spark, tmp_path):
+    _put(tmp_path, "a", 2)
+    feed = FileFeed(f"{tmp_path}/feed")
+    sink = Flaky(feed, 2)
+    jobs = Supervisor(spark, {"feed": _starter(spark, tmp_path, sink, 100)}, tolerated=2, pause_ms=10)
+    failed = []
+
+    def run():
+        try:
+            jobs.run()
+        except Exception as failure:  # noqa: BLE001
+            failed.append(failure)
+
+    thread = threading.Thread(target=run)
+    thread.start()
+
+    def until(done):
+        ends = time.monotonic() + 60
+        while not done() and time.monotonic() < ends:
+            time.sleep(0.1)
+        assert done()
+
+    until(lambda: feed.read(spark).count() == 2)
+    until(lambda: jobs.failures["feed"] == 0)
+    sink.calls, sink.down = 0, 2
+    _put(tmp_path, "b", 3)
+    until(lambda: feed.read(spark).count() == 5)
+    jobs.stop()
+    thread.join(30)
+    assert not failed and not thread.is_alive() and jobs.restarts == 4

@@ -327,6 +327,15 @@ UNION ALL
 SELECT 'olap', count(*) FROM streamed WHERE NOT rejected
 UNION ALL
 SELECT 'rejects', count(*) FROM streamed WHERE rejected""",
+    "stream_conservation": f"""
+WITH {STREAM}
+SELECT name, count(*) FILTER (WHERE counted) AS n
+FROM (
+  SELECT unnest(['arrived', 'rejected', 'profane', 'safe', 'feed', 'olap', 'rejects', 'profanity_messages', 'safe_messages']) AS name,
+         unnest([true, rejected, NOT rejected AND tagged, NOT rejected AND NOT tagged, NOT rejected AND tagged, NOT rejected, rejected,
+                 NOT rejected AND tagged AND NOT bad_time, NOT rejected AND NOT (tagged AND NOT bad_time)]) AS counted
+  FROM (SELECT rejected, bad_time, profanity_type = 'PROFANITY' AS tagged FROM streamed))
+GROUP BY name""",
     "stream_lake_tables": f"""
 WITH {STREAM},
 instants AS (

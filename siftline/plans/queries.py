@@ -20,7 +20,7 @@ from siftline.plans import views
 from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE, SAFE_TABLE
 from siftline.session import prepare, shared_dir
 from siftline.sinks.batches import as_stream
-from siftline.sinks.fanout import FanOut
+from siftline.sinks.fanout import FanOut, ReportFiles
 from siftline.sinks.feed import FileFeed, RejectFiles, RowFiles
 from siftline.sinks.lake import TABLES, LakeSink, table_of
 from siftline.sinks.olap import OlapSink
@@ -388,11 +388,18 @@ def _stream_documents(spark: SparkSession, sf_dir: str) -> FanOut:
         lake=LakeSink(f"{root}/lake"),
         olap=OlapSink(f"{root}/olap"),
         rejects=RejectFiles(f"{root}/rejects"),
+        report=ReportFiles(f"{root}/report"),
     )
     run(spark, source, sinks, f"{root}/checkpoint")
     return sinks
 
 
+def stream_conservation(spark, sf_dir):
+    """What arrived in a run of the job, how it was judged and what each sink wrote, as counted on the way."""
+    counts = _stream_documents(spark, sf_dir).report.read(spark)
+    return counts.groupBy("name").agg(F.sum("n").alias("n"))
+
+
 def stream_fan_out_counts(spark, sf_dir):
     """Rows in each sink after one run of the job."""
     sinks = _stream_documents(spark, sf_dir)
@@ -485,6 +492,7 @@ ALL: dict[str, Query] = {
         windows_by_partition,
         job_on_records_counts,
         stream_fan_out_counts,
+        stream_conservation,
         stream_lake_tables,
     )
 }

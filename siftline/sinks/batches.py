@@ -17,7 +17,9 @@ import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftline.sinks import files
@@ -74,6 +76,23 @@ def write_once(spark: SparkSession, table: str, batch_id: int, save: Callable[[s
     return True
 
 
+def write_counted(spark: SparkSession, table: str, batch_id: int, rows: DataFrame, save: Callable[[DataFrame, str], None]) -> int | None:
+    """``write_once``, and how many rows it wrote as the write itself saw them; None if the batch was there already."""
+    seen = Observation()
+    counted = rows.observe(seen, F.count("*").alias("n"))
+    return taken(seen, ("n",))["n"] if write_once(spark, table, batch_id, lambda to: save(counted, to)) else None
+
+
+def taken(seen: Observation, names: tuple[str, ...]) -> dict[str, int]:
+    """Observed counts. Adaptive execution cuts off a branch once a stage of it had no row, and the counts with it: they are 0."""
+    try:
+        return seen.get
+    except Py4JJavaError as failure:
+        if "AssertionError" not in failure.java_exception.getClass().getName():
+            raise
+        return dict.fromkeys(names, 0)
+
+
 def committed(spark: SparkSession, table: str) -> list[str]:
     """Folders, or partitions of folders, that make up the table now, relative to it."""
     added, gone, _ = _state(spark, table)

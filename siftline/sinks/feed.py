@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from siftline.operators.decode import encode_json
 from siftline.schema import FEED_TOPIC
-from siftline.sinks.batches import read_batches, read_text_batches, strip_batch_columns, write_once
+from siftline.sinks.batches import read_batches, read_text_batches, strip_batch_columns, write_counted, write_once
 
 
 @dataclass(frozen=True)
@@ -36,10 +36,12 @@ class FileFeed:
 
     path: str
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int | None]:
         # Few rows come from many tasks: gather them into few files.
-        out = encode_json(batch).hint("rebalance").write.mode("overwrite")
-        write_once(batch.sparkSession, self.path, batch_id, out.text)
+        def save(rows: DataFrame, to: str) -> None:
+            rows.hint("rebalance").write.mode("overwrite").text(to)
+
+        return {"feed": write_counted(batch.sparkSession, self.path, batch_id, encode_json(batch), save)}
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_text_batches(spark, self.path)
@@ -51,10 +53,12 @@ class RejectFiles:
 
     path: str
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        kept = batch.select("value", "reason", "ingest_ts").hint("rebalance")
-        out = kept.write.mode("overwrite")
-        write_once(batch.sparkSession, self.path, batch_id, out.json)
+    def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int | None]:
+        def save(rows: DataFrame, to: str) -> None:
+            rows.hint("rebalance").write.mode("overwrite").json(to)
+
+        kept = batch.select("value", "reason", "ingest_ts")
+        return {"rejects": write_counted(batch.sparkSession, self.path, batch_id, kept, save)}
 
     def read(self, spark: SparkSession) -> DataFrame:
         lines = read_text_batches(spark, self.path)

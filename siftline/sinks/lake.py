@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,12 +37,12 @@ class LakeSink:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int | None]:
         rows = with_lake_day(lake_rows(batch, F.col("ingest_ts")))
-        for table, part in route(rows).items():
-            batches.write_once(
-                batch.sparkSession, self.path(table), batch_id, partial(self._save, part)
-            )
+        return {
+            table: batches.write_counted(batch.sparkSession, self.path(table), batch_id, part, self._save)
+            for table, part in route(rows).items()
+        }
 
     def _save(self, rows: DataFrame, to: str) -> None:
         with target_file_size(rows.sparkSession, self.file_bytes):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,13 +82,13 @@ class OlapSink:
     def path(self) -> str:
         return f"{self.root}/{self.table}"
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.append_stored(stored_rows(batch, batch_id), batch_id)
+    def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int | None]:
+        return {"olap": self.append_stored(stored_rows(batch, batch_id), batch_id)}
 
-    def append_stored(self, rows: DataFrame, batch_id: int) -> None:
-        """Append rows that already have the stored columns."""
+    def append_stored(self, rows: DataFrame, batch_id: int) -> int | None:
+        """Append rows that already have the stored columns; how many, unless the batch was there already."""
         rows = with_event_month(rows)
-        batches.write_once(rows.sparkSession, self.path, batch_id, partial(self._save, rows, HASH))
+        return batches.write_counted(rows.sparkSession, self.path, batch_id, rows, lambda r, to: self._save(r, HASH, to))
 
     def _save(self, rows: DataFrame, mode: str, to: str, writers: int | None = None) -> None:
         with target_file_size(rows.sparkSession, self.file_bytes):

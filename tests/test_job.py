@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import time
+import uuid
 from dataclasses import replace
 from functools import partial
 
@@ -126,7 +127,8 @@ def test_feed_does_not_wait_for_the_lake(spark, tmp_path):
 
 
 def test_default_deployment_by_name_and_path(spark, tmp_path):
-    settings = Settings.from_env({"SIFTLINE_DECODE_MODE": "quarantine", "ICEBERG_NAMESPACE": f"raw_{tmp_path.name}", "CLICKHOUSE_DATABASE": f"db_{tmp_path.name}"})
+    fresh = uuid.uuid4().hex  # the warehouse outlives a run of the tests
+    settings = Settings.from_env({"SIFTLINE_DECODE_MODE": "quarantine", "ICEBERG_NAMESPACE": f"raw_{fresh}", "CLICKHOUSE_DATABASE": f"db_{fresh}"})
     made = sinks_for(spark, settings)
     assert made.lake.root.startswith("file:/")
     sinks = replace(made, feed=FileFeed(f"{tmp_path}/feed"), rejects=RejectFiles(f"{tmp_path}/rejects"))

@@ -118,14 +118,14 @@ decoded AS (
               WHEN key % 19 = 0 THEN 'null_record'
               WHEN key % 23 = 0 THEN 'not_an_object'
               WHEN key % 29 = 0 THEN 'nested_field'
-              WHEN key % 31 = 0 THEN 'unknown_profanity_type'
-              WHEN key % 37 = 0 THEN 'inexact_number' END AS reason,
-         CASE WHEN key % 5 <> 0 THEN account_id
+              WHEN key % 31 = 0 THEN 'unknown_profanity_type' END AS reason,
+         CASE WHEN key % 37 = 0 THEN '1.50'
+              WHEN key % 5 <> 0 THEN account_id
               WHEN key % 4 = 1 THEN account_id || '.50'
               WHEN key % 4 = 2 THEN account_id || 'e5'
               WHEN key % 4 = 3 THEN '123456789012345678901234567890123456789' || account_id || '.10'
               ELSE account_id END AS sent_account,
-         CASE WHEN key % 5 <> 0 AND key % 3 = 0 THEN 'SAFE' END AS profanity_type
+         CASE WHEN key % 37 <> 0 AND key % 5 <> 0 AND key % 3 = 0 THEN 'SAFE' END AS profanity_type
   FROM (SELECT *, conv_id * 7 + turn AS key FROM conversation_messages))"""
 
 VERSIONS = f"""{EVENT_TABLE},

@@ -119,7 +119,7 @@ def conversation_values(conversations: DataFrame) -> DataFrame:
         .when(key % 23 == 0, F.concat(F.lit("[1,"), "account_id", F.lit("]")))
         .when(key % 29 == 0, F.concat(head, F.lit('{"id":'), "account_id", F.lit("},"), rest))
         .when(key % 31 == 0, F.concat(head, quoted, F.lit('"profanity_type":"RUDE",'), rest))
-        .when(key % 37 == 0, F.concat(F.lit('{"a":'), head, F.lit("1.50},"), F.lit('"account_id":1.50,'), rest))
+        .when(key % 37 == 0, F.concat(F.lit('{"a":'), head, F.lit("2.750},"), F.lit('"account_id":1.50,'), rest))
         .when(key % 5 == 0, F.concat(head, number, F.lit(","), rest))
         .when(key % 3 == 0, F.concat(head, quoted, F.lit('"extra":{"a":[1]},"profanity_type":"SAFE",'), rest))
         .otherwise(F.concat(head, quoted, rest))

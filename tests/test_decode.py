@@ -34,8 +34,8 @@ def test_message_is_decoded(spark):
         ('{"extra":{"deep":[1,2]},"account_id":"1"}', None),
         ('{"account_id":17,"message_body":true}', None),
         ('{"account_id":1.50}', None),
-        ('{"other":{"account_id":1.50},"account_id":1.50}', "inexact_number"),
-        ('{"account\\u005fid":1.50}', "inexact_number"),
+        ('{"other":{"account_id":1.50},"account_id":1.50}', None),
+        ('{"account\\u005fid":1.50}', None),
         ('{"account_id":null}', None),
         ('{"account_id":"{x"}', None),
         ('{"profanity_type":"SAFE"}', None),
@@ -76,6 +76,34 @@ def test_numbers_keep_their_text(spark, number):
     assert (row.account_id, row.message_id, row.message_body) == (number, "3.0", '"account_id": 7.7')
 
 
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ('{"other":{"account_id":1.5},"account_id":1.50}', "1.50"),
+        ('{"account_id":1.50,"other":{"account_id":9.90}}', "1.50"),
+        ('{"a":[{"account_id":2.0},3.0],"account_id" : -1.50E+3 }', "-1.50E+3"),
+        ('{"account\\u005fid":1.50}', "1.50"),
+        ('{"account_id":1.0,"account_id":2.00}', "2.00"),
+        ('{"account_id":1.0,"account\\u005fid":3.00}', "3.00"),
+        ('{"message_body":"{\\"account_id\\": 7.70, [","x":{"account_id":7.70},"account_id":7.70}', "7.70"),
+        ('{"message_body":"a \\\\","x":{"account_id":1},"account_id":-0}', "-0"),
+        ('{"x":{"account_id":1.50},"account_id":"1.5"}', "1.5"),
+        ('{"x":{"account_id":1.50}}', None),
+    ],
+)
+def test_numbers_keep_their_text_whatever_is_deeper(spark, value, expected):
+    assert json.loads(value).get("account_id") is not None or expected is None
+    row = decode.inspect_json(_values(spark, value)).first()
+    assert (row.reason, row.account_id) == (None, expected)
+
+
+def test_a_long_value_with_many_escapes_is_taken_apart(spark):
+    body = "\\n\\\"" * 50_000
+    value = f'{{"x":{{"account_id":1.50}},"message_body":"{body}","account_id":1.500}}'
+    row = decode.decode_json(_values(spark, value)).first()
+    assert row.account_id == "1.500" and len(row.message_body) == 100_000
+
+
 def test_every_value_is_either_message_or_reject(spark):
     inspected = decode.inspect_json(_values(spark, GOOD, "x", "null", '{"a":1}', "[]", None))
     assert decode.messages_of(inspected).count() == 2

@@ -148,7 +148,7 @@ def decode_json(raw: DataFrame) -> DataFrame:
     return messages_of(inspected)
 
 
-def encode_json(messages: DataFrame) -> DataFrame:
-    """One JSON ``value`` per message: declared field order, nulls written out."""
+def encode_json(messages: DataFrame, *others: str) -> DataFrame:
+    """One JSON ``value`` per message: declared field order, nulls written out; and ``others`` as they are."""
     row = F.struct(*MESSAGE_FIELDS)
-    return messages.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("value"))
+    return messages.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("value"), *others)

@@ -327,6 +327,10 @@ UNION ALL
 SELECT 'olap', count(*) FROM streamed WHERE NOT rejected
 UNION ALL
 SELECT 'rejects', count(*) FROM streamed WHERE rejected""",
+    "feed_after_replay": f"""
+WITH {DECODE}
+SELECT sent_account AS account_id, message_id, message_body, 'PROFANITY' AS profanity_type
+FROM decoded WHERE reason IS NULL AND regexp_matches(lower(message_body), 'gun|bad|word|violence|hate')""",
     "stream_conservation": f"""
 WITH {STREAM}
 SELECT name, count(*) FILTER (WHERE counted) AS n

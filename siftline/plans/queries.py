@@ -24,6 +24,7 @@ from siftline.sinks.fanout import FanOut, ReportFiles
 from siftline.sinks.feed import FileFeed, RejectFiles, RowFiles
 from siftline.sinks.lake import TABLES, LakeSink, table_of
 from siftline.sinks.olap import OlapSink
+from siftline.sinks.records import RecordFiles, without_repeats
 from siftline.sources import tables
 from siftline.sources.local import MAX_BATCH_BYTES
 from siftline.streaming.clocks import arrivals_by_partition
@@ -413,6 +414,30 @@ def stream_fan_out_counts(spark, sf_dir):
     return _counted(written)
 
 
+def feed_after_replay(spark, sf_dir):
+    """The profane conversation turns as a reader of the feed sees them after batches were sent twice."""
+    root = shared_dir(spark, "feed_after_replay")
+    raw = views.conversation_values(views.table(spark, sf_dir, "conversations")).withColumn("ingest_ts", views.ingest_ts())
+    feed = RecordFiles(f"{root}/records")
+    with as_stream(spark, "replayed"):
+        for batch_id in (0, 0, 1, 0):  # the last replay comes after a later batch
+            part = decode.messages_of(decode.inspect_json(raw.where(F.col("source_partition") % 2 == batch_id)))
+            sent = F.col("ingest_ts") + F.make_dt_interval(F.lit(0), F.lit(batch_id))
+            batch = classify(part, DEFAULT_WORDS).withColumn("ingest_ts", sent)
+            feed(profane_only(batch), batch_id)
+            query = (
+                without_repeats(feed.read_stream(spark))
+                .writeStream.outputMode("append")
+                .option("checkpointLocation", f"{root}/checkpoint")
+                .option("path", f"{root}/read")
+                .trigger(availableNow=True)
+                .start()
+            )
+            query.awaitTermination()
+    seen = spark.read.schema("value string, sent timestamp").parquet(f"{root}/read")
+    return seen.select(*(F.get_json_object("value", f"$.{f}").alias(f) for f in ("account_id", "message_id", "message_body", "profanity_type")))
+
+
 def job_on_records_counts(spark, sf_dir):
     """Rows in each sink after the job took decoded records instead of JSON values."""
     root = shared_dir(spark, "records")
@@ -490,6 +515,7 @@ ALL: dict[str, Query] = {
         window_counts,
         stream_late_rows,
         windows_by_partition,
+        feed_after_replay,
         job_on_records_counts,
         stream_fan_out_counts,
         stream_conservation,

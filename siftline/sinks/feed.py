@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 from siftline.operators.decode import encode_json
 from siftline.schema import FEED_TOPIC
 from siftline.sinks.batches import read_batches, read_text_batches, strip_batch_columns, write_counted, write_once
+from siftline.sinks.records import records
 
 
 @dataclass(frozen=True)
 class TopicFeed:
-    """Kafka topic, at least once: a retried batch may repeat messages."""
+    """Kafka topic, at least once: a retried batch may repeat messages, which ``without_repeats`` drops on reading."""
 
     bootstrap_servers: str
     topic: str = FEED_TOPIC
@@ -27,7 +28,7 @@ class TopicFeed:
         }
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        encode_json(batch).write.format("kafka").options(**self.options()).save()
+        records(batch, batch_id).write.format("kafka").options(**self.options()).save()
 
 
 @dataclass(frozen=True)

@@ -30,6 +30,7 @@ DEPTH = 5
 TOP = 2
 END = 0xFF  # no byte of UTF-8; follows every text and precedes it as its context
 BLOCK_BYTES = 32 << 20
+TASKS = 4
 CHUNK = 1 << 20
 CACHE_WORDS = 100_000
 READ_DOCS = 256
@@ -273,10 +274,43 @@ def log10_bytes(keys: np.ndarray, bits: np.ndarray, top: tuple[np.ndarray, ...])
 
 _SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-    "score double, n_bytes long"
+    "score double, n_bytes long, bits_per_byte double"
 )
 
 
+class _Lookup:
+    """Sums of the logs of the codes of many documents, which are sorted together: neighbours are found one after another."""
+
+    def __init__(self, codes: np.ndarray, logs: np.ndarray, documents: int):
+        self._codes, self._logs, self.sums = codes, logs, np.zeros(documents)
+        self._held: list[np.ndarray] = []
+        self._size, self._first, self._last = 0, 0, 0
+
+    def add(self, document: int, grams: np.ndarray) -> None:
+        if document - self._first > 0xFFFF:
+            self.flush()
+        if not self._held:
+            self._first = document
+        # Six bytes of a code, and two for the document.
+        self._held.append((grams << np.uint64(16)) | np.uint64(document - self._first))
+        self._size, self._last = self._size + len(grams), document
+        if self._size >= CHUNK:
+            self.flush()
+
+    def flush(self) -> None:
+        if not self._held:
+            return
+        packed = np.sort(np.concatenate(self._held))
+        codes = packed >> np.uint64(16)
+        first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        found = self._logs[np.searchsorted(self._codes, codes[first])]
+        values = np.repeat(found, np.diff(np.append(first, len(codes))))
+        owner = (packed & np.uint64(0xFFFF)).astype(np.int64)
+        sums = np.bincount(owner, values, self._last - self._first + 1)
+        self.sums[self._first : self._last + 1] += sums
+        self._held, self._size = [], 0
+
+
 def _score(docs: pa.Table, known: pa.Table, train_tokens: int, vocabulary: int) -> pa.Table:
     kinds, keys, values = (known[n].to_numpy() for n in ("kind", "key", "value"))
     keys = keys.view(np.uint64)
@@ -290,8 +324,9 @@ def _score(docs: pa.Table, known: pa.Table, train_tokens: int, vocabulary: int)
     hashes, counts = sorted_part(WORD)
     rates = np.log10((counts + 1) / (train_tokens + vocabulary + 1))
     number: dict[bytes, int] = {}
-    rows: list[list] = [[], [], [], [], []]
-    for (text,) in _rows(docs, "text"):
+    rows: list[list] = [[], [], [], []]
+    lookup = _Lookup(codes, logs, docs.num_rows)
+    for document, (text,) in enumerate(_rows(docs, "text")):
         data = lowered(text)
         words = [*data.split(), b"\n"]  # the end is a token that no word can be
         if len(number) > CACHE_WORDS:
@@ -300,20 +335,21 @@ def _score(docs: pa.Table, known: pa.Table, train_tokens: int, vocabulary: int)
         if new:
             number.update(zip(new, np.searchsorted(hashes, _word_hashes(new)).tolist(), strict=True))
         at = np.fromiter((number[w] for w in words), np.int64, len(words))
-        score = 0.0
         grams = gram_codes(data)
         for start in range(0, len(grams), CHUNK):
-            score += float(logs[np.searchsorted(codes, grams[start : start + CHUNK])].sum())
-        row = (len(words), int((counts[at] > 0).sum()), float(rates[at].sum()), score, len(grams))
+            lookup.add(document, grams[start : start + CHUNK])
+        row = (len(words), int((counts[at] > 0).sum()), float(rates[at].sum()), len(grams))
         for column, value in zip(rows, row, strict=True):
             column.append(value)
+    lookup.flush()
+    scores, sizes = lookup.sums, np.array(rows[3], np.int64)
     n = docs.num_rows
     return pa.table(
         {
             "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(rows[0], pa.int64()),
             "n_known": pa.array(rows[1], pa.int64()), "train_tokens": pa.array([train_tokens] * n, pa.int64()),
-            "base_score": pa.array(rows[2], pa.float64()), "score": pa.array(rows[3], pa.float64()),
-            "n_bytes": pa.array(rows[4], pa.int64()),
+            "base_score": pa.array(rows[2], pa.float64()), "score": pa.array(scores), "n_bytes": pa.array(sizes),
+            "bits_per_byte": pa.array(scores * -math.log2(10) / sizes),
         }
     )
 
@@ -323,7 +359,8 @@ def score(docs: DataFrame) -> DataFrame:
 
     Learnt from documents whose CRC of the id, modulo 7, is not 2; those where it is are held
     out. A document without an id is scored, but neither learnt from nor held out. Null is the
-    empty text, whose only symbol is its end. ``n_bytes`` counts the end. Texts are modelled
+    empty text, whose only symbol is its end. ``n_bytes`` counts the end, ``bits_per_byte`` is the code length by the
+    trees over these. Texts are modelled
     with A-Z in lower case. Repeated rows are scored and learnt from as often as they occur.
     Columns other than doc_id and text are not looked at.
     """
@@ -335,7 +372,8 @@ def score(docs: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     block = F.pmod(F.xxhash64("doc_id", F.crc32(F.encode("text", "utf-8"))), F.lit(blocks)).alias("block")
-    rows = rows.select("*", block)
+    # More tasks than blocks, so that few tasks get two of them.
+    rows = rows.select("*", block).repartition(TASKS * blocks, "block")
 
     found = rows.groupBy("block").applyInArrow(_collect, "block long, kind int, key long, n long")
     found = written(found, "contexts")
@@ -360,7 +398,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     model = trees.where("key is not null").select("key", "bits").mapInArrow(mix, "kind int, key long, value double")
     model = model.union(words.select("kind", "key", F.col("n").cast("double")))
-    known = found.select("block", "kind", "key").join(model, ["kind", "key"])
+    known = found.select("block", "kind", "key").join(model, ["kind", "key"]).repartition(TASKS * blocks, "block")
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         return _score(left, right, total.n, total.different)

@@ -91,6 +91,7 @@ def test_equal_to_the_direct_recursion(spark):
         assert (row.n_tokens, row.n_known, row.train_tokens) == (n, known, total)
         assert row.base_score == pytest.approx(base)
         assert row.score == pytest.approx(score(ctw.lowered(text)), rel=1e-5)
+        assert row.bits_per_byte == pytest.approx(-row.score * math.log2(10) / (len(ctw.lowered(text)) + 1))
 
 
 def test_blocks_change_nothing(spark, monkeypatch):
@@ -98,6 +99,7 @@ def test_blocks_change_nothing(spark, monkeypatch):
     one = {r.doc_id: r for r in ctw.score(docs).collect()}
     monkeypatch.setattr(ctw, "BLOCK_BYTES", 100_000)
     monkeypatch.setattr(ctw, "TREE_ROWS", 500)
+    monkeypatch.setattr(ctw, "CHUNK", 3000)
     many = {r.doc_id: r for r in ctw.score(docs).collect()}
     assert one.keys() == many.keys()
     for doc, row in one.items():

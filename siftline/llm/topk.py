@@ -1,30 +1,36 @@
 """Exact top-k by inner product with multi-resolution segment statistics.
 
-A vector is cut into segments of equal width, 1, 4 and 16 of them. With the mean and
+A vector is cut into segments of equal width, 1, 4, 16 and 32 of them. With the mean and
 the deviation (as a norm) of each segment, the squared distance of two vectors is at
 least the sum over the segments of width * (difference of means)**2 + (difference of
 deviations)**2. As the lengths of both are known, the least distance gives the
 greatest inner product. Bounds are taken coarse to fine; products are computed for the
 pairs that could still be among the best of their query, and no other pair is dropped.
 
-Queries form blocks of a bounded number; every block meets all vectors, dealt over
-groups that each task reads as a stream with running thresholds.
+A bounded sample of the vectors gives each query a score that its last one reaches at least, so bounds prune from the
+first pair on. All vectors lie in parts of a stored table; queries form blocks of a bounded number, and PASS of them at
+a time are broadcast to the parts. A task keeps the best of each query over all its parts.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftline.llm.common import written
+
 SCALE = 256
-SEGMENTS = (1, 4, 16)
+SEGMENTS = (1, 4, 16, 32)
 QUERY_BLOCK = 2048
-GROUPS = 24
-CHUNK = 2048
+PASS = 16
+PART_ROWS = 4096
+SAMPLE_ROWS = 4096  # rows that give the first thresholds; all rows are searched
+CHUNK = 512
 EXACT = float(1 << 53)
 
 
@@ -59,12 +65,13 @@ def least_distances(q: np.ndarray, x: np.ndarray, q_norms: np.ndarray, x_norms:
 class Search:
     """The best ``k`` of a stream of vectors for a block of queries."""
 
-    def __init__(self, ids: list[int], vectors: list[np.ndarray], k: int):
+    def __init__(self, ids: list[int], vectors: list[np.ndarray], k: int, least: list[int | None] | None = None):
+        """``least`` are scores that ``k`` vectors are known to reach, where known."""
         self._ids, self._k = np.array(ids, np.int64), k
         self._vectors = _matrix(vectors)
         self._best: list[list[tuple[int, int]]] = [[] for _ in ids]  # (-score, vec_id), best first
-        self._least = np.full(len(ids), -np.inf)
-        self.products = 0
+        self._least = np.array([-np.inf if x is None else x for x in least or [None] * len(ids)], np.float64)
+        self.products = self.pairs = 0
 
     def add(self, ids: np.ndarray, vectors: list[np.ndarray]) -> None:
         x, q = _same_width(_matrix(vectors), self._vectors)
@@ -72,6 +79,7 @@ class Search:
         rows, columns = np.arange(len(q)), np.arange(len(x))
         alive = self._ids[:, None] != ids[None, :]
         q_norms, x_norms = np.square(q).sum(1), np.square(x).sum(1)
+        self.pairs += int(alive.sum())
         slack = 1e-9 * (q_norms[:, None] + x_norms[None, :]) + 1e-6
         for segments in SEGMENTS:
             rows, columns = rows[alive[rows][:, columns].any(1)], columns[alive[rows][:, columns].any(0)]
@@ -95,7 +103,11 @@ class Search:
             best = self._best[i] + list(zip((-scores).tolist(), ids[found].tolist(), strict=True))
             self._best[i] = best = sorted(best)[: self._k]
             if len(best) == self._k:
-                self._least[i] = -best[-1][0]
+                self._least[i] = max(self._least[i], -best[-1][0])
+
+    def found(self) -> list[list[tuple[int, int]]]:
+        """By query (-score, vec_id), best first."""
+        return self._best
 
     def results(self) -> tuple[list[int], list[int], list[int]]:
         rows = [(int(q), v, -s) for q, best in zip(self._ids, self._best, strict=True) for s, v in best]
@@ -118,12 +130,30 @@ def _same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.pad(m, ((0, 0), (0, width - m.shape[1]))) if m.shape[1] < width else m for m in (a, b))
 
 
-def _vectors(batch: pa.RecordBatch) -> list[np.ndarray]:
-    column = batch.column(batch.schema.get_field_index("v"))
+def _vectors(column: pa.ListArray) -> list[np.ndarray]:
     flat, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
     return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
+def _with_thresholds(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """``queries`` with ``least``: the ``k``-th best score among the rows of a bounded sample, null if it has fewer."""
+    sample = vectors.orderBy(F.xxhash64("vec_id", "v")).limit(SAMPLE_ROWS).toArrow().combine_chunks()
+    ids = sample.column("vec_id").to_numpy()
+    held = _vectors(sample.column("v").chunk(0)) if len(sample) else []
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, held))
+
+    def run(batches):
+        ids, held = shared.value
+        for batch in batches:
+            search = Search(batch.column(0).to_pylist(), _vectors(batch.column(1)), k)
+            for at in range(0, len(ids), CHUNK):
+                search.add(ids[at : at + CHUNK], held[at : at + CHUNK])
+            least = [-best[-1][0] if len(best) == k else None for best in search.found()]
+            yield pa.RecordBatch.from_pydict({"vec_id": batch.column(0), "v": batch.column(1), "least": pa.array(least, pa.int64())})
+
+    return queries.mapInArrow(run, "vec_id long, v array<long>, least long")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its ``k`` highest products over all rows of other ids.
 
@@ -132,45 +162,40 @@ def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     vectors; repeated candidates are rows of their own. Vectors of unlike length are compared
     over the components both have. Fewer candidates give fewer rows.
     """
-    queries = vectors.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = written(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    parts = max(1, math.ceil(rows.count() / PART_ROWS))
+    part = F.pmod(F.xxhash64("row"), F.lit(parts))
+    index = written(rows.groupBy(part.alias("part")).agg(F.collect_list(F.struct("vec_id", "v")).alias("rows")).repartition(parts, "part"), "vector-parts")
+
+    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = written(_with_thresholds(queries, rows.select("vec_id", "v"), k), "queries")
     blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    numbers = F.sequence(F.lit(0), F.lit(GROUPS - 1))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    asked = queries.select(block.alias("block"), F.explode(numbers).alias("part"), F.lit(0).alias("kind"), "vec_id", "v")
-    part = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(GROUPS)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    given = vectors.select(every, part.alias("part"), F.lit(1).alias("kind"), "vec_id", "v")
-    dealt = asked.union(given).repartition(blocks * GROUPS, "block", "part").sortWithinPartitions("block", "part", "kind")
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")
+    asked = written(queries.groupBy(block).agg(F.collect_list(F.struct("vec_id", "v", "least")).alias("asked")), "query-blocks")
 
     def run(batches):
-        group, ids, held, search = None, [], [], None
+        state: dict[int, Search] = {}
         for batch in batches:
-            block, part, kind, vec_id = (batch.column(i).to_numpy() for i in range(4))
-            found = _vectors(batch)
-            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0) | (np.diff(kind) != 0)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(kind)], strict=True):
-                if (block[a], part[a]) != group:
-                    if search:
-                        yield search.results()
-                    group, ids, held, search = (block[a], part[a]), [], [], None
-                if kind[a] == 0:
-                    ids += vec_id[a:b].tolist()
-                    held += [v.copy() for v in found[a:b]]
-                    continue
-                if not ids:
-                    continue
-                search = search or Search(ids, held, k)
-                for at in range(a, b, CHUNK):
-                    search.add(vec_id[at : min(at + CHUNK, b)], found[at : min(at + CHUNK, b)])
-        if search:
-            yield search.results()
-
-    def as_batches(batches):
-        for query, vec_id, score in run(batches):
-            columns = {"query_id": query, "vec_id": vec_id, "score": score}
+            for i in range(batch.num_rows):
+                block, given = batch.column("block")[i].as_py(), batch.column("rows")[i].values
+                if block not in state:
+                    q = batch.column("asked")[i].values
+                    state[block] = Search(q.field("vec_id").to_pylist(), [v.copy() for v in _vectors(q.field("v"))], k, q.field("least").to_pylist())
+                ids, held = given.field("vec_id").to_numpy(), _vectors(given.field("v"))
+                for at in range(0, len(ids), CHUNK):
+                    state[block].add(ids[at : at + CHUNK], held[at : at + CHUNK])
+        for search in state.values():
+            columns = dict(zip(("query_id", "vec_id", "score"), search.results(), strict=True))
             yield pa.RecordBatch.from_pydict({n: pa.array(c, pa.int64()) for n, c in columns.items()})
 
-    partial = dealt.mapInArrow(as_batches, "query_id long, vec_id long, score long")
+    def one_pass(begin: int) -> DataFrame:
+        end = min(begin + PASS, blocks) - 1
+        # PASS blocks of about QUERY_BLOCK queries, whatever their number.
+        some = F.broadcast(asked.where(F.col("block").between(begin, end)))
+        every = F.explode(F.sequence(F.lit(begin).cast("long"), F.lit(end).cast("long"))).alias("block")
+        return index.select("rows", every).join(some, "block").mapInArrow(run, "query_id long, vec_id long, score long")
+
+    partial = reduce(DataFrame.union, [one_pass(b) for b in range(0, blocks, PASS)])
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -40,6 +40,25 @@ def test_pairs_are_pruned_and_nothing_is_lost():
     assert search.products < 0.5 * 60 * 3000
 
 
+def test_bounds_spare_pairs_of_the_given_table(spark):
+    vectors = topk.quantized(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), "vec_id", "embedding")
+    queries = vectors.where("vec_id % 50 = 0")
+    asked = topk._with_thresholds(queries, vectors, 5).collect()
+    rows = vectors.collect()
+    search = topk.Search([r.vec_id for r in asked], [np.array(r.v) for r in asked], 5, [r.least for r in asked])
+    for at in range(0, len(rows), topk.CHUNK):
+        part = rows[at : at + topk.CHUNK]
+        search.add(np.array([r.vec_id for r in part]), [np.array(r.v) for r in part])
+    assert search.pairs == len(asked) * (len(rows) - 1)
+    assert search.products < 0.7 * search.pairs
+
+
+def test_parts_and_passes_change_nothing(spark, monkeypatch):
+    for name, value in (("PART_ROWS", 60), ("QUERY_BLOCK", 3), ("PASS", 2), ("SAMPLE_ROWS", 50), ("CHUNK", 17)):
+        monkeypatch.setattr(topk, name, value)
+    test_query_matches_sql(spark, "0.01")
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from siftline.session import shared_dir
 
 
 BATCH_ROWS = 2_000
+SLICE_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,16 +34,26 @@ def slices(batch: pa.RecordBatch, rows: int = BATCH_ROWS):
         yield batch.slice(at, rows)
 
 
+def text_slices(batch: pa.RecordBatch, name: str = "text", most: int = SLICE_BYTES):
+    """The rows of a batch in runs of about so many bytes of text; a longer text is in a run of its own or ends one."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    share = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def per_batch(
     df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]], rows: int = BATCH_ROWS
 ) -> DataFrame:
-    """Run ``make()`` once in each task and the function it returns on each slice of an Arrow batch."""
+    """Run ``make()`` once in each task and the function it returns on slices of an Arrow batch, bounded in rows and bytes of text."""
 
     def run(batches):
         function = make()
         for batch in batches:
             for part in slices(batch, rows):
-                yield pa.RecordBatch.from_pydict(function(part))
+                for piece in text_slices(part) if "text" in part.schema.names else [part]:
+                    yield pa.RecordBatch.from_pydict(function(piece))
 
     return df.mapInArrow(run, schema)
 

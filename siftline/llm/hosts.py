@@ -21,6 +21,8 @@ Rule = tuple[str, str, str]
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 # Second-level names under which a country registers domains: fixed values.
 SECOND_LEVEL = ("co", "com", "org", "net", "ac", "gov", "edu")
+# Four numbers, or a bracket that begins an address of the longer kind.
+ADDRESS = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*)$"
 
 # Posterior bound: a host goes if its share of bad pages is above MAX_BAD even at Z deviations below its mean.
 MAX_BAD = 0.25
@@ -34,11 +36,28 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
-def registered_domain(host: Column) -> Column:
-    """The last two names of a host, three below a country's second-level name; the host itself if it has fewer."""
-    last_two = F.substring_index(host, ".", -2)
-    country = (F.length(F.substring_index(host, ".", -1)) == 2) & F.substring_index(last_two, ".", 1).isin(*SECOND_LEVEL)
-    return F.when(country, F.substring_index(host, ".", -3)).otherwise(last_two)
+def bare_name(host: Column) -> Column:
+    """The name in a host: without user, port and closing dots."""
+    name = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+    return F.regexp_replace(name, r"\.+$", "")
+
+
+def _address(name: Column) -> Column:
+    return name.rlike(ADDRESS)
+
+
+def registered_domain(host: Column, second_level: tuple[str, ...] = SECOND_LEVEL) -> Column:
+    """The last two names of a host, three below a country's second-level name; an address and a single name stand for themselves."""
+    name = bare_name(host)
+    last_two = F.substring_index(name, ".", -2)
+    country = (F.length(F.substring_index(name, ".", -1)) == 2) & F.substring_index(last_two, ".", 1).isin(*second_level)
+    return F.when(_address(name), name).when(country, F.substring_index(name, ".", -3)).otherwise(last_two)
+
+
+def suffix(host: Column) -> Column:
+    """The last name of a host; an address is its own."""
+    name = bare_name(host)
+    return F.when(_address(name), name).otherwise(F.substring_index(name, ".", -1))
 
 
 def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:
@@ -71,16 +90,17 @@ def _posterior(level: DataFrame, strength: float) -> Column:
     return (strength * F.col("prior") + F.col("k")) / (strength + F.col("n"))
 
 
-def reputation(pages: DataFrame, bad_pages: DataFrame) -> DataFrame:
+def reputation(pages: DataFrame, bad_pages: DataFrame, second_level: tuple[str, ...] = SECOND_LEVEL) -> DataFrame:
     """(host, n, k, mean, bound) for every host of ``pages``: labelled and bad pages, posterior mean and lower bound.
 
-    Hosts without labels get what their domain says; without any label at all every mean is 0.
+    The bound takes the posterior for normal; near 0 and 1 and for few pages a quantile of the beta distribution is a
+    little higher. ``second_level`` are the names under which countries register domains. Hosts without labels get what their domain says; without any label at all every mean is 0.
     """
     host, _ = host_and_path(F.col("url"))
     seen = pages.select("page_id", host.alias("host")).join(bad_pages, "page_id", "left")
     hosts = seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
-    domain = registered_domain(F.col("host"))
-    hosts = written(hosts.select("host", domain.alias("domain"), F.substring_index("host", ".", -1).alias("suffix"), "n", "k"), "hosts")
+    domain = registered_domain(F.col("host"), second_level)
+    hosts = written(hosts.select("host", domain.alias("domain"), suffix(F.col("host")).alias("suffix"), "n", "k"), "hosts")
 
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
@@ -142,12 +162,15 @@ bad_pages as (
     select doc_id, max(greatest(toxic, 1 - quality)) as bad from labels
     where doc_id is not null and greatest(toxic, 1 - quality) is not null group by doc_id),
 hosts as (
-    select host, count(bad) as n, coalesce(sum(bad), 0) as k, string_split(host, '.') as names
+    select host, count(bad) as n, coalesce(sum(bad), 0) as k,
+        regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '[.]+$', '') as name
     from split left join bad_pages on page_id = doc_id group by host),
+cut as (select *, regexp_matches(name, '{ADDRESS}') as address, string_split(name, '.') as names from hosts),
 named as (
-    select *, names[-1] as suffix, array_to_string(case when length(names[-1]) = 2 and names[-2] in ({second})
-        then names[-3:] else names[-2:] end, '.') as domain
-    from hosts),
+    select host, n, k, case when address then name else names[-1] end as suffix,
+        case when address then name else array_to_string(case when length(names[-1]) = 2 and names[-2] in ({second})
+        then names[-3:] else names[-2:] end, '.') end as domain
+    from cut),
 total as (select case when sum(n) = 0 then 0.0 else (sum(k) + 1) / (sum(n) + 2) end as overall from named),
 suffixes as (
     select suffix, sum(n) as n, sum(k) as k, (select overall from total) as prior from named group by suffix),

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import per_batch, texts
+from siftline.llm.common import per_batch, text_slices, texts
 
 # Bounds of the sample of labelled rows that the scores are fitted on: expected documents per language.
 TRAIN_DOCS = 3000
@@ -267,13 +267,13 @@ def kept_rows(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFram
 
     def run(batches):
         langs, labeller = shared.value.langs, Labeller(shared.value)
-        for batch in batches:
+        for part in (p for batch in batches for p in text_slices(batch)):
             if langs:
-                judged = [judge(s, langs) for s in labeller.weigh(texts(batch))]
+                judged = [judge(s, langs) for s in labeller.weigh(texts(part))]
                 kept = [lang != UNKNOWN and score >= min_score for lang, score in judged]
             else:
-                kept = [bool(words_of(t)) for t in texts(batch)]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+                kept = [bool(words_of(t)) for t in texts(part)]
+            yield part.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -269,10 +269,11 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     An id on texts of several classes can stay for each of them. Rows without an id stay: no
     class is named by them.
     """
+    key = "_" + max(map(len, docs.columns)) * "_" + "text_key"  # longer than any column, so none of theirs
     firsts = _classes(docs, similarity).where("doc_id = class_id").groupBy("class_id", "component")
-    keepers = firsts.agg(F.min("text_key").alias("_text_key")).select(F.col("class_id").alias("doc_id"), "_text_key")
-    named = docs.withColumn("_text_key", F.xxhash64("text")).join(keepers, ["doc_id", "_text_key"], "left_semi")
-    named = named.dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
+    keepers = firsts.agg(F.min("text_key").alias(key)).select(F.col("class_id").alias("doc_id"), key)
+    named = docs.withColumn(key, F.xxhash64("text")).join(keepers, ["doc_id", key], "left_semi")
+    named = named.dropDuplicates(["doc_id", key]).select(*docs.columns)
     return named.union(docs.where("doc_id is null"))
 
 

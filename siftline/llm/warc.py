@@ -64,22 +64,29 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 
 def parse(data: bytes) -> dict:
-    """The fields of a record from its decompressed bytes; a revisit has no payload of its own."""
+    """The fields of a record from its decompressed bytes; a revisit has no payload of its own.
+
+    Header names count in any case, and lines that are no headers are passed over. What a record does not say is null;
+    without a length its block goes to the end, without the two line ends that close a record.
+    """
     head, _, rest = data.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    block = rest[: int(fields["Content-Length"])]
+    lines = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+    fields = {name.strip().lower(): value.strip() for name, colon, value in lines if colon}
+    stated = fields.get("content-length", "")
+    block = rest[: int(stated)] if stated.isdigit() else rest.removesuffix(b"\r\n\r\n")
     http, _, payload = block.partition(b"\r\n\r\n")
     length = re.search(rb"(?im)^content-length:\s*(\d+)", http)
-    page, refers = _ID.match(fields["WARC-Record-ID"]), _ID.match(fields.get("WARC-Refers-To", ""))
-    revisit = fields["WARC-Type"] == "revisit"
+    page, refers = (_ID.match(fields.get(name, "")) for name in ("warc-record-id", "warc-refers-to"))
+    revisit = fields.get("warc-type") == "revisit"
+    digest = fields.get("warc-payload-digest")
     return {
         "page_id": int(page[1]) if page else None,
-        "url": fields.get("WARC-Target-URI"),
-        "record_type": fields["WARC-Type"],
+        "url": fields.get("warc-target-uri"),
+        "record_type": fields.get("warc-type"),
         "refers_to": int(refers[1]) if refers else None,
         "payload": None if revisit else payload,
-        "payload_bytes": int(length[1]) if revisit and length else len(payload),
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha256:") if revisit else hashlib.sha256(payload).hexdigest(),
+        "payload_bytes": (int(length[1]) if length else None) if revisit else len(payload),
+        "payload_digest": (digest and digest.removeprefix("sha256:")) if revisit else hashlib.sha256(payload).hexdigest(),
     }
 
 
@@ -97,20 +104,28 @@ class _Range:
 
 
 def _member(data: _Range, at: int) -> tuple[bytes, int] | None:
-    """The decompressed record of the gzip member at ``at`` and where it ends; None if there is no such member."""
-    unpack, parts, size = zlib.decompressobj(GZIP), [], 0
+    """The decompressed record of the gzip member at ``at`` and where it ends; None if there is no such member.
+
+    A member that begins as a record and has no end in the file is an error: the archive was cut short.
+    """
+    unpack, parts, begun = zlib.decompressobj(GZIP), [], b""
     while not unpack.eof:
         piece = data.take(at, 1 << 16)
         if not piece:
+            if begun == VERSION:
+                raise ValueError("the archive ends inside a record")
             return None
         try:
             parts.append(unpack.decompress(piece))
         except zlib.error:
             return None
-        size += len(parts[-1])
         at += len(piece)
-        if parts[0][: len(VERSION)] != VERSION[: len(parts[0])] or (size >= len(VERSION) and b"".join(parts)[: len(VERSION)] != VERSION):
-            return None
+        if len(begun) < len(VERSION):
+            begun += parts[-1][: len(VERSION) - len(begun)]
+            if not VERSION.startswith(begun):
+                return None
+    if begun != VERSION:
+        return None
     end = at - len(unpack.unused_data)
     # Bytes inside a payload can look like a member; a real one is followed by another or by the end of the file.
     if end < data.size and data.take(end, len(MAGIC)) != MAGIC:
@@ -205,7 +220,7 @@ def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Every record of the archives (path, bytes), each from the task whose byte range it begins in.
 
     Payload length and digest are those of the whole payload, for revisits too. No archives
-    give no rows.
+    give no rows. An archive that ends inside a record is an error; ``short_reads`` tells of records that are not found.
     """
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
     ranges = archives.select("path", "bytes", starts.alias("start"))
@@ -230,6 +245,30 @@ def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     return ranges.repartition(min(number, 20_000)).mapInArrow(run, _SCHEMA)
 
 
+def short_reads(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(path, records, found) of the archives (path, bytes, records) in which not so many records are found as were written.
+
+    Reads the archives once more, and hands on counts only.
+    """
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
+    ranges = archives.select("path", "bytes", starts.alias("start"))
+
+    def run(batches):
+        for batch in batches:
+            paths, found = [], []
+            for path, size, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                system, inner = _open(path)
+                with system.open_input_file(inner) as file:
+                    paths.append(path)
+                    found.append(sum(1 for _ in records_in(_Range(file, size), start, min(start + split_bytes, size))))
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "found": pa.array(found, pa.int64())})
+
+    counted = ranges.repartition(max(1, min(ranges.count(), 20_000))).mapInArrow(run, "path string, found long")
+    counted = counted.groupBy("path").agg(F.sum("found").alias("found"))
+    both = archives.select("path", "records").join(counted, "path", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    return both.where("found <> records")
+
+
 def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({n: pa.array([r[n] for r in rows], t) for n, t in _FIELDS.items()})
 

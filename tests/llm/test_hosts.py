@@ -43,6 +43,18 @@ def test_domains(spark):
     assert found == ["example.com", "example.com", "com", "", "y.co.uk", "y.co.uk", "z.uk"]
 
 
+def test_users_ports_dots_and_addresses(spark):
+    names = ["a.example.net:8080", "u@b.com", "x.net.", "1.2.3.4", "1.2.3.4:80", "u:p@h.co.uk:1", "[::1]:80", "...", "256.a.1.2"]
+    df = spark.createDataFrame([(n,) for n in names], "host string")
+    found = df.select(hosts.registered_domain(hosts.F.col("host")), hosts.suffix(hosts.F.col("host"))).collect()
+    assert list(map(tuple, found)) == [
+        ("example.net", "net"), ("b.com", "com"), ("x.net", "net"), ("1.2.3.4", "1.2.3.4"), ("1.2.3.4", "1.2.3.4"), ("h.co.uk", "uk"),
+        ("[::1]", "[::1]"), ("", ""), ("1.2", "2"),
+    ]
+    own = df.select(hosts.registered_domain(hosts.F.col("host"), ("example",))).first()[0]
+    assert own == "example.net"
+
+
 def test_small_hosts_lean_on_their_domain(spark):
     urls = [f"http://h{i % 4}.bad.com/" for i in range(80)] + [f"http://h{i % 4}.good.com/" for i in range(80)]
     urls += ["http://new.bad.com/", "http://new.good.com/", "http://one.good.com/"]

@@ -57,3 +57,18 @@ def test_nothing_learnt_does_not_empty_the_pipeline(spark):
     )
     rows = corpus_pipeline.language_id(spark, docs, SF_DIR).collect()
     assert sorted(-1 if r.doc_id is None else r.doc_id for r in rows) == [-1, 3, 4]
+
+
+def test_columns_named_like_inner_ones_are_handed_on(spark):
+    long = " ".join(f"word{i} and then" for i in range(60))
+    extra = "_text_key long, __text_key string, node long, text_key int, _text string, class_id int, kept string, lang_pred int, score string, part int"
+    rows = [(d, " ".join(f"other{d}x{i} and so" for i in range(60)), "en", 7, "k", 8, 9, "t", 10, "yes", 11, "s", d) for d in range(8)]
+    rows.append((20, long + " x", None, *rows[0][3:]))
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, {extra}")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF_DIR)
+        assert kept.columns == docs.columns
+    expected = {r[0]: r for r in rows}
+    assert kept.count() >= 8 and all(tuple(r) == expected[r.doc_id] for r in kept.collect())
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, SF_DIR).count() > 0

@@ -2,7 +2,9 @@
 
 import gzip
 import hashlib
+import time
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as contract
@@ -67,3 +69,38 @@ def test_members_inside_a_payload_are_not_records():
     assert data[at : at + 3] == warc.MAGIC
     found = list(warc.records_in(warc._Range(Memory(data), len(data)), at, len(data)))
     assert [warc.parse(r)["page_id"] for r in found] == [3]
+
+
+def test_a_large_payload_takes_linear_time():
+    payload = np.random.default_rng(1).integers(0, 256, 96 << 20, np.uint8).tobytes()
+    data = warc.record(1, "u", payload, "0", None)
+    begin = time.perf_counter()
+    (found,) = warc.records_in(warc._Range(Memory(data), len(data)), 0, len(data))
+    took = time.perf_counter() - begin
+    assert warc.parse(found)["payload"] == payload and took < 3
+
+
+def test_an_archive_that_is_cut_short_is_an_error():
+    data = b"".join(warc.record(i, "u", b"payload %d" % i, "0", None) for i in range(3))[:-5]
+    records = warc.records_in(warc._Range(Memory(data), len(data)), 0, len(data))
+    assert [warc.parse(next(records))["page_id"] for _ in range(2)] == [0, 1]
+    with pytest.raises(ValueError, match="ends inside a record"):
+        next(records)
+
+
+def test_missing_records_are_told(spark, tmp_path):
+    members = [warc.record(i, "u", b"x" * 50, "0", None) for i in range(6)]
+    for name, part in (("whole", members), ("short", members[:4])):
+        (tmp_path / name).write_bytes(b"".join(part))
+    rows = [(f"file://{tmp_path}/{n}", (tmp_path / n).stat().st_size, 6) for n in ("whole", "short")]
+    archives = spark.createDataFrame(rows, "path string, bytes long, records long")
+    (found,) = warc.short_reads(archives, 100).collect()
+    assert found.path.endswith("short") and (found.records, found.found) == (6, 4)
+
+
+def test_foreign_headers():
+    lines = b"warc-type:  response\r\nno header here\r\nWARC-Record-ID: <urn:uuid:1>\r\ncontent-length: 24\r\n"
+    found = warc.parse(warc.VERSION + lines + b"\r\nHTTP/1.1 200 OK\r\n\r\nhello\r\n\r\n")
+    assert (found["page_id"], found["record_type"], found["payload"], found["url"]) == (None, "response", b"hello", None)
+    bare = warc.parse(warc.VERSION + b"WARC-Type: revisit\r\n\r\nHTTP/1.1 200 OK\r\n\r\n\r\n\r\n")
+    assert (bare["payload"], bare["payload_bytes"], bare["payload_digest"]) == (None, None, None)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import per_batch, text_slices, texts
+from siftline.llm.common import slices, text_slices, texts
 
 # Bounds of the sample of labelled rows that the scores are fitted on: expected documents per language.
 TRAIN_DOCS = 3000
@@ -238,24 +238,23 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make():
+    def run(batches):
         langs, labeller = shared.value.langs, Labeller(shared.value)
-
-        def run(batch: pa.RecordBatch) -> dict:
+        # Texts that walk together are bounded in number and bytes.
+        for batch in (p for b in batches for part in slices(b, WALK_ROWS) for p in text_slices(part)):
             spans = labeller.weigh(texts(batch)) if langs else [[]] * batch.num_rows
             judged = [judge(s, langs) for s in spans]
             named = [[{"first_word": a, "words": n, "lang": langs[k]} for a, n, _, k, _ in s] for s in spans]
             kind = pa.list_(pa.struct([("first_word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
-            return {
+            columns = {
                 "doc_id": batch.column(0),
                 "lang_pred": pa.array([j[0] for j in judged], pa.string()),
                 "score": pa.array([j[1] for j in judged], pa.float64()),
                 "spans": pa.array(named, kind),
             }
+            yield pa.RecordBatch.from_pydict(columns)
 
-        return run
-
-    return per_batch(docs.select("doc_id", "text"), _SCHEMA, make, rows=WALK_ROWS)
+    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
 
 
 def kept_rows(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:

@@ -369,6 +369,8 @@ ORACLES |= {
     )
 }
 ORACLES |= {
+    "bucketed_latest_versions": LATEST,
+    "bucketed_duplicate_keys": ORACLES["duplicate_keys"],
     "stored_type_share": f"""
 WITH latest AS ({LATEST})
 SELECT profanity_type, count(*) AS total,

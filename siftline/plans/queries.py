@@ -223,6 +223,19 @@ def latest_version_rows(spark, sf_dir):
     return latest_versions(stored).select(*OLAP_FIELDS)
 
 
+def _bucketed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.store_bucketed(_versions(spark, sf_dir), f"versions_{uuid.uuid4().hex}", shared_dir(spark, "versions"))
+
+
+def bucketed_latest_versions(spark, sf_dir):
+    """The latest versions of a table cut by key, read without a shuffle."""
+    return latest_versions(_bucketed_versions(spark, sf_dir)).select(*OLAP_FIELDS)
+
+
+def bucketed_duplicate_keys(spark, sf_dir):
+    return analytics.duplicate_keys(_bucketed_versions(spark, sf_dir))
+
+
 def merged_table(spark, sf_dir):
     """Versions written as one batch each, merged on storage, then read as stored."""
     sink = OlapSink(shared_dir(spark, "merged_table"))
@@ -500,6 +513,8 @@ ALL: dict[str, Query] = {
         stored_size,
         duplicate_keys,
         latest_version_rows,
+        bucketed_latest_versions,
+        bucketed_duplicate_keys,
         merged_table,
         lake_after_replay,
         stored_recent_messages,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.schema import LAKE_SCHEMA, OLAP_MONTH, OLAP_STORED_SCHEMA
+from siftline.operators.convert import with_event_month
+from siftline.schema import LAKE_SCHEMA, OLAP_KEY, OLAP_MONTH, OLAP_STORED_SCHEMA
 from siftline.sinks import files
 from siftline.sinks.batches import batch_dir, committed, current_stream, partitions_of
 from siftline.sinks.lake import TABLES, LakeSink
@@ -33,6 +34,20 @@ def _create(spark: SparkSession, name: str, schema, partition: str, path: str) -
     )
 
 
+def store_bucketed(rows: DataFrame, name: str, path: str, buckets: int | None = None) -> DataFrame:
+    """Store analytics rows as a table by month whose files are cut and sorted by key; returns the table.
+
+    What groups by the key, deduplication and the duplicate check, then reads it without a shuffle. ``buckets`` should
+    leave a month's bucket below the memory of a task; by default there are as many as shuffle partitions.
+    """
+    spark = rows.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = with_event_month(rows).repartition(buckets, *OLAP_KEY)  # one file per bucket and month
+    writer = cut.write.mode("overwrite").format("parquet").option("path", files.qualified(spark, path))
+    writer.partitionBy(OLAP_MONTH).bucketBy(buckets, *OLAP_KEY).sortBy(*OLAP_KEY).saveAsTable(name)
+    return spark.table(name)
+
+
 def publish(spark: SparkSession, name: str, path: str) -> None:
     """Make the catalog table show exactly what is committed, as after a merge.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftline.operators import analytics
 from siftline.operators.classify import classify, profane_only
+from siftline.operators.dedup import latest_versions
 from siftline.schema import LAKE_SCHEMA, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE, SAFE_TABLE
 from siftline.sinks import batches, files
 from siftline.sinks.feed import FileFeed, TopicFeed
@@ -159,6 +160,24 @@ def test_dedup_keeps_one_row_per_key_before_the_shuffle(spark, tmp_path):
     assert "WindowGroupLimit" in below and ", Partial" in below
 
 
+def test_a_table_cut_by_key_is_deduplicated_without_a_shuffle(spark, tmp_path):
+    olap = OlapSink(str(tmp_path / "olap"))
+    for batch_id in range(3):
+        rows = [_row(i, f"v{batch_id}", timestamp=f"2025-0{1 + i % 2}-05T00:00:00Z") for i in range(30)]
+        olap(_batch(spark, rows, f"2025-06-01T12:0{batch_id}:00Z"), batch_id)
+    name = f"bucketed_{tmp_path.name}"
+    stored = tables.store_bucketed(olap.read_all(spark).drop("event_month"), name, f"{tmp_path}/table", 4)
+    latest = latest_versions(stored)
+    for found in (latest, analytics.duplicate_keys(stored)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert sorted(map(tuple, latest.select(*OLAP_FIELDS).collect())) == sorted(map(tuple, olap.read(spark).select(*OLAP_FIELDS).collect()))
+    assert analytics.duplicate_keys(stored).count() == 30
+    # A bound on the month still prunes, and one file holds a bucket of a month.
+    assert len(list(tmp_path.glob("table/event_month=202501/*.parquet"))) <= 4
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_olap_merge_stores_latest_versions_only(spark, tmp_path):
     olap = OlapSink(str(tmp_path))
     for batch_id in range(3):

@@ -17,7 +17,7 @@ from siftline.sinks.feed import RejectFiles, TopicFeed
 from siftline.sinks.lake import TABLES, LakeSink
 from siftline.sinks.olap import JdbcOlap, OlapSink
 from siftline.sources.kafka import TopicSource
-from siftline.sources.tables import create_lake_tables, create_olap_table, publish_all
+from siftline.sources.tables import create_lake_tables, create_olap_table, publish_all, publish_copies
 from siftline.streaming.job import starters
 from siftline.streaming.supervise import Supervisor
 
@@ -65,15 +65,15 @@ def create_tables(spark: SparkSession, settings: Settings, sinks: FanOut) -> Non
 
 
 def merge_all(spark: SparkSession, settings: Settings) -> None:
-    """Compact the lake, deduplicate the analytics table, and show the result in the catalog."""
+    """Compact the lake, deduplicate the analytics table, each into a table of its own, and show them in the catalog."""
     prepare(spark)
     sinks = sinks_for(spark, settings)
     create_tables(spark, settings, sinks)
     for table in TABLES:
-        sinks.lake.merge(spark, table)
+        sinks.lake.compact(spark, table)
     if isinstance(sinks.olap, OlapSink):
         sinks.olap.merge(spark)
-    publish_all(spark, sinks=published(settings, sinks))
+    publish_copies(spark, published(settings, sinks))
 
 
 def main(command: str = "run") -> None:

@@ -17,7 +17,7 @@ from siftline.operators.classify import classify, classify_by_join, profane_only
 from siftline.operators.dedup import latest_versions
 from siftline.operators.lexicon import DEFAULT_WORDS, clean_words, inline_words, words_table
 from siftline.plans import views
-from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE, SAFE_TABLE
+from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, OLAP_MONTH, PROFANE_TABLE, SAFE_TABLE
 from siftline.session import prepare, shared_dir
 from siftline.sinks.batches import as_stream
 from siftline.sinks.fanout import FanOut, ReportFiles
@@ -237,11 +237,11 @@ def bucketed_duplicate_keys(spark, sf_dir):
 
 
 def merged_table(spark, sf_dir):
-    """Versions written as one batch each, merged on storage, then read as stored."""
+    """Versions written as a batch, then the merged table as stored."""
     sink = OlapSink(shared_dir(spark, "merged_table"))
     sink.append_stored(_versions(spark, sf_dir), 0)
     sink.merge(spark)
-    return sink.read_all(spark).select(*OLAP_FIELDS)
+    return sink.read_merged(spark).select(*OLAP_FIELDS)
 
 
 def lake_after_replay(spark, sf_dir):
@@ -252,12 +252,12 @@ def lake_after_replay(spark, sf_dir):
         lake(batch, 0)
         lake(batch, 0)
     for name in TABLES:
-        lake.merge(spark, name)
-    return _both_tables(spark, lake)
+        lake.compact(spark, name)
+    return _both_tables(spark, lake.read_compacted)
 
 
-def _both_tables(spark: SparkSession, lake: LakeSink) -> DataFrame:
-    profane, safe = (lake.read(spark, name).withColumn("table_name", F.lit(name)) for name in TABLES)
+def _both_tables(spark: SparkSession, read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    profane, safe = (read(spark, name).withColumn("table_name", F.lit(name)) for name in TABLES)
     return profane.unionByName(safe)
 
 
@@ -265,13 +265,14 @@ def _both_tables(spark: SparkSession, lake: LakeSink) -> DataFrame:
 
 
 def _stored_olap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The analytics table after two batches of versions and a merge between them, latest versions only."""
+    """The merged table after two batches of versions with a merge after each."""
     sink = OlapSink(shared_dir(spark, "stored_olap"))
     versions = _versions(spark, sf_dir)
     sink.append_stored(versions.where("batch_id < 2"), 0)
     sink.merge(spark)
     sink.append_stored(versions.where("batch_id >= 2"), 1)
-    return sink.read(spark)
+    sink.merge(spark)
+    return sink.read_merged(spark).select(*OLAP_FIELDS, OLAP_MONTH)
 
 
 def stored_recent_messages(spark, sf_dir):
@@ -475,7 +476,7 @@ def stream_lake_tables(spark, sf_dir):
     lake = _stream_documents(spark, sf_dir).lake
     known = F.col("message_status") != "ERROR"
     return (
-        _both_tables(spark, lake)
+        _both_tables(spark, lake.read)
         .withColumn("timestamp", F.when(known, F.col("timestamp")))
         .withColumn(LAKE_DAY, F.when(known, F.col(LAKE_DAY)))
     )

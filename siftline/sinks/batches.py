@@ -4,10 +4,6 @@
 batch counts once its folder has the committer's success mark; a retry of a
 counted batch does nothing and a retry of a half-written one replaces it. The
 stream id keeps two streams, or a stream restarted from nothing, apart.
-
-A merge rewrites folders, or some partitions of them, into a folder of its own and
-becomes visible, in the same moment as what it replaced stops being so, when its
-list ``<table>/_merges/M`` appears. The newest list holds the whole state.
 """
 
 from __future__ import annotations
@@ -25,10 +21,7 @@ from pyspark.sql import types as T
 from siftline.sinks import files
 
 SUCCESS = "_SUCCESS"
-MERGED = "merged"
-MERGE_LISTS = "_merges/[0-9]*"
 DIRECT = "direct"
-ADDED, GONE, END = "+", "-", "end"
 
 BATCH_COLUMNS = (T.StructField("stream_id", T.StringType()), T.StructField("batch", T.LongType()))
 
@@ -52,7 +45,7 @@ def as_stream(spark: SparkSession, stream_id: str) -> Iterator[None]:
 
 
 def fresh_id() -> int:
-    """A number nobody has used for a batch or a merge."""
+    """A number nobody has used for a batch."""
     return time.time_ns() // 1000 * 1000 + random.randrange(1000)
 
 
@@ -94,15 +87,9 @@ def taken(seen: Observation, names: tuple[str, ...]) -> dict[str, int]:
 
 
 def committed(spark: SparkSession, table: str) -> list[str]:
-    """Folders, or partitions of folders, that make up the table now, relative to it."""
-    added, gone, _ = _state(spark, table)
-    partly = {entry.rsplit("/", 1)[0] for entry in gone if entry.count("/") == 2}
-    found = []
-    for folder in _written(spark, table):
-        if folder in gone or (_is_merge(folder) and folder not in added):
-            continue
-        found += [p for p in partitions_of(spark, table, folder) if p not in gone] if folder in partly else [folder]
-    return sorted(found)
+    """Batch folders that make up the table now, relative to it."""
+    marks = files.matching(spark, f"{table}/stream_id=*/batch=*/{SUCCESS}")
+    return ["/".join(mark.split("/")[-3:-1]) for mark in marks]
 
 
 def partitions_of(spark: SparkSession, table: str, folder: str) -> list[str]:
@@ -110,36 +97,15 @@ def partitions_of(spark: SparkSession, table: str, folder: str) -> list[str]:
     return [f"{folder}/{p.rsplit('/', 1)[1]}" for p in files.matching(spark, f"{table}/{folder}/*=*")]
 
 
-def _state(spark: SparkSession, table: str) -> tuple[set[str], set[str], int]:
-    """Merge folders that count, folders and partitions that merges replaced, and the newest list's number."""
-    numbers = [int(p.rsplit("/", 1)[1]) for p in files.matching(spark, f"{table}/{MERGE_LISTS}")]
-    for number in sorted(numbers, reverse=True):
-        lines = files.read_text(spark, f"{table}/_merges/{number}").split("\n")
-        if END in lines:  # else it is being written, and the state is the one before
-            entries = {mark: {line[1:] for line in lines if line.startswith(mark)} for mark in (ADDED, GONE)}
-            return entries[ADDED], entries[GONE], max(numbers)
-    return set(), set(), max(numbers, default=0)
-
-
-def _written(spark: SparkSession, table: str) -> list[str]:
-    marks = files.matching(spark, f"{table}/stream_id=*/batch=*/{SUCCESS}")
-    return ["/".join(mark.split("/")[-3:-1]) for mark in marks]
-
-
-def _is_merge(entry: str) -> bool:
-    return entry.startswith(f"stream_id={MERGED}/")
-
-
 def read_batches(
     spark: SparkSession,
     table: str,
     schema: T.StructType,
     partitions: tuple[T.StructField, ...] = (),
-    folders: list[str] | None = None,
 ) -> DataFrame:
     """The committed rows of a parquet table, its partition columns included."""
     full = T.StructType([*schema.fields, *BATCH_COLUMNS, *partitions])
-    folders = committed(spark, table) if folders is None else folders
+    folders = committed(spark, table)
     if not folders:
         return spark.createDataFrame([], full)
     paths = [f"{table}/{folder}" for folder in folders]
@@ -154,50 +120,10 @@ def read_text_batches(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.text([f"{table}/{folder}" for folder in folders]).select("value")
 
 
-def merge_batches(
-    spark: SparkSession,
-    table: str,
-    save: Callable[[list[str], str], None],
-    whole: bool = False,
-    touched_only: bool = False,
-) -> str | None:
-    """Let ``save(entries, target)`` rewrite committed entries as one folder; returns it.
-
-    ``whole`` takes the full table, ``touched_only`` all rows of those partitions that
-    folders no merge has written yet have rows in, and neither only such folders, so
-    that the work keeps in step with new data. Streams may append meanwhile. Each
-    attempt writes a folder of its own; of two that start from one state the second
-    fails when it publishes its list, and what it wrote never counts.
-    """
-    added, gone, newest = _state(spark, table)
-    entries = committed(spark, table)
-    fresh = [e for e in entries if not _is_merge(e)]
-    if touched_only:
-        parts = {p for e in entries for p in ([e] if e.count("/") == 2 else partitions_of(spark, table, e))}
-        touched = {p.rsplit("/", 1)[1] for p in parts if not _is_merge(p)}
-        entries = sorted(p for p in parts if p.rsplit("/", 1)[1] in touched)
-    elif not whole:
-        entries = fresh
-    if not entries or not fresh and not whole:
-        return None
-    target = batch_dir(table, MERGED, fresh_id())
-    save(entries, target)
-    lines = [ADDED + e for e in sorted({*added, target.removeprefix(f"{table}/")})]
-    lines += [GONE + e for e in sorted({*gone, *entries})]
-    files.publish_text(spark, f"{table}/_merges/{newest + 1}", "\n".join([*lines, END]))
-    return target
-
-
-def drop_replaced(spark: SparkSession, table: str) -> list[str]:
-    """Delete what merges have replaced, once no reader needs it."""
-    _, gone, _ = _state(spark, table)
-    dropped = sorted(e for e in gone if files.exists(spark, f"{table}/{e}"))
-    for entry in dropped:
-        files.delete_dir(spark, f"{table}/{entry}")
-    for folder in {e.rsplit("/", 1)[0] for e in dropped if e.count("/") == 2}:
-        if not partitions_of(spark, table, folder):
-            files.delete_dir(spark, f"{table}/{folder}")
-    return dropped
+def save_partitions(rows: DataFrame, partition: str, to: str, only_theirs: bool = False) -> None:
+    """Overwrite the folder ``to``, or in it ``only_theirs``, the partitions that ``rows`` have."""
+    mode = "dynamic" if only_theirs else "static"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition).parquet(to)
 
 
 def strip_batch_columns(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -27,39 +26,3 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     target, fs = _path(spark, pattern)
     found = fs.globStatus(target) or []
     return sorted(status.getPath().toString() for status in found)
-
-
-def total_bytes(spark: SparkSession, paths: list[str]) -> int:
-    return sum(
-        fs.getContentSummary(target).getLength()
-        for target, fs in (_path(spark, path) for path in paths)
-    )
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small text file."""
-    target, fs = _path(spark, path)
-    source = fs.open(target)
-    try:
-        return bytes(source.readAllBytes()).decode("utf-8")
-    finally:
-        source.close()
-
-
-def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file that must not exist yet: of two writers one fails."""
-    target, fs = _path(spark, path)
-    fs.mkdirs(target.getParent())
-    try:
-        out = fs.create(target, False)
-    except Py4JJavaError as failure:
-        if "AlreadyExists" in failure.java_exception.getClass().getName():
-            raise FileExistsError(path) from failure
-        raise
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-
-
-def delete_dir(spark: SparkSession, path: str) -> None:
-    target, fs = _path(spark, path)
-    fs.delete(target, True)

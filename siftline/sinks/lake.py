@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from siftline.operators.convert import lake_rows, with_lake_day
 from siftline.schema import LAKE_DAY, LAKE_SCHEMA, PROFANE_TABLE, PROFANITY, SAFE_TABLE
-from siftline.sinks import batches
+from siftline.sinks import batches, copies
 from siftline.sinks.layout import HASH, TARGET_FILE_BYTES, distribute, target_file_size
 
 DAY_FIELD = T.StructField(LAKE_DAY, T.DateType())
@@ -23,6 +25,11 @@ def table_of(profanity_type: Column) -> Column:
     return F.when(profanity_type == PROFANITY, PROFANE_TABLE).otherwise(SAFE_TABLE)
 
 
+def compacted(table: str) -> str:
+    """Name of the copy of a table that ``compact`` keeps."""
+    return f"{table}_compacted"
+
+
 def route(rows: DataFrame) -> dict[str, DataFrame]:
     return {name: rows.where(table_of(F.col("profanity_type")) == name) for name in TABLES}
 
@@ -44,25 +51,30 @@ class LakeSink:
             for table, part in route(rows).items()
         }
 
-    def _save(self, rows: DataFrame, to: str) -> None:
+    def _save(self, rows: DataFrame, to: str, by_day: bool = False) -> None:
+        """Overwrite ``to``, or the days of ``rows`` in it."""
         with target_file_size(rows.sparkSession, self.file_bytes):
             spread = distribute(rows, self.distribution, LAKE_DAY, SORT, self.writers)
-            spread.write.mode("overwrite").partitionBy(LAKE_DAY).parquet(to)
-
-    def merge(self, spark: SparkSession, table: str, whole: bool = False) -> str | None:
-        """Rewrite small batch folders as files of the target size; no row changes."""
-        return batches.merge_batches(
-            spark,
-            self.path(table),
-            lambda folders, to: self._save(
-                batches.strip_batch_columns(self._read(spark, table, folders)), to
-            ),
-            whole,
-        )
-
-    def _read(self, spark: SparkSession, table: str, folders: list[str] | None = None) -> DataFrame:
-        return batches.read_batches(spark, self.path(table), LAKE_SCHEMA, (DAY_FIELD,), folders)
+            batches.save_partitions(spread, LAKE_DAY, to, only_theirs=by_day)
+
+    def compact(self, spark: SparkSession, table: str, whole: bool = False) -> list[dt.date]:
+        """Bring the compacted copy of a table up to date: the same rows, a day in files of the target size.
+
+        Only days with new batches are written again, or all with ``whole``; returns them.
+        """
+        save = partial(self._save, by_day=True)
+        return copies.refresh(self._batches(spark, table), self.compacted_path(table), LAKE_SCHEMA, DAY_FIELD, lambda rows: rows, save, whole)
+
+    def compacted_path(self, table: str) -> str:
+        return f"{self.root}/{compacted(table)}"
+
+    def _batches(self, spark: SparkSession, table: str) -> DataFrame:
+        return batches.read_batches(spark, self.path(table), LAKE_SCHEMA, (DAY_FIELD,))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """The table's columns and its day, for pruning."""
-        return batches.strip_batch_columns(self._read(spark, table))
+        return batches.strip_batch_columns(self._batches(spark, table))
+
+    def read_compacted(self, spark: SparkSession, table: str) -> DataFrame:
+        """The compacted copy as the last ``compact`` left it."""
+        return copies.read_copy(spark, self.compacted_path(table), LAKE_SCHEMA, DAY_FIELD).drop(copies.MADE_OF)

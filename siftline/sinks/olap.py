@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from siftline.schema import (
     OLAP_STORED_SCHEMA,
     OLAP_TABLE,
 )
-from siftline.sinks import batches, files
-from siftline.sinks.layout import HASH, RANGE, TARGET_FILE_BYTES, distribute, target_file_size
+from siftline.sinks import batches, copies
+from siftline.sinks.layout import HASH, TARGET_FILE_BYTES, distribute, target_file_size
 
 MONTH_FIELD = T.StructField(OLAP_MONTH, T.IntegerType())
 
@@ -82,26 +83,35 @@ class OlapSink:
     def path(self) -> str:
         return f"{self.root}/{self.table}"
 
+    @property
+    def merged(self) -> str:
+        """Name of the table that ``merge`` keeps."""
+        return f"{self.table}_merged"
+
+    @property
+    def merged_path(self) -> str:
+        return f"{self.root}/{self.merged}"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> dict[str, int | None]:
         return {"olap": self.append_stored(stored_rows(batch, batch_id), batch_id)}
 
     def append_stored(self, rows: DataFrame, batch_id: int) -> int | None:
         """Append rows that already have the stored columns; how many, unless the batch was there already."""
         rows = with_event_month(rows)
-        return batches.write_counted(rows.sparkSession, self.path, batch_id, rows, lambda r, to: self._save(r, HASH, to))
+        return batches.write_counted(rows.sparkSession, self.path, batch_id, rows, self._save)
 
-    def _save(self, rows: DataFrame, mode: str, to: str, writers: int | None = None) -> None:
+    def _save(self, rows: DataFrame, to: str, by_month: bool = False) -> None:
+        """Overwrite ``to``, or the months of ``rows`` in it, in files sorted by key."""
         with target_file_size(rows.sparkSession, self.file_bytes):
-            spread = distribute(rows, mode, OLAP_MONTH, OLAP_KEY, writers)
-            ordered = spread.sortWithinPartitions(OLAP_MONTH, *OLAP_KEY)
-            ordered.write.mode("overwrite").partitionBy(OLAP_MONTH).parquet(to)
+            ordered = distribute(rows, HASH, OLAP_MONTH, OLAP_KEY).sortWithinPartitions(OLAP_MONTH, *OLAP_KEY)
+            batches.save_partitions(ordered, OLAP_MONTH, to, only_theirs=by_month)
+
+    def _batches(self, spark: SparkSession) -> DataFrame:
+        return batches.read_batches(spark, self.path, OLAP_STORED_SCHEMA, (MONTH_FIELD,))
 
-    def read_all(self, spark: SparkSession, folders: list[str] | None = None) -> DataFrame:
+    def read_all(self, spark: SparkSession) -> DataFrame:
         """Every stored version, with ``inserted_at``, ``batch_id`` and the month."""
-        stored = batches.read_batches(
-            spark, self.path, OLAP_STORED_SCHEMA, (MONTH_FIELD,), folders
-        )
-        return batches.strip_batch_columns(stored)
+        return batches.strip_batch_columns(self._batches(spark))
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The visible columns of the latest versions, and their month for pruning.
@@ -110,16 +120,15 @@ class OlapSink:
         """
         return latest_versions(self.read_all(spark)).select(*OLAP_FIELDS, OLAP_MONTH)
 
-    def merge(self, spark: SparkSession, whole: bool = False) -> str | None:
-        """Store only the latest versions, in files of the target size sorted by key.
+    def merge(self, spark: SparkSession, whole: bool = False) -> list[int]:
+        """Bring the merged table up to date: latest versions only, in files of the target size sorted by key.
 
-        Versions never leave their month, so only months that new batches have rows in
-        are written again; ``whole`` takes all.
+        Versions never leave their month, so only months with new batches are written again, or all with ``whole``;
+        returns them.
         """
+        save = partial(self._save, by_month=True)
+        return copies.refresh(self._batches(spark), self.merged_path, OLAP_STORED_SCHEMA, MONTH_FIELD, latest_versions, save, whole)
 
-        def save(entries: list[str], to: str) -> None:
-            n_bytes = files.total_bytes(spark, [f"{self.path}/{entry}" for entry in entries])
-            rows = latest_versions(self.read_all(spark, entries))
-            self._save(rows, RANGE, to, writers=max(1, -(-n_bytes // self.file_bytes)))
-
-        return batches.merge_batches(spark, self.path, save, whole=whole, touched_only=not whole)
+    def read_merged(self, spark: SparkSession) -> DataFrame:
+        """The merged table as the last ``merge`` left it: one row a key and month, with the month."""
+        return copies.read_copy(spark, self.merged_path, OLAP_STORED_SCHEMA, MONTH_FIELD).drop(copies.MADE_OF)

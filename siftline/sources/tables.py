@@ -5,32 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siftline.operators.convert import with_event_month
-from siftline.schema import LAKE_SCHEMA, OLAP_KEY, OLAP_MONTH, OLAP_STORED_SCHEMA
+from siftline.schema import LAKE_DAY, LAKE_SCHEMA, OLAP_KEY, OLAP_MONTH, OLAP_STORED_SCHEMA
 from siftline.sinks import files
 from siftline.sinks.batches import batch_dir, committed, current_stream, partitions_of
-from siftline.sinks.lake import TABLES, LakeSink
+from siftline.sinks.lake import TABLES, LakeSink, compacted
 from siftline.sinks.olap import OlapSink
 
 
+# Partitions named in one statement to the catalog.
+AT_ONCE = 500
+
+BATCH_PARTITIONS = "stream_id STRING, batch BIGINT, "
+
+
 def create_lake_tables(spark: SparkSession, namespace: str, lake: LakeSink) -> None:
-    """Namespace and both lake tables over the sink's folders, each only if absent."""
+    """Namespace, both lake tables and their compacted copies over the sink's folders, each only if absent."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
     for table in TABLES:
-        _create(spark, f"{namespace}.{table}", LAKE_SCHEMA, "timestamp_day DATE", lake.path(table))
+        _create(spark, f"{namespace}.{table}", LAKE_SCHEMA, f"{BATCH_PARTITIONS}{LAKE_DAY} DATE", lake.path(table))
+        _create(spark, f"{namespace}.{compacted(table)}", LAKE_SCHEMA, f"{LAKE_DAY} DATE", lake.compacted_path(table))
 
 
 def create_olap_table(spark: SparkSession, namespace: str, olap: OlapSink) -> None:
+    """Namespace, the table of all versions and the merged one, each only if absent."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
-    name = f"{namespace}.{olap.table}"
-    _create(spark, name, OLAP_STORED_SCHEMA, f"{OLAP_MONTH} INT", olap.path)
+    _create(spark, f"{namespace}.{olap.table}", OLAP_STORED_SCHEMA, f"{BATCH_PARTITIONS}{OLAP_MONTH} INT", olap.path)
+    _create(spark, f"{namespace}.{olap.merged}", OLAP_STORED_SCHEMA, f"{OLAP_MONTH} INT", olap.merged_path)
 
 
-def _create(spark: SparkSession, name: str, schema, partition: str, path: str) -> None:
+def _create(spark: SparkSession, name: str, schema, partitions: str, path: str) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(part.split()[0] for part in partitions.split(", "))
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} "
-        f"({columns}, stream_id STRING, batch BIGINT, {partition}) USING parquet "
-        f"PARTITIONED BY (stream_id, batch, {partition.split()[0]}) LOCATION '{files.qualified(spark, path)}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {partitions}) USING parquet "
+        f"PARTITIONED BY ({keys}) LOCATION '{files.qualified(spark, path)}'"
     )
 
 
@@ -49,19 +57,24 @@ def store_bucketed(rows: DataFrame, name: str, path: str, buckets: int | None =
 
 
 def publish(spark: SparkSession, name: str, path: str) -> None:
-    """Make the catalog table show exactly what is committed, as after a merge.
+    """Make the catalog table show all that is committed, as where batches were written without it.
 
-    Only catalog entries change, never files, and only for partitions that came or
-    went since the last call. Reading by path needs no such step.
+    Only catalog entries change, never files. Reading by path needs no such step.
     """
-    shown = {row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    current = set()
-    for entry in committed(spark, path):
-        current.update([entry] if entry.count("/") == 2 else partitions_of(spark, path, entry))
-    stale = [f"PARTITION ({_spec(p)})" for p in sorted(shown - current)]
-    if stale:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(stale)}")
-    _add(spark, name, path, sorted(current - shown))
+    for folder in committed(spark, path):
+        _add(spark, name, path, partitions_of(spark, path, folder))
+
+
+def publish_copies(spark: SparkSession, sinks: list[tuple[str, LakeSink | OlapSink]]) -> None:
+    """Make the catalog show the partitions of the compacted and merged tables that have been made."""
+    for namespace, sink in sinks:
+        if isinstance(sink, LakeSink):
+            made = [(compacted(table), sink.compacted_path(table)) for table in TABLES]
+        else:
+            made = [(sink.merged, sink.merged_path)]
+        for table, path in made:
+            if files.exists(spark, path):
+                spark.sql(f"MSCK REPAIR TABLE {namespace}.{table}")
 
 
 def publish_batch(spark: SparkSession, name: str, path: str, batch_id: int) -> None:
@@ -73,8 +86,8 @@ def publish_batch(spark: SparkSession, name: str, path: str, batch_id: int) -> N
 def _add(spark: SparkSession, name: str, path: str, partitions: list[str]) -> None:
     root = files.qualified(spark, path)
     specs = [f"PARTITION ({_spec(p)}) LOCATION '{root}/{p}'" for p in partitions]
-    if specs:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
+    for first in range(0, len(specs), AT_ONCE):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs[first : first + AT_ONCE])}")
 
 
 def named_tables(sinks: list[tuple[str, LakeSink | OlapSink]]) -> list[tuple[str, str]]:

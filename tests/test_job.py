@@ -144,7 +144,9 @@ def test_default_deployment_by_name_and_path(spark, tmp_path):
     # A table made by another session in the same place sees the same files.
     assert spark.newSession().table(f"{settings.namespace}.{SAFE_TABLE}").count() == 1
     merge_all(spark, settings)
-    assert spark.table(f"{settings.olap_database}.message_events").count() == 2
+    for table in ("message_events", "message_events_merged"):
+        assert spark.table(f"{settings.olap_database}.{table}").count() == 2
+    assert spark.table(f"{settings.namespace}.{SAFE_TABLE}_compacted").count() == 1
     for namespace in (settings.namespace, settings.olap_database):
         spark.sql(f"DROP DATABASE {namespace} CASCADE")
 

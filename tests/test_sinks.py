@@ -11,7 +11,7 @@ from siftline.operators import analytics
 from siftline.operators.classify import classify, profane_only
 from siftline.operators.dedup import latest_versions
 from siftline.schema import LAKE_SCHEMA, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TABLE, SAFE_TABLE
-from siftline.sinks import batches, files
+from siftline.sinks import batches, copies
 from siftline.sinks.feed import FileFeed, TopicFeed
 from siftline.sinks.lake import TABLES, LakeSink
 from siftline.sinks.layout import HASH, NONE, RANGE, distribute, target_file_size
@@ -180,115 +180,100 @@ def test_a_table_cut_by_key_is_deduplicated_without_a_shuffle(spark, tmp_path):
 
 def test_olap_merge_stores_latest_versions_only(spark, tmp_path):
     olap = OlapSink(str(tmp_path))
+    assert olap.merge(spark) == [] and olap.read_merged(spark).count() == 0
     for batch_id in range(3):
         rows = [_row(i, f"v{batch_id}") for i in range(20)]
         olap(_batch(spark, rows, f"2025-06-01T12:0{batch_id}:00Z"), batch_id)
-    before = sorted(map(tuple, olap.read(spark).collect()))
-    olap.merge(spark)
-    assert olap.read_all(spark).count() == 20
-    assert sorted(map(tuple, olap.read(spark).collect())) == before
-    assert analytics.duplicate_keys(olap.read_all(spark)).count() == 0
-    # A batch written after the merge is seen; a second merge takes both in.
+    latest = sorted(map(tuple, olap.read(spark).collect()))
+    assert olap.merge(spark) == [202501]
+    merged = olap.read_merged(spark)
+    assert sorted(map(tuple, merged.select(*OLAP_FIELDS, "event_month").collect())) == latest
+    assert analytics.duplicate_keys(merged).count() == 0
+    # A batch written after the merge is in the versions at once, and in the merged table after the next.
     olap(_batch(spark, [_row(3, "v9")], "2025-06-01T13:00:00Z"), 3)
-    assert olap.read_all(spark).count() == 21
+    assert (olap.read_all(spark).count(), olap.read_merged(spark).where("message_body = 'v9'").count()) == (61, 0)
     olap.merge(spark)
-    assert olap.read_all(spark).count() == 20
-    assert olap.read(spark).where("message_body = 'v9'").count() == 1
-    # The batch a stored row came from survives merging and still breaks ties.
-    assert sorted({r.batch_id for r in olap.read_all(spark).collect()}) == [2, 3]
+    merged = olap.read_merged(spark)
+    assert (merged.count(), merged.where("message_body = 'v9'").count()) == (20, 1)
+    assert sorted({r.batch_id for r in merged.collect()}) == [2, 3]
+    for path in Path(olap.merged_path).glob("event_month=*/*.parquet"):
+        keys = [(r.account_id, r.message_id) for r in spark.read.parquet(str(path)).collect()]
+        assert keys == sorted(keys)
 
 
-def test_replaced_folders_can_be_dropped(spark, tmp_path):
+def test_olap_merge_rewrites_only_months_with_new_batches(spark, tmp_path):
     olap = OlapSink(str(tmp_path))
-    for batch_id in range(2):
-        olap(_batch(spark, [_row(batch_id)]), batch_id)
-    olap.merge(spark)
-    gone = batches.drop_replaced(spark, olap.path)
-    month = "event_month=202501"
-    assert gone == [f"stream_id=direct/batch=0/{month}", f"stream_id=direct/batch=1/{month}"]
-    assert _ids(olap.read(spark)) == ["m0", "m1"]
-    assert batches.drop_replaced(spark, olap.path) == []
-
-
-def test_merge_is_invisible_until_its_list_is_published(spark, tmp_path, monkeypatch):
-    lake = LakeSink(str(tmp_path))
-    for batch_id in range(3):
-        lake(_batch(spark, MIXED), batch_id)
-
-    def lost(*_):
-        raise RuntimeError("driver lost")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(files, "publish_text", lost)
-        with pytest.raises(RuntimeError):
-            lake.merge(spark, SAFE_TABLE)
-    assert lake.read(spark, SAFE_TABLE).count() == 18
-    lake.merge(spark, SAFE_TABLE)
-    assert lake.read(spark, SAFE_TABLE).count() == 18
-    assert len(batches.committed(spark, lake.path(SAFE_TABLE))) == 1
+    olap(_batch(spark, [_row(1), _row(2, timestamp="2025-02-03T00:00:00Z")]), 0)
+    olap(_batch(spark, [_row(3)]), 1)
+    assert olap.merge(spark) == [202501, 202502]
+    february = {p.name for p in Path(olap.merged_path).glob("event_month=202502/*.parquet")}
+    olap(_batch(spark, [_row(1, "newer")], "2025-06-01T13:00:00Z"), 2)
+    assert olap.merge(spark) == [202501]
+    assert {p.name for p in Path(olap.merged_path).glob("event_month=202502/*.parquet")} == february
+    assert {r.message_id: r.message_body for r in olap.read_merged(spark).collect()} == {"m1": "newer", "m2": "fine", "m3": "fine"}
+    assert olap.merge(spark) == []
+    assert olap.merge(spark, whole=True) == [202501, 202502]
+    assert olap.read_merged(spark).count() == 3
 
 
-def test_olap_merge_rewrites_only_months_with_new_rows(spark, tmp_path):
+def test_a_merge_that_dies_is_made_up_for(spark, tmp_path):
     olap = OlapSink(str(tmp_path))
-    both = [_row(1), _row(2, timestamp="2025-02-03T00:00:00Z")]
-    olap(_batch(spark, both), 0)
-    olap(_batch(spark, [_row(3)]), 1)
-    first = olap.merge(spark)
-    olap(_batch(spark, [_row(1, "newer")], "2025-06-01T13:00:00Z"), 2)
-    second = olap.merge(spark)
-    found = batches.committed(spark, olap.path)
-    assert [f"{olap.path}/{f}" for f in found] == [f"{first}/event_month=202502", second]
-    assert {r.message_id: r.message_body for r in olap.read_all(spark).collect()} == {"m1": "newer", "m2": "fine", "m3": "fine"}
-    assert olap.merge(spark) is None
-    batches.drop_replaced(spark, olap.path)
-    assert batches.committed(spark, olap.path) == found and olap.read_all(spark).count() == 3
+    olap(_batch(spark, [_row(1), _row(2, timestamp="2025-02-03T00:00:00Z")]), 0)
+    olap.merge(spark)
+    # Between removing a month and putting its new files there a driver may be lost.
+    for path in Path(olap.merged_path).glob("event_month=202501/*"):
+        path.unlink()
+    assert olap.read(spark).count() == 2
+    assert olap.merge(spark) == [202501]
+    assert _ids(olap.read_merged(spark)) == ["m1", "m2"]
 
 
-def test_interleaved_merges_lose_and_double_nothing(spark, tmp_path, monkeypatch):
-    lake = LakeSink(str(tmp_path))
-    for batch_id in range(3):
-        lake(_batch(spark, MIXED), batch_id)
-    publish = files.publish_text
+def test_two_merges_at_once_lose_and_double_nothing(spark, tmp_path, monkeypatch):
+    olap = OlapSink(str(tmp_path))
+    for batch_id in range(2):
+        olap(_batch(spark, [_row(1, f"v{batch_id}"), _row(2 + batch_id)], f"2025-06-01T12:0{batch_id}:00Z"), batch_id)
+    save = batches.save_partitions
 
-    def slow(*args):
+    def slow(*args, **options):
         with monkeypatch.context() as patch:
-            patch.setattr(files, "publish_text", publish)
-            lake.merge(spark, SAFE_TABLE)  # another merge is done before this one publishes
-        publish(*args)
+            patch.setattr(batches, "save_partitions", save)
+            olap(_batch(spark, [_row(9)], "2025-06-01T13:00:00Z"), 9)
+            olap.merge(spark)  # another merge sees more and is done before this one writes
+        assert _ids(olap.read_merged(spark)) == ["m1", "m2", "m3", "m9"]
+        save(*args, **options)
 
     with monkeypatch.context() as patch:
-        patch.setattr(files, "publish_text", slow)
-        with pytest.raises(FileExistsError):
-            lake.merge(spark, SAFE_TABLE)
-    assert lake.read(spark, SAFE_TABLE).count() == 18
-    assert len(batches.committed(spark, lake.path(SAFE_TABLE))) == 1
+        patch.setattr(batches, "save_partitions", slow)
+        olap.merge(spark)
+    assert _ids(olap.read(spark)) == ["m1", "m2", "m3", "m9"]
+    # The slower one wrote the older state; its mark tells, and the next merge mends it.
+    assert _ids(olap.read_merged(spark)) == ["m1", "m2", "m3"]
+    assert olap.merge(spark) == [202501]
+    assert _ids(olap.read_merged(spark)) == ["m1", "m2", "m3", "m9"]
 
 
-def test_lake_merge_compacts_and_keeps_every_row(spark, tmp_path):
+def test_lake_compaction_keeps_every_row(spark, tmp_path):
     lake = LakeSink(str(tmp_path))
     for batch_id in range(4):
         lake(_batch(spark, MIXED), batch_id)
-    table = lake.path(SAFE_TABLE)
-    before = sorted(map(tuple, lake.read(spark, SAFE_TABLE).collect()))
-    folder = lake.merge(spark, SAFE_TABLE)
-    assert sorted(map(tuple, lake.read(spark, SAFE_TABLE).collect())) == before
-    assert len(list(Path(folder).glob("timestamp_day=*/*.parquet"))) == 3
-    lake(_batch(spark, MIXED), 4)
-    lake.merge(spark, SAFE_TABLE)
-    # A partial merge leaves what an earlier merge wrote alone.
-    merged = batches.committed(spark, table)
-    assert len(merged) == 2 and folder.endswith(merged[0])
-    lake.merge(spark, SAFE_TABLE, whole=True)
-    assert len(batches.committed(spark, table)) == 1
-    assert lake.read(spark, SAFE_TABLE).count() == 30
-
-
-def test_two_merges_from_one_state_cannot_both_publish(spark, tmp_path):
-    path = f"{tmp_path}/_merges/1"
-    files.publish_text(spark, path, "a\n")
-    with pytest.raises(FileExistsError):
-        files.publish_text(spark, path, "b\n")
-    assert Path(path).read_text() == "a\n"
+    days = [dt.date(2025, 1, d) for d in (1, 2, 3)]
+    assert lake.compact(spark, SAFE_TABLE) == days
+    kept = lake.read_compacted(spark, SAFE_TABLE)
+    assert kept.schema == lake.read(spark, SAFE_TABLE).schema
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, lake.read(spark, SAFE_TABLE).collect()))
+    assert len(list(tmp_path.glob(f"{SAFE_TABLE}_compacted/timestamp_day=*/*.parquet"))) == 3
+    lake(_batch(spark, MIXED[:1]), 4)
+    assert lake.compact(spark, SAFE_TABLE) == days[:1]
+    assert lake.read_compacted(spark, SAFE_TABLE).count() == lake.read(spark, SAFE_TABLE).count() == 25
+
+
+def test_a_partition_without_value_is_copied_too(spark, tmp_path):
+    rows = spark.sql("SELECT CAST(NULL AS DATE) AS timestamp_day, 's' AS stream_id, 1L AS batch")
+    other = spark.sql("SELECT DATE'2025-01-01' AS timestamp_day, 's' AS stream_id, 1L AS batch")
+    assert rows.union(other).where(copies.within("timestamp_day", [None])).count() == 1
+    assert rows.union(other).where(copies.within("timestamp_day", [None, dt.date(2025, 1, 1)])).count() == 2
+    found = {r.timestamp_day: r.made_of for r in copies.marks(rows.union(other), "timestamp_day").collect()}
+    assert set(found) == {None, dt.date(2025, 1, 1)} and len(set(found.values())) == 1
 
 
 @pytest.mark.parametrize("mode", [HASH, NONE, RANGE])
@@ -362,7 +347,8 @@ def test_catalog_tables_follow_the_committed_folders(spark, tmp_path):
         tables.create_olap_table(spark, "screening_test", olap)
     spark.range(1).createOrReplaceTempView("a_temporary_view")
     names = {r.tableName for r in tables.list_tables(spark, "screening_test").collect()}
-    assert names == {PROFANE_TABLE, SAFE_TABLE, "message_events"}
+    kept = {f"{PROFANE_TABLE}_compacted", f"{SAFE_TABLE}_compacted", "message_events_merged"}
+    assert names == {PROFANE_TABLE, SAFE_TABLE, "message_events", *kept}
     columns = tables.describe_table(spark, f"screening_test.{SAFE_TABLE}").collect()
     described = {r.col_name: r.data_type for r in columns}
     assert described["timestamp"] == "timestamp_ntz" and described["timestamp_day"] == "date"
@@ -375,10 +361,17 @@ def test_catalog_tables_follow_the_committed_folders(spark, tmp_path):
     for table in TABLES:
         tables.publish(spark, f"screening_test.{table}", lake.path(table))
         assert count(table) == 12
-    lake.merge(spark, SAFE_TABLE)
+    lake.compact(spark, SAFE_TABLE)
     lake(_batch(spark, MIXED), 2)
     tables.publish(spark, f"screening_test.{SAFE_TABLE}", lake.path(SAFE_TABLE))
-    assert count(SAFE_TABLE) == 18
+    olap(_batch(spark, MIXED), 0)
+    for sink_rows in (12, 18):  # a copy by name follows each refresh
+        tables.publish_copies(spark, [("screening_test", lake), ("screening_test", olap)])
+        assert (count(SAFE_TABLE), count(f"{SAFE_TABLE}_compacted")) == (18, sink_rows)
+        lake.compact(spark, SAFE_TABLE)
+        olap.merge(spark)
+    tables.publish_copies(spark, [("screening_test", olap)])
+    assert count("message_events_merged") == 12
     assert tables.sample(spark.table(f"screening_test.{SAFE_TABLE}"), 5).count() == 5
     spark.sql("DROP DATABASE screening_test CASCADE")
     assert lake.read(spark, SAFE_TABLE).count() == 18

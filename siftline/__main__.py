@@ -29,6 +29,7 @@ def sinks_for(spark: SparkSession, settings: Settings) -> FanOut:
         settings.distribution,
         settings.file_bytes,
         settings.writers,
+        measured=True,
     )
     if settings.olap_url:
         olap = JdbcOlap(
@@ -38,7 +39,7 @@ def sinks_for(spark: SparkSession, settings: Settings) -> FanOut:
             f"{settings.olap_database}.{settings.olap_table}",
         )
     else:
-        olap = OlapSink(f"{root}/{settings.olap_database}", settings.olap_table)
+        olap = OlapSink(f"{root}/{settings.olap_database}", settings.olap_table, measured=True)
     sinks = FanOut(
         words=load_words(spark, settings.words_path),
         feed=TopicFeed(settings.bootstrap_servers),

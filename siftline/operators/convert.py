@@ -26,7 +26,7 @@ def event_time(timestamp: Column, ingest_ts: Column) -> Column:
     return F.coalesce(parse_instant(timestamp), ingest_ts)
 
 
-def lake_rows(classified: DataFrame, ingest_ts: Column) -> DataFrame:
+def lake_rows(classified: DataFrame, ingest_ts: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Lake projection; a timestamp that is present but not an instant blanks the row."""
     parsed = parse_instant(F.col("timestamp"))
     usable = F.col("timestamp").isNull() | parsed.isNotNull()
@@ -40,7 +40,7 @@ def lake_rows(classified: DataFrame, ingest_ts: Column) -> DataFrame:
     columns["profanity_type"] = F.when(
         usable, F.coalesce(F.col("profanity_type"), F.lit(SAFE))
     ).otherwise(F.lit(SAFE))
-    return classified.select(*(columns[name].alias(name) for name in MESSAGE_FIELDS))
+    return classified.select(*(columns[name].alias(name) for name in MESSAGE_FIELDS), *keep)
 
 
 def with_lake_day(rows: DataFrame) -> DataFrame:

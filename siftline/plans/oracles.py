@@ -285,6 +285,16 @@ SELECT account_id, message_id, message_body, correlation_id, message_status, "ti
        CASE WHEN profanity_type = 'PROFANITY' THEN 'profanity_messages' ELSE 'safe_messages' END
          AS table_name
 FROM lake""",
+    "lake_in_arrival_order": f"""
+WITH {EVENTS}
+SELECT CASE WHEN profanity_type = 'PROFANITY' THEN 'profanity_messages' ELSE 'safe_messages' END AS table_name,
+       CAST(ts AS DATE) AS timestamp_day, CAST(event_id % 3 AS INTEGER) AS source_partition, event_id AS "offset",
+       row_number() OVER (PARTITION BY profanity_type, CAST(ts AS DATE), event_id % 3 ORDER BY event_id) AS place
+FROM event_messages""",
+    "olap_file_sizes": f"""
+WITH {VERSIONS}
+SELECT CAST(year(event_time) * 100 + month(event_time) AS INTEGER) AS event_month, count(*) AS n_rows, 0 AS files_off_target
+FROM versions WHERE CAST(message_id AS BIGINT) % 8 > 1 GROUP BY 1""",
     "late_rows_audit": f"""
 {AUDIT}
 SELECT source_partition, "offset", event_ts, watermark, coalesce(event_ts < watermark, false) AS is_late

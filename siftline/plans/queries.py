@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from siftline.operators.lexicon import DEFAULT_WORDS, clean_words, inline_words,
 from siftline.plans import views
 from siftline.schema import LAKE_DAY, MESSAGE_FIELDS, OLAP_FIELDS, OLAP_MONTH, PROFANE_TABLE, SAFE_TABLE
 from siftline.session import prepare, shared_dir
-from siftline.sinks.batches import as_stream
+from siftline.sinks.batches import as_stream, batch_dir
 from siftline.sinks.fanout import FanOut, ReportFiles
 from siftline.sinks.feed import FileFeed, RejectFiles, RowFiles
 from siftline.sinks.lake import TABLES, LakeSink, table_of
@@ -261,6 +261,41 @@ def _both_tables(spark: SparkSession, read: Callable[[SparkSession, str], DataFr
     return profane.unionByName(safe)
 
 
+def lake_in_arrival_order(spark, sf_dir):
+    """Rows of the stored lake tables, numbered within their day and source partition as they lie in the files."""
+    lake = LakeSink(shared_dir(spark, "in_order"), writers=5, in_order=True)
+    arrived = classify(views.positioned_event_messages(_events(spark, sf_dir)), views.EVENT_WORDS)
+    batch = arrived.withColumn("ingest_ts", views.ingest_ts())
+    half = _events(spark, sf_dir).agg((F.max("event_id") / 2).alias("half")).scalar()
+    with as_stream(spark, "ordered"):
+        for batch_id, part in enumerate((F.col("offset") <= half, F.col("offset") > half)):
+            lake(batch.where(part), batch_id)
+    rows = _both_tables(spark, lake.read_as_stored)
+    as_read = Window.partitionBy("table_name", LAKE_DAY, "source_partition").orderBy("stored")
+    return rows.select("table_name", LAKE_DAY, "source_partition", "offset", F.row_number().over(as_read).alias("place"))
+
+
+# Target size of the files of ``olap_file_sizes``, so small that a month becomes several at every scale.
+SMALL_FILE = 48 * 1024
+
+
+def olap_file_sizes(spark, sf_dir):
+    """Of a batch whose files are sized by those of the two before: rows a month, and files that are further than a
+    quarter from the target where a month takes several."""
+    sink = OlapSink(shared_dir(spark, "file_sizes"), file_bytes=SMALL_FILE, measured=True)
+    rows = _versions(spark, sf_dir)
+    with as_stream(spark, "sized"):
+        for batch_id in range(3):
+            part = rows.where(F.least(F.col("message_id") % 8, F.lit(2)) == batch_id).persist()
+            sink.append_stored(part, batch_id)
+            part.unpersist()
+    stored = spark.read.parquet(batch_dir(sink.path, "sized", 2))
+    files = stored.groupBy(OLAP_MONTH, "_metadata.file_path", "_metadata.file_size").agg(F.count("*").alias("n"))
+    far = F.abs(F.col("file_size") - SMALL_FILE) * 4 > SMALL_FILE
+    off = F.when(F.count("*") > 1, F.count_if(far)).otherwise(0)
+    return files.groupBy(OLAP_MONTH).agg(F.sum("n").alias("n_rows"), off.alias("files_off_target"))
+
+
 # The analytics queries on what the sinks stored
 
 
@@ -518,6 +553,8 @@ ALL: dict[str, Query] = {
         bucketed_duplicate_keys,
         merged_table,
         lake_after_replay,
+        lake_in_arrival_order,
+        olap_file_sizes,
         stored_recent_messages,
         stored_messages_per_hour,
         stored_daily_trend,

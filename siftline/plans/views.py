@@ -96,6 +96,13 @@ def irregular_event_messages(events: DataFrame) -> DataFrame:
     return event_messages(events, "event_id", "ts").withColumn("timestamp", stamp).drop("event_id", "ts")
 
 
+def positioned_event_messages(events: DataFrame) -> DataFrame:
+    """Event messages from three partitions of a source."""
+    return event_messages(events, "event_id").select(
+        *MESSAGE_FIELDS, (F.col("event_id") % 3).cast("int").alias("source_partition"), F.col("event_id").alias("offset")
+    )
+
+
 def conversation_values(conversations: DataFrame) -> DataFrame:
     """Turns as JSON values with their arrival position, some of them undecodable.
 

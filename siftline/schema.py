@@ -29,6 +29,10 @@ LAKE_SCHEMA = T.StructType(
 )
 LAKE_DAY = "timestamp_day"
 
+# Where a source brings it, the place of a row in its source.
+POSITION_SCHEMA = T.StructType([T.StructField("source_partition", T.IntegerType()), T.StructField("offset", T.LongType())])
+POSITION = tuple(POSITION_SCHEMA.fieldNames())
+
 # Analytics rows: ``timestamp`` becomes ``event_time``.
 OLAP_FIELDS = tuple("event_time" if name == "timestamp" else name for name in MESSAGE_FIELDS)
 OLAP_SCHEMA = T.StructType(

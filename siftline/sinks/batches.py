@@ -92,6 +92,12 @@ def committed(spark: SparkSession, table: str) -> list[str]:
     return ["/".join(mark.split("/")[-3:-1]) for mark in marks]
 
 
+def newest(spark: SparkSession, table: str, n: int = 3) -> list[str]:
+    """Paths of the ``n`` committed batches with the highest numbers."""
+    found = sorted(committed(spark, table), key=lambda folder: int(folder.rsplit("=", 1)[1]))
+    return [f"{table}/{folder}" for folder in found[-n:] if partitions_of(spark, table, folder)]
+
+
 def partitions_of(spark: SparkSession, table: str, folder: str) -> list[str]:
     """The partition folders of a batch folder, relative to the table."""
     return [f"{folder}/{p.rsplit('/', 1)[1]}" for p in files.matching(spark, f"{table}/{folder}/*=*")]

@@ -20,7 +20,7 @@ from siftline.schema import (
     OLAP_TABLE,
 )
 from siftline.sinks import batches, copies
-from siftline.sinks.layout import HASH, TARGET_FILE_BYTES, distribute, target_file_size
+from siftline.sinks.layout import HASH, TARGET_FILE_BYTES, bytes_per_row, distribute, sized, target_file_size
 
 MONTH_FIELD = T.StructField(OLAP_MONTH, T.IntegerType())
 
@@ -78,6 +78,8 @@ class OlapSink:
     root: str
     table: str = OLAP_TABLE
     file_bytes: int = TARGET_FILE_BYTES
+    # Go by the bytes a row took in the newest batches, not by its size before encoding.
+    measured: bool = False
 
     @property
     def path(self) -> str:
@@ -102,8 +104,11 @@ class OlapSink:
 
     def _save(self, rows: DataFrame, to: str, by_month: bool = False) -> None:
         """Overwrite ``to``, or the months of ``rows`` in it, in files sorted by key."""
-        with target_file_size(rows.sparkSession, self.file_bytes):
-            ordered = distribute(rows, HASH, OLAP_MONTH, OLAP_KEY).sortWithinPartitions(OLAP_MONTH, *OLAP_KEY)
+        spark = rows.sparkSession
+        taken = bytes_per_row(spark, self.path, batches.newest(spark, self.path), self.file_bytes) if self.measured else None
+        with target_file_size(spark, self.file_bytes):
+            spread = sized(rows, OLAP_MONTH, max(1, round(self.file_bytes / taken))) if taken else distribute(rows, HASH, OLAP_MONTH, OLAP_KEY)
+            ordered = spread.sortWithinPartitions(OLAP_MONTH, *OLAP_KEY)
             batches.save_partitions(ordered, OLAP_MONTH, to, only_theirs=by_month)
 
     def _batches(self, spark: SparkSession) -> DataFrame:

@@ -14,7 +14,7 @@ from siftline.schema import LAKE_SCHEMA, MESSAGE_FIELDS, OLAP_FIELDS, PROFANE_TA
 from siftline.sinks import batches, copies
 from siftline.sinks.feed import FileFeed, TopicFeed
 from siftline.sinks.lake import TABLES, LakeSink
-from siftline.sinks.layout import HASH, NONE, RANGE, distribute, target_file_size
+from siftline.sinks.layout import HASH, NONE, RANGE, bytes_per_row, distribute, sized, target_file_size
 from siftline.sinks.olap import OlapSink
 from siftline.sources import tables
 from siftline.sources.local import messages
@@ -306,6 +306,61 @@ def test_range_mode_splits_equal_rows(spark):
     assert sum(sizes) == 8000 and max(sizes) <= 3000
 
 
+def test_sized_files_cut_a_hot_day_and_keep_small_ones_whole(spark, tmp_path):
+    # One day has most rows, twenty have few, one none of 1.5 files' worth, and some rows have no day.
+    day = "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 3 <> 0 THEN date'2025-01-01' ELSE date_add(date'2025-02-01', cast(id % 7 as int)) END"
+    rows = spark.range(0, 50_000, 1, 4).selectExpr("id", f"{day} AS timestamp_day").persist()
+    spread = sized(rows, "timestamp_day", 4000)
+    assert spread.columns == rows.columns
+    spread.write.partitionBy("timestamp_day").parquet(f"{tmp_path}/t")
+    back = spark.read.parquet(f"{tmp_path}/t")
+    assert sorted(map(tuple, back.select("id").collect())) == [(i,) for i in range(50_000)]
+    files = back.groupBy("timestamp_day", "_metadata.file_name").count().collect()
+    hot = [r["count"] for r in files if r.timestamp_day == dt.date(2025, 1, 1)]
+    assert len(hot) == round(sum(hot) / 4000) and all(0.9 < n * len(hot) / sum(hot) < 1.1 for n in hot)
+    assert len(files) - len(hot) == 8  # seven days and the rows without a day, each whole
+    assert spread.rdd.getNumPartitions() <= len(hot) + 5  # small days share tasks
+    empty = rows.where("id < 0")
+    assert sized(empty, "timestamp_day", 4000).count() == 0
+    assert all(sized(rows.limit(n), "timestamp_day", 1).count() == n for n in (1, 30))
+    rows.unpersist()
+
+
+def test_files_are_sized_by_those_of_earlier_batches(spark, tmp_path):
+    assert bytes_per_row(spark, str(tmp_path), [], 1000) is None
+    lake = LakeSink(str(tmp_path), file_bytes=32 * 1024, measured=True)
+    for batch_id, n in ((0, 0), (1, 4000), (2, 40_000)):
+        ids = spark.range(n).selectExpr("cast(id as string) AS message_id", "sha2(cast(id as string), 256) AS message_body", "'2025-01-01T10:00:00Z' AS timestamp")
+        nulls = [F.lit(None).cast("string").alias(c) for c in ("account_id", "correlation_id", "message_status")]
+        batch = ids.select("*", *nulls, F.lit("SAFE").alias("profanity_type"), F.lit("2025-06-01").cast("timestamp").alias("ingest_ts"))
+        lake(batch, batch_id)
+    assert lake.read(spark, SAFE_TABLE).count() == 44_000
+    sizes = [p.stat().st_size for p in tmp_path.glob(f"{SAFE_TABLE}/stream_id=direct/batch=2/*/*.parquet")]
+    assert len(sizes) > 40 and all(abs(size / (32 * 1024) - 1) < 0.25 for size in sizes)
+
+
+def test_files_keep_the_order_of_the_source(spark, tmp_path):
+    lake = LakeSink(str(tmp_path), writers=6, in_order=True)
+    rows = [(i, _row(i, day=1 + i % 2)) for i in range(2000)]
+    mixed = sorted(rows, key=lambda row: hash((row[0], "mixed")))
+    stamped = _batch(spark, [row for _, row in mixed]).repartition(7)
+    place = F.substring("message_id", 2, 9).cast("int")
+    batch = stamped.withColumns({"source_partition": place % 3, "offset": F.when(place % 500 != 0, place).cast("long")})
+    lake(batch, 0)
+    found = lake.read_as_stored(spark, SAFE_TABLE)
+    kept = [(r.timestamp_day, r.source_partition, r.offset) for r in found.orderBy("stored").collect()]
+    assert len(kept) == 2000 and found.select("stored.file").distinct().count() > 4
+    for day in (1, 2):
+        for source in range(3):
+            offsets = [o if o is not None else -1 for d, s, o in kept if d == dt.date(2025, 1, day) and s == source]
+            assert offsets == sorted(offsets)
+    # The places are beside the table's columns, not among them; a batch without places has none.
+    assert lake.read(spark, SAFE_TABLE).columns == [*MESSAGE_FIELDS, "timestamp_day"]
+    lake(_batch(spark, MIXED), 1)
+    assert lake.read_as_stored(spark, SAFE_TABLE).where("source_partition IS NULL").count() == 6
+    assert lake.read(spark, SAFE_TABLE).count() == 2006
+
+
 def test_writer_count_and_unknown_mode(spark):
     rows = spark.range(100).selectExpr("id AS message_id", "date'2025-01-01' AS timestamp_day")
     for mode in (NONE, RANGE):

@@ -4,8 +4,8 @@ Documents are dealt to shards by content, so that lexical neighbours meet whatev
 a document are three weighted min-hashes of its terms: the chance that two documents share one is their weighted
 overlap, and copies share all. Documents are ordered by their key and the order is cut into shards of a bounded
 number of tokens; a frequent first hash is spread by the second, and a key that very many documents share by row. One
-pass tokenises, hashes and counts in how many documents a term occurs. The weights of the hashes come from a
-bounded sample, those of BM25 from all documents.
+pass tokenises and counts in how many documents a term occurs; the weights of the hashes and those of BM25 come from
+these counts, of all documents.
 
 A task indexes a shard and fills one window after another: the seed comes first, then its unused BM25
 neighbours, best first. The document that is cut at the end of a window is the next seed, so only the last window
@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from siftline.llm.common import slices, texts, written
@@ -36,7 +37,6 @@ WINDOW = 2048
 SHARD_TOKENS = 1 << 20
 SPREAD_TOKENS = 1 << 20  # a first hash with more is spread by the second
 HOT_TOKENS = 16 << 20  # a key with more is spread by row; at most tokens / HOT_TOKENS keys are
-SAMPLE_DOCS = 4096
 HASHES = 3
 CACHE_WORDS = 200_000
 MET_FLAGS = 1 << 22
@@ -94,6 +94,7 @@ class WordTokens:
 
     def __init__(self, path: str, end_id: int | None, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
+        self.path, self.end_id = path, end_id
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         vocabulary = self._tokenizer.get_vocab()
@@ -228,39 +229,52 @@ class Keys:
         return out
 
 
-_TOKENS = "doc_id long, ids binary, n int, " + ", ".join(f"h{k} int" for k in range(HASHES)) + ", counts binary"
+_TOKENS = "doc_id long, ids binary, n int, counts binary"
+_HASHES = ", ".join(f"h{k} int" for k in range(HASHES))
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, keys: tuple[np.ndarray, float]) -> DataFrame:
-    """Two sorts of rows. Of documents: little-endian ids of the whole text and the end id, how many, and the key; a null text has
-    the end id alone. Of tasks: in how many of its documents each term occurs, then documents and tokens in all.
+def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, weights: tuple[np.ndarray, float] | None = None) -> DataFrame:
+    """Two sorts of rows. Of documents: little-endian ids of the whole text and the end id, and how many; a null text has
+    the end id alone. Of tasks: in how many of its documents each term occurs, then documents and tokens in all. With
+    ``weights``, the keys are added.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches):
-        tokens, key = word_tokens(tokenizer_path, end_id), Keys(*shared.value)
+        tokens = word_tokens(tokenizer_path, end_id)
         found, total, size = np.zeros(tokens.vocabulary, np.int64), 0, 0
         for batch in batches:
             for part in slices(batch):
                 encoded = tokens.encode_all(texts(part))
-                hashes, lengths = [], []
+                lengths = []
                 for at in range(0, len(encoded), COUNT_DOCS):
                     ids = [np.frombuffer(data, tokens.dtype) for data in encoded[at : at + COUNT_DOCS]]
-                    n = np.array([len(x) for x in ids], np.int64)
-                    owner, terms, tf = terms_by_document(ids)
-                    found += np.bincount(terms, minlength=len(found))
-                    hashes.append(key.of(len(ids), owner, terms, tf, n))
-                    lengths.append(n)
-                total, size = total + part.num_rows, size + sum(int(n.sum()) for n in lengths)
-                columns = {"doc_id": part.column(0), "ids": pa.array(encoded, pa.binary()), "n": pa.array(np.concatenate(lengths), pa.int32())}
-                columns |= {f"h{k}": pa.array(h) for k, h in enumerate(np.concatenate(hashes, axis=1))}
+                    found += np.bincount(terms_by_document(ids)[1], minlength=len(found))
+                    lengths += map(len, ids)
+                total, size = total + part.num_rows, size + sum(lengths)
+                columns = {"doc_id": part.column(0), "ids": pa.array(encoded, pa.binary()), "n": pa.array(lengths, pa.int32())}
                 yield pa.RecordBatch.from_pydict(columns | {"counts": pa.nulls(part.num_rows, pa.binary())})
         nothing = {"doc_id": pa.nulls(1, pa.int64()), "ids": pa.nulls(1, pa.binary()), "n": pa.nulls(1, pa.int32())}
-        nothing |= {f"h{k}": pa.nulls(1, pa.int32()) for k in range(HASHES)}
         counts = np.concatenate((found, [total, size])).astype("<i8").tobytes()
         yield pa.RecordBatch.from_pydict(nothing | {"counts": pa.array([counts], pa.binary())})
 
-    return docs.select("doc_id", "text").mapInArrow(run, _TOKENS)
+    out = docs.select("doc_id", "text").mapInArrow(run, _TOKENS)
+    return out if weights is None else keyed(out, word_tokens(tokenizer_path, end_id).dtype, weights)
+
+
+def keyed(tokenized: DataFrame, dtype: np.dtype, weights: tuple[np.ndarray, float]) -> DataFrame:
+    """The rows with the key of each document; -1 for one without ids."""
+    shared = tokenized.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        key = Keys(*shared.value)
+        for batch in batches:
+            for part in slices(batch, COUNT_DOCS):
+                ids = [np.frombuffer(data.as_buffer() or b"", dtype) for data in part.column("ids")]
+                hashes = key.of(len(ids), *terms_by_document(ids), np.array([len(x) for x in ids], np.int64))
+                columns = dict(zip(part.schema.names, part.columns, strict=True))
+                yield pa.RecordBatch.from_pydict(columns | {f"h{k}": pa.array(h) for k, h in enumerate(hashes)})
+
+    return tokenized.mapInArrow(run, StructType(tokenized.schema.fields + StructType.fromDDL(_HASHES).fields))
 
 
 def term_counts(tokenized: DataFrame, vocabulary: int) -> tuple[np.ndarray, int, int]:
@@ -281,16 +295,16 @@ def term_counts(tokenized: DataFrame, vocabulary: int) -> tuple[np.ndarray, int,
     return out[:-2], int(out[-2]), int(out[-1])
 
 
-def sampled_weights(docs: DataFrame, tokens: WordTokens) -> tuple[np.ndarray, float]:
-    """Term weights and the mean length from about SAMPLE_DOCS documents: the hashes only decide which documents meet."""
-    total = docs.count()
-    chosen = F.pmod(F.xxhash64(F.crc32(F.encode("text", "utf-8"))), F.lit(max(1, total // SAMPLE_DOCS))) == 0
-    rows = docs.where(chosen).select("text").limit(SAMPLE_DOCS).toArrow()
-    ids = [np.frombuffer(data, tokens.dtype) for data in tokens.encode_all([t or "" for t in rows["text"].to_pylist()])]
-    if not ids:
-        return np.ones(tokens.vocabulary), 1.0
-    found = np.bincount(terms_by_document(ids)[1], minlength=tokens.vocabulary)
-    return inverse_frequencies(found, len(ids)), max(1.0, sum(map(len, ids)) / len(ids))
+def term_weights(docs: DataFrame, tokens: WordTokens) -> tuple[np.ndarray, float]:
+    """Weights of terms and the mean length, from all documents."""
+    return weights_of(*term_counts(tokenize(docs, tokens.path, tokens.end_id), tokens.vocabulary))
+
+
+def weights_of(counts: np.ndarray, total: int, size: int) -> tuple[np.ndarray, float]:
+    return inverse_frequencies(counts, total), max(1.0, size / max(total, 1))
+
+
+sampled_weights = term_weights  # the name of before; nothing is sampled
 
 
 class Bm25Shard:
@@ -397,12 +411,13 @@ def dealt(tokenized: DataFrame) -> DataFrame:
     spark = tokenized.sparkSession
     docs = tokenized.where("counts IS NULL").drop("counts")
     names = [f"h{k}" for k in range(HASHES)]
-    firsts = docs.groupBy("h0").agg(F.sum("n").alias("_first"))  # as many rows as the vocabulary has ids
-    hot = docs.groupBy(*names).agg(F.sum("n").alias("_key")).where(F.col("_key") > HOT_TOKENS)
+    sizes = written(docs.groupBy(*names).agg(F.sum("n").alias("_key")), "keys")  # the keys are made twice, not stored with the ids
+    firsts = sizes.groupBy("h0").agg(F.sum("_key").alias("_first"))  # as many rows as the vocabulary has ids
+    hot = sizes.where(F.col("_key") > HOT_TOKENS)
     sized = docs.join(F.broadcast(firsts), "h0").join(F.broadcast(hot), names, "left")
     second = F.when(F.col("_first") > SPREAD_TOKENS, F.col("h1")).otherwise(0)
     salt = F.coalesce(F.pmod(F.xxhash64("place"), F.ceil(F.col("_key") / HOT_TOKENS)), F.lit(0))
-    tokens = docs.agg(F.sum("n")).first()[0] or 0
+    tokens = sizes.agg(F.sum("_key")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tokens / (8 * SHARD_TOKENS)))
     keyed = sized.select("doc_id", "ids", *names, "place", second.alias("_second"), salt.alias("_salt"))
     return keyed.repartition(tasks, "h0", "_second", "_salt").sortWithinPartitions(*names, "_salt", "place").select("doc_id", "ids")
@@ -418,10 +433,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
     spark = docs.sparkSession
     tokens = word_tokens(tokenizer_path, end_id)
     dtype = tokens.dtype
-    tokenized = tokenize(docs, tokenizer_path, end_id, sampled_weights(docs, tokens))
+    tokenized = tokenize(docs, tokenizer_path, end_id)
     tokenized = written(tokenized.withColumn("place", F.monotonically_increasing_id()), "tokens")
-    counts, total, size = term_counts(tokenized, tokens.vocabulary)
-    shared = spark.sparkContext.broadcast((inverse_frequencies(counts, total), size / max(total, 1)))
+    weights = weights_of(*term_counts(tokenized, tokens.vocabulary))
+    shared = spark.sparkContext.broadcast(weights)
 
     def shards(batches):
         doc_ids, ids, held = [], [], 0
@@ -446,4 +461,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
             yield _rows(sequences, doc_ids, ids, next_sequence, window)
             next_sequence += len(sequences)
 
-    return dealt(tokenized).mapInArrow(run, _SCHEMA)
+    return dealt(keyed(tokenized.where("counts IS NULL"), dtype, weights)).mapInArrow(run, _SCHEMA)

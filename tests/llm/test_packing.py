@@ -169,6 +169,19 @@ def test_counts_of_one_pass_are_those_of_the_documents(spark, whole):
     assert counts.tolist() == expected.tolist() and (total, size) == (len(ids), sum(map(len, ids)))
 
 
+def test_hashes_are_weighted_by_all_documents(spark, whole, monkeypatch):
+    rows = [(i, f"alpha w{i % 3}") for i in range(5000)] + [(9000 + i, "beta gamma") for i in range(3000)]
+    docs, seen, made = spark.createDataFrame(rows, "doc_id long, text string"), [], packing.keyed
+    monkeypatch.setattr(packing, "keyed", lambda tokenized, dtype, weights: seen.append(weights) or made(tokenized, dtype, weights))
+    packing.pack(docs, PATH)
+    ids = [[*whole(text), 1] for _, text in rows]
+    counts = np.zeros(packing.word_tokens(PATH, 1).vocabulary)
+    for x in ids:
+        counts[np.unique(x)] += 1
+    idf, mean_tokens = seen[0]
+    assert idf == pytest.approx(packing.inverse_frequencies(counts, len(ids))) and mean_tokens == sum(map(len, ids)) / len(ids)
+
+
 def test_hot_keys_are_spread(spark, whole, monkeypatch):
     monkeypatch.setattr(packing, "SPREAD_TOKENS", 500)
     monkeypatch.setattr(packing, "HOT_TOKENS", 1000)

@@ -25,13 +25,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from siftline.llm.common import slices, texts, written
+from siftline.llm.common import slices, text_slices, written
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 20
@@ -39,57 +40,35 @@ SPREAD_TOKENS = 1 << 20  # a first hash with more is spread by the second
 HOT_TOKENS = 16 << 20  # a key with more is spread by row; at most tokens / HOT_TOKENS keys are
 HASHES = 3
 CACHE_WORDS = 200_000
-MET_FLAGS = 1 << 22
-GROUP_WORDS = 200_000
+TOGETHER = 1000
+GROUP_BYTES = 8 << 20
 COUNT_DOCS = 256
 K1, B = 1.2, 0.75
 
-# Control characters that Python takes for blanks and the tokenizer does not.
-_ODD_BLANK = re.compile("[\x1c-\x1f]")
-# A single mark between a letter or digit and a blank is a unit of its own.
-_LONE_MARK = re.compile(r"(?<=[^\W_])([,.;:!?])(?=\s|$)")
 # Behind the letters of a word a run of these marks is a unit of its own for the tokenizer; an apostrophe may not be.
 _MARKS = string.punctuation.replace("'", "")
 _WORD_END = "</w>"
+_BLANKS = re.compile("[\t-\r ]+")
+
+
+def _has_lower(text: str, lower: str) -> bool:
+    """Whether no character's lower case depends on its place, or on composing."""
+    return text.isascii() or (len(lower) == len(text) and "Σ" not in text and unicodedata.is_normalized("NFC", text))
 
 
 def _lowered(text: str) -> str:
-    """The text in lower case, where each letter has a lower case of its own: what spellings share is then known at once."""
+    """The text in lower case, but for words whose lower case is left to the tokenizer."""
     lower = text.lower()
-    if text.isascii() or (len(lower) == len(text) and "Σ" not in text and unicodedata.is_normalized("NFC", text)):
+    if _has_lower(text, lower):
         return lower
-    return text
-
-
-class _Known(dict):
-    """What has been learnt. Strings met for the first time are forgotten again, as most are never met twice."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self._met, self._most = bytearray(MET_FLAGS), most
-
-    def forget_new(self, new) -> None:
-        met = self._met
-        for key in new:
-            flag = hash(key) & (MET_FLAGS - 1)
-            if not met[flag]:
-                met[flag] = 1
-                del self[key]
-
-    def make_room(self) -> bool:
-        if len(self) <= self._most:
-            return False
-        self.clear()
-        self._met = bytearray(MET_FLAGS)
-        return True
+    return " ".join(low if _has_lower(word, low := word.lower()) else word for word in _BLANKS.split(text))
 
 
 class WordTokens:
-    """Ids of texts by a tokenizer that drops blanks: each word between blanks is encoded once and remembered.
+    """Ids of texts by a tokenizer that drops blanks: each distinct word between blanks is looked up, or encoded, once.
 
-    Spellings of a word that differ in case or in the mark behind it share what is known of
-    its letters. Unknown letters are encoded together, and their ids told apart by the tokens
-    that end a word.
+    A word is its letters and the marks behind them. Unknown units of this sort are encoded together, and
+    their ids told apart by the tokens that end a word; what has long not been met is forgotten.
     """
 
     def __init__(self, path: str, end_id: int | None, cache_words: int = CACHE_WORDS):
@@ -97,76 +76,63 @@ class WordTokens:
         self.path, self.end_id = path, end_id
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        # Units are normal and apart: the same model encodes them without looking for that again.
+        self._units = Tokenizer.from_file(path)
+        self._units.encode_special_tokens = True
+        self._units.normalizer = None
+        self._units.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.vocabulary = len(self._ends)
         self.dtype = np.dtype("<u2" if len(self._ends) <= 1 << 16 else "<u4")
         self._end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        # Letters are fewer than words and dear to encode: all are kept while there is room.
-        self._known, self._letters = _Known(cache_words), _Known(cache_words)
+        self._most, self._known, self._before = cache_words, {"": b""}, {"": b""}
 
     def encode(self, text: str) -> bytes:
         """The ids as bytes of ``dtype``, with the end id."""
-        return self.encode_all([text])[0]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; the new words of many texts are learnt together."""
-        out, held, size = [], [], 0
-        for text in texts:
-            odd = bool(_ODD_BLANK.search(text))
-            held.append((odd, [text] if odd else _LONE_MARK.sub(r" \1", _lowered(text)).split()))
-            size += len(held[-1][1])
-            if size >= GROUP_WORDS:
-                out += self._encode_group(held)
-                held, size = [], 0
-        return out + self._encode_group(held)
-
-    def _encode_group(self, held: list[tuple[bool, list[str]]]) -> list[bytes]:
-        self._known.make_room()
-        new = set().union(*(w for odd, w in held if not odd)).difference(self._known)
-        self._learn(new)
-        get, end = self._known.__getitem__, self._end
-        out = [(self._whole(w)[0] if odd else b"".join(map(get, w))) + end for odd, w in held]
-        self._known.forget_new(new)
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        known, letters, parted, others = self._known, self._letters, [], []
-        letters.make_room()
-        letters[""] = b""
-        # Most words are ASCII letters alone: they are taken all at once.
-        simple = [word for word in words if word.isascii() and word.isalpha()]
-        lowers = " ".join(simple).lower().split()
-        self._learn_letters(set(lowers))
-        known.update(zip(simple, map(letters.__getitem__, lowers), strict=True))
-        for word in words.difference(simple):
-            core = word.rstrip(_MARKS)
-            mark, lower = word[len(core) :], core.lower()
-            # Characters whose lower case depends on their place, or on composing, are left to the tokenizer.
-            plain = (core.isalpha() or not core) and (
-                core.isascii() or (len(lower) == len(core) and "Σ" not in core and unicodedata.is_normalized("NFC", core))
-            )
-            if not plain:
-                others.append(word)
-            elif lower in letters and mark in letters:
-                known[word] = letters[lower] + letters[mark]
-            else:
-                parted.append((word, lower, mark))
-        self._learn_letters({part for _, lower, mark in parted for part in (lower, mark)})
-        for word, lower, mark in parted:
-            known[word] = letters[lower] + letters[mark]
+        return self.encode_column(pa.array([text], pa.string()))[0].as_py()
+
+    def encode_column(self, column: pa.Array) -> pa.BinaryArray:
+        """The ids of each text of a column; a null is the empty text."""
+        if not len(column):
+            return pa.array([], pa.binary())
+        lowered = [_lowered(text or "") for text in column.to_numpy(zero_copy_only=False)]
+        # Blanks of ASCII part units for every tokenizer of this sort; a word with others inside is left to it.
+        words = pc.ascii_split_whitespace(pa.array(lowered, pa.large_string()))
+        firsts, coded = words.offsets.to_numpy() - words.offsets[0].as_py(), words.flatten().dictionary_encode()
+        units, parts = _parted(coded.dictionary)
+        ids = pa.array([*self._ids_of(units.to_numpy(zero_copy_only=False).tolist()), self._end], pa.binary())
+        codes = np.insert(parts[coded.indices.to_numpy()].ravel(), 2 * firsts[1:], len(units))  # the end id of each text
+        joined = ids.take(pa.array(codes))
+        _, ends, data = joined.buffers()
+        bounds = np.frombuffer(ends, np.int32, len(codes) + 1, joined.offset * 4)[2 * firsts + np.arange(len(firsts))]
+        return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(bounds), data])
+
+    def _ids_of(self, units: list[str]) -> list[bytes]:
+        """The ids of distinct units."""
+        if len(self._known) > self._most:
+            self._before, self._known = self._known, {}
+        known, before = self._known, self._before
+        new = [unit for unit in units if unit not in known]
+        met = [unit for unit in new if unit in before]
+        known.update(zip(met, map(before.__getitem__, met), strict=True))
+        plain, others = [], []
+        for unit in new:
+            if unit not in before:
+                alone = unit.isascii() and unit.isalpha() or not unit.strip(_MARKS) or unit.isalpha() and _has_lower(unit, unit.lower())
+                (plain if alone else others).append(unit)
+        for at in range(0, len(plain), TOGETHER):
+            part = plain[at : at + TOGETHER]
+            known.update(zip(part, self._together(part), strict=True))
         known.update(zip(others, self._whole(others), strict=True))
-
-    def _learn_letters(self, units: set[str]) -> None:
-        fresh = list(units.difference(self._letters))
-        self._letters.update(zip(fresh, self._together(fresh), strict=True))
+        return list(map(known.__getitem__, units))
 
     def _together(self, units: list[str]) -> list[bytes]:
         """Ids of single units, encoded as one text."""
-        if not units:
-            return []
-        ids = np.array(self._tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, self.dtype)
+        ids = np.array(self._units.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, self.dtype)
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) != len(units) or ends[-1] != len(ids):
             return self._whole(units)
@@ -179,6 +145,20 @@ class WordTokens:
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
 
+def _parted(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Distinct units, and of each word the two that it consists of: letters and the marks behind them, or itself and nothing."""
+    cores = pc.utf8_rtrim(words, characters=_MARKS)
+    marks = pc.replace_substring_regex(words, r"^\pL+", "")
+    sizes = pc.add(pc.binary_length(cores), pc.binary_length(marks))
+    # A word that the tokenizer has to make normal stays whole.
+    normal = pc.string_is_ascii(cores).to_numpy(zero_copy_only=False).copy()
+    normal[~normal] = [_has_lower(core, core.lower()) for core in cores.filter(pa.array(~normal)).to_numpy(zero_copy_only=False)]
+    plain = pc.and_(pc.and_(pc.utf8_is_alpha(cores), pa.array(normal)), pc.equal(sizes, pc.binary_length(words)))
+    both = pa.concat_arrays([pc.if_else(plain, cores, words), pc.if_else(plain, marks, "")])
+    coded = both.dictionary_encode()
+    return coded.dictionary, np.ascontiguousarray(coded.indices.to_numpy().reshape(2, -1).T)
+
+
 @lru_cache(maxsize=2)
 def word_tokens(path: str, end_id: int | None) -> WordTokens:
     """One per process: the next task of a worker goes on with what the last one learnt."""
@@ -243,15 +223,15 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, weights: tuple[n
         tokens = word_tokens(tokenizer_path, end_id)
         found, total, size = np.zeros(tokens.vocabulary, np.int64), 0, 0
         for batch in batches:
-            for part in slices(batch):
-                encoded = tokens.encode_all(texts(part))
+            for part in text_slices(batch, most=GROUP_BYTES):
+                encoded = tokens.encode_column(part.column("text"))
                 lengths = []
                 for at in range(0, len(encoded), COUNT_DOCS):
-                    ids = [np.frombuffer(data, tokens.dtype) for data in encoded[at : at + COUNT_DOCS]]
+                    ids = [np.frombuffer(data.as_buffer(), tokens.dtype) for data in encoded[at : at + COUNT_DOCS]]
                     found += np.bincount(terms_by_document(ids)[1], minlength=len(found))
                     lengths += map(len, ids)
                 total, size = total + part.num_rows, size + sum(lengths)
-                columns = {"doc_id": part.column(0), "ids": pa.array(encoded, pa.binary()), "n": pa.array(lengths, pa.int32())}
+                columns = {"doc_id": part.column(0), "ids": encoded, "n": pa.array(lengths, pa.int32())}
                 yield pa.RecordBatch.from_pydict(columns | {"counts": pa.nulls(part.num_rows, pa.binary())})
         nothing = {"doc_id": pa.nulls(1, pa.int64()), "ids": pa.nulls(1, pa.binary()), "n": pa.nulls(1, pa.int32())}
         counts = np.concatenate((found, [total, size])).astype("<i8").tobytes()

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,6 +50,17 @@ test_any_text_gives_the_same_ids.tokenizer = Tokenizer.from_file(PATH)
 test_any_text_gives_the_same_ids.tokenizer.encode_special_tokens = True
 
 
+def test_a_column_is_encoded_by_its_distinct_words(whole, monkeypatch):
+    tokens = WordTokens(PATH, 1, cache_words=4)
+    sent, encode = [], tokens._together
+    monkeypatch.setattr(tokens, "_together", lambda units: sent.extend(units) or encode(units))
+    column = pa.array(["One two, TWO. one", None, "it's, one... ΣΑΣ Σας two!", "", "É́a e\u0301a éa; İx ix <|endoftext|>", "a.b, two"] * 50)
+    for part in (column, column.slice(3, 7), column.slice(0, 0)):
+        found = [np.frombuffer(data, tokens.dtype).tolist() for data in tokens.encode_column(part).to_pylist()]
+        assert found == [[*whole(text or ""), 1] for text in part.to_pylist()]
+    assert sent.count("two") == 1 and sent.count("one") == 1 and "two," not in sent
+
+
 def check_pieces(rows, ids_of, window=2048):
     by_doc, by_sequence = {}, {}
     for r in rows:

@@ -14,11 +14,14 @@ The first two are stateless and shuffle nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siftline.operators.lexicon import TRIMMED, clean_words
 from siftline.schema import PROFANITY, SAFE
@@ -30,10 +33,10 @@ CHAIN_MAX_WORDS = 32
 # Alternatives tried in turn before the next character splits them.
 PLAIN_BRANCHES = 4
 
-# Join form: lengths of the parts of words that texts are searched for, the characters a text is
-# cut into, and the most bits of a filter over such parts.
+# Join form: lengths of the parts of words that texts are searched for, the characters of texts that
+# are looked at at once, and the most bits of a filter over such parts.
 GRAMS = (1, 2, 3, 6)
-PIECE_CHARS = 2048
+PIECE_CHARS = 1 << 16
 FILTER_MAX_BITS = 1 << 24
 
 # Tables of at most so many short rows are sent to every executor; larger ones are shuffled.
@@ -115,49 +118,160 @@ def _parts(text: str, width: int) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{width}}}))."), F.lit(1))
 
 
-def bloom_filter(grams: DataFrame) -> Callable[[Column], Column]:
-    """A test that holds for every ``gram`` of a table of distinct ones, and for few other texts.
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
-    The bits, at most FILTER_MAX_BITS, become a constant of the expression; beyond a sixteenth of
-    as many grams it lets more through.
+
+def _hashed(chars: list[np.ndarray]) -> np.ndarray:
+    """64 bits of each part, given by its first characters, its second ones and so on."""
+
+    def packed(some: list[np.ndarray]) -> np.ndarray:
+        return reduce(lambda left, right: (left << np.uint64(21)) | right, some[1:], some[0].astype(np.uint64))
+
+    out = packed(chars[:3]) * np.uint64(0x9E3779B97F4A7C15)
+    if chars[3:]:
+        out = ((out ^ (out >> np.uint64(31))) + packed(chars[3:])) * np.uint64(0xBF58476D1CE4E5B9)
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(29))
+
+
+def _hashed_grams(grams: list[str]) -> np.ndarray:
+    sizes, out = np.array([len(gram) for gram in grams], np.int64), np.zeros(len(grams), np.uint64)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        out[at] = _hashed(list(_codes("".join(grams[k] for k in at)).reshape(-1, size).T))
+    return out
+
+
+class BloomFilter:
+    """A test that holds for every gram of a table, and for few other texts; of a column, or of all places of texts."""
+
+    def __init__(self, words: np.ndarray):
+        self._words, self._step = words, PIECE_CHARS
+
+    def has(self, hashed: np.ndarray) -> np.ndarray:
+        last, out = np.uint64(64 * len(self._words) - 1), True
+        for place in (hashed & last, (hashed >> np.uint64(32)) & last):
+            out = out & ((self._words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+        return out
+
+    def __call__(self, gram: Column) -> Column:
+        return F.pandas_udf(lambda grams: grams.iloc[:0].astype(bool) if grams.empty else type(grams)(self.has(_hashed_grams(grams.tolist()))), "boolean")(gram)
+
+    def found(self, codes: np.ndarray, ends: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the joined texts that end at ``ends``: places of parts that may be in the table, their texts, their hashes."""
+        for start in range(0, len(codes) - width + 1, self._step):
+            some = codes[start : start + self._step + width - 1]
+            size = len(some) - width + 1
+            hashed = _hashed([some[k : k + size] for k in range(width)])
+            at = np.flatnonzero(self.has(hashed))
+            places = at + start
+            owner = np.searchsorted(ends, places, "right")
+            inside = places + width <= ends[owner]
+            yield places[inside], owner[inside], hashed[at[inside]]
+
+
+def bloom_filter(grams: DataFrame) -> BloomFilter:
+    """The filter of a table of distinct ``gram``s.
+
+    The bits, at most FILTER_MAX_BITS, go to every task; beyond a sixteenth of as many grams it
+    lets more through.
     """
     bits = min(max(1 << 10, 1 << (16 * grams.count()).bit_length()), FILTER_MAX_BITS)
 
-    def places(gram: Column) -> list[Column]:
-        hashed = F.xxhash64(gram)
-        return [F.shiftrightunsigned(hashed, k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)]
+    def places(batches):
+        for batch in batches:
+            hashed = _hashed_grams(batch.column(0).to_pylist())
+            both = np.unique(np.concatenate((hashed, hashed >> np.uint64(32))) & np.uint64(bits - 1))
+            yield pa.RecordBatch.from_pydict({"place": pa.array(both.astype(np.int64))})
 
     place = F.col("place")
     marked = (
-        grams.select(F.explode(F.array(*places(F.col("gram")))).alias("place"))
+        grams.select("gram")
+        .mapInArrow(places, "place long")
         .select(F.shiftright(place, 6).alias("id"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-        .distinct()
         .groupBy("id")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("word"))
+        .toArrow()
     )
-    words = grams.sparkSession.range(bits // 64).join(marked, "id", "left").select("id", F.coalesce("word", F.lit(0)).alias("word"))
-    ordered = F.sort_array(F.collect_list(F.struct("id", "word")))
-    listed = words.agg(F.array_join(F.transform(ordered, lambda w: w["word"].cast("string")), ",")).first()[0]
-    table = F.split(F.lit(listed), ",").cast("array<bigint>")
-
-    def holds(gram: Column) -> Column:
-        def marked_at(p: Column) -> Column:
-            return F.getbit(F.get(table, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-        first, second = places(gram)
-        return marked_at(first) & marked_at(second)
-
-    return holds
-
-
-def rarest_parts(words: DataFrame, pieces: DataFrame, widths: list[int]) -> DataFrame:
-    """(word, gram, offset): of each word the part that the fewest ``pieces`` hold. A word of which some part is in none is left out."""
+    words = np.zeros(bits // 64, np.int64)
+    words[marked["id"].to_numpy()] = marked["word"].to_numpy()
+    return BloomFilter(words.view(np.uint64))
+
+
+def _runs(batch: pa.RecordBatch, most: int) -> Iterator[tuple[int, list[str], np.ndarray, np.ndarray]]:
+    """Runs of texts of about ``most`` characters: their first row, the texts, their joined characters and where each ends."""
+    texts, first, size = batch.column("text").to_pylist(), 0, 0
+    for row, text in enumerate(texts):
+        size += len(text)
+        if size >= most or row == len(texts) - 1:
+            part = texts[first : row + 1]
+            yield first, part, _codes("".join(part)), np.cumsum([len(text) for text in part])
+            first, size = row + 1, 0
+
+
+def _part_counts(texts: DataFrame, known: BloomFilter, widths: list[int]) -> DataFrame:
+    """(gram, n): how many texts hold it; of all grams that the filter lets through."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+    most = 16 * PIECE_CHARS
+
+    def run(batches):
+        known = shared.value
+        for batch in batches:
+            for _, part, codes, ends in _runs(batch, most):
+                whole = "".join(part)
+                for width in widths:
+                    found = list(known.found(codes, ends, width))
+                    if not found:
+                        continue
+                    places, owner, hashed = (np.concatenate(x) for x in zip(*found, strict=True))
+                    if not len(places):
+                        continue
+                    order = np.argsort(hashed, kind="stable")  # by text among equal ones
+                    places, owner = places[order], owner[order]
+                    other = np.zeros(len(places) - 1, bool)  # compared by character: no hash decides
+                    for k in range(width):
+                        chars = codes[places + k]
+                        other |= chars[1:] != chars[:-1]
+                    firsts = np.flatnonzero(np.concatenate(([True], other)))
+                    counted = np.concatenate(([True], other | (owner[1:] != owner[:-1])))
+                    grams = [whole[at : at + width] for at in places[firsts].tolist()]
+                    yield pa.RecordBatch.from_pydict({"gram": pa.array(grams, pa.string()), "n": pa.array(np.add.reduceat(counted.astype(np.int64), firsts))})
+
+    return texts.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _part_places(texts: DataFrame, known: BloomFilter, widths: list[int], longest: int) -> DataFrame:
+    """(key, gram, lead, near): the parts that the filter lets through, each with the text around and its place therein."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+    most, before = 16 * PIECE_CHARS, longest - 1
+
+    def run(batches):
+        known = shared.value
+        for batch in batches:
+            for first, part, codes, ends in _runs(batch, most):
+                begins = np.concatenate(([0], ends[:-1]))
+                for width in widths:
+                    for places, owner, _ in known.found(codes, ends, width):
+                        at = places - begins[owner]
+                        lead = np.minimum(at, before)
+                        grams, near = [], []
+                        for text, place, begin in zip(owner.tolist(), at.tolist(), (at - lead).tolist(), strict=True):
+                            grams.append(part[text][place : place + width])
+                            near.append(part[text][begin : begin + 2 * longest])
+                        columns = {"key": batch.column("key").take(pa.array(owner + first)), "gram": pa.array(grams, pa.string())}
+                        yield pa.RecordBatch.from_pydict(columns | {"lead": pa.array(lead, pa.int32()), "near": pa.array(near, pa.string())})
+
+    schema = StructType([texts.schema["key"], *StructType.fromDDL("gram string, lead int, near string").fields])
+    return texts.select("key", "text").mapInArrow(run, schema)
+
+
+def rarest_parts(words: DataFrame, texts: DataFrame, widths: list[int]) -> DataFrame:
+    """(word, gram, offset): of each word the part that the fewest ``texts`` hold. A word of which some part is in none is left out."""
     width = _widths(words)
     parts = F.coalesce(*(F.when(width == w, _parts("word", w)) for w in widths))
     every = words.select("word", F.posexplode(parts).alias("offset", "gram"))
-    known = bloom_filter(every.select("gram").distinct())
-    held = F.array_distinct(F.concat(*(F.filter(_parts("text", w), known) for w in widths)))
-    counts = pieces.select(F.explode(held).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    counts = _part_counts(texts, bloom_filter(every.select("gram").distinct()), widths)
     ranked = every.join(counts, "gram", "left").select("word", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "gram").alias("part"))
     best = ranked.groupBy("word").agg(F.min("part").alias("part")).where("part.n > 0")
     return best.select("word", "part.gram", "part.offset")
@@ -183,24 +297,13 @@ def profane_texts(texts: DataFrame, words: DataFrame, broadcast_rows: int = BROA
         return direct.distinct()
     longest, widths = bounds.longest, sorted(bounds.widths)
     small = bounds.n <= broadcast_rows
-    step = max(PIECE_CHARS, longest)
-    overlapping = F.lit(rf"(?s)(?=(.{{1,{step + longest - 1}}})).{{1,{step}}}")
-    pieces = texts.select("key", F.explode(F.regexp_extract_all("text", overlapping, F.lit(1))).alias("text"))
 
     path = shared_dir(spark, "rare-parts")
-    rarest_parts(words, pieces, widths).write.parquet(path)
+    rarest_parts(words, texts, widths).write.parquet(path)
     rare = spark.read.schema("word string, gram string, offset int").parquet(path)
     shapes = F.collect_set(F.struct("offset", F.length("word").alias("chars"))).alias("shapes")
     anchors = rare.groupBy("gram").agg(shapes)
-    known = bloom_filter(rare.select("gram").distinct())
-
-    def near(gram: Column, at: Column) -> Column:
-        before = F.lit(longest - 1)
-        around = F.substring("text", F.greatest(at - before, F.lit(0)) + 1, F.lit(2 * longest))
-        return F.when(known(gram), F.struct(gram.alias("gram"), F.least(at, before).alias("lead"), around.alias("near")))
-
-    left = F.concat(*(F.array_compact(F.transform(_parts("text", w), near)) for w in widths))
-    places = pieces.select("key", F.inline(left))
+    places = _part_places(texts, bloom_filter(rare.select("gram").distinct()), widths, longest)
     hits = places.join(F.broadcast(anchors) if small else anchors, "gram")
     stretches = hits.select("key", "lead", "near", F.inline("shapes")).where("lead >= offset")
     found = F.expr("substring(near, lead - offset + 1, chars)")

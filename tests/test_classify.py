@@ -150,6 +150,32 @@ def test_words_are_found_by_their_rarest_part(spark):
     assert parts["common xylophone"][1] >= 2 and parts["common part"][0] != "common"
 
 
+def test_counts_of_parts_are_those_of_every_place(spark, monkeypatch):
+    monkeypatch.setattr(c, "PIECE_CHARS", 7)
+    rng = random.Random(4)
+    bodies = ["".join(rng.choices("abé🚀", k=rng.randint(0, 40))) for _ in range(200)]
+    texts = spark.createDataFrame(list(enumerate(bodies)), "key int, text string").repartition(3)
+    for width in (2, 6):
+        held = [{body[k : k + width] for k in range(len(body) - width + 1)} for body in bodies]
+        grams = sorted(set().union(*held))[::2]
+        known = c.bloom_filter(spark.createDataFrame([(g,) for g in grams], "gram string"))
+        found = c._part_counts(texts, known, [width])
+        counts = {r.gram: r.n for r in found.collect()}
+        assert {g: counts.get(g) for g in grams} == {g: sum(g in h for h in held) for g in grams}
+        places = c._part_places(texts, known, [width], width + 2).where(F.col("gram").isin(grams)).collect()
+        expected = [
+            (i, body[k : k + width], min(k, width + 1), body[max(0, k - width - 1) :][: 2 * width + 4])
+            for i, body in enumerate(bodies) for k in range(len(body) - width + 1) if body[k : k + width] in set(grams)
+        ]
+        assert sorted(map(tuple, places)) == sorted(expected)
+
+
+def test_places_of_texts_are_not_expanded_in_expressions(spark):
+    texts = spark.createDataFrame([(1, "common part")], "key int, text string")
+    plan = c.rarest_parts(words_table(spark, ["common part"]), texts, [6])._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract_all(text" not in plan
+
+
 def test_bloom_filter_lets_its_members_and_few_others_through(spark):
     grams = spark.range(3000).selectExpr("concat('g', id) AS gram")
     holds = c.bloom_filter(grams)
